@@ -8,8 +8,8 @@ from tokenloom.functions.tokens import HashTokenizer
 from tokenloom.plans.prepare import index_corpus
 
 TOKENIZER = HashTokenizer()
-# Short, so that every dataset of the smallest scale has blocks.
-BLOCK_LEN = 129
+# One token more than a sample, for the labels.
+BLOCK_LEN = 2049
 SEED = 42
 WORKERS = 3
 
