@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tokenloom.functions.arrays import let
 from tokenloom.functions.text import strip
 
 # Reasoning tags cut from predictions, and the judge's input budget.
@@ -73,15 +74,18 @@ def best_choice(logprobs: Column, lengths: Column | None = None) -> Column:
     scores = logprobs.cast("array<double>")
     if lengths is not None:
         scores = F.zip_with(scores, lengths, lambda p, n: p / n)
-    return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
+    return let(scores, lambda s: F.array_position(s, F.array_max(s)) - 1).cast("int")
 
 
 def log_softmax(logits: Column, temperature: float = 1.0) -> Column:
     """Log-probabilities of a logits array at a temperature."""
+
+    def shifted(scaled: Column, top: Column) -> Column:
+        total = F.aggregate(scaled, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
+        return let(top + F.ln(total), lambda norm: F.transform(scaled, lambda x: x - norm))
+
     scaled = F.transform(logits.cast("array<double>"), lambda x: x / temperature)
-    top = F.array_max(scaled)
-    total = F.aggregate(scaled, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
-    return F.transform(scaled, lambda x: x - top - F.ln(total))
+    return let(scaled, lambda s: let(F.array_max(s), lambda top: shifted(s, top)))
 
 
 def row_reverse_kl(student_log_probs: Column, teacher_log_probs: Column) -> Column:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tokenloom.functions.arrays import let
 from tokenloom.functions.hashing import seeded_uniform
 from tokenloom.operators.ordering import chunk_by_key, div, running_totals
 from tokenloom.operators.packing import pack_positions, worker_positions
+from tokenloom.session import settle
 
 # Steps of one worker that are ordered together when draws are counted.
 STEPS_PER_CHUNK = 1 << 14
@@ -47,13 +49,14 @@ def mix_schedule(
     drawn = (
         spark.range(draws * workers)
         .select(worker.alias("worker"), step.alias("step"), bounds.alias("bounds__"))
-        .withColumn("u__", seeded_uniform(F.lit(seed) + F.col("worker"), F.col("step")))
-    )
-    # Rounding may leave the last bound a hair under 1, so the last entry takes what is left.
-    hit = F.coalesce(
-        F.get(F.filter("bounds__", lambda b: F.col("u__") < b["upto"]), F.lit(0)),
-        F.element_at("bounds__", -1),
     )
+
+    def entry(u: Column) -> Column:
+        # Rounding may leave the last bound a hair under 1, so the last entry takes what is left.
+        under = F.get(F.filter("bounds__", lambda b: u < b["upto"]), F.lit(0))
+        return F.coalesce(under, F.element_at("bounds__", -1))
+
+    hit = let(seeded_uniform(F.lit(seed) + F.col("worker"), F.col("step")), entry)
     return drawn.withColumn("hit__", hit).select("worker", "step", "hit__.ds_idx", "hit__.dataset")
 
 
@@ -118,6 +121,7 @@ def draws_to_blocks(
         .withColumn("shard", F.col("worker") % F.col("stride__"))
         .drop("num_sequences", "stride__")
     )
+    draws = settle(draws, "draws")
     demand = draws.groupBy("dataset", "shard").agg(
         F.min("block_no").alias("first_block"), (F.max("block_no") + 1).alias("blocks")
     )
@@ -129,6 +133,7 @@ def draws_to_blocks(
         .where(F.col("stream_start") + F.col("num_tokens") > F.col("first_block") * block_len)
         .select("dataset", "seq_id", "shard", "stride", "stream_start", "first_block", "blocks")
     )
+    positions = settle(positions, "positions")
     blocks = pack_positions(
         tokens, positions, block_len, blocks_from=F.col("first_block"), blocks_before=F.col("blocks")
     )

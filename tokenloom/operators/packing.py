@@ -64,8 +64,8 @@ def cut_pieces(
     )
 
 
-def join_pieces(pieces: DataFrame, keys: list[str], block_len: int) -> DataFrame:
-    """Pieces of equal ``keys`` laid together in stream order; incomplete blocks are dropped.
+def assemble(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """Pieces of equal ``keys`` laid together in stream order: ``tokens`` and their ``length``.
 
     A group is never more than one block.
     """
@@ -75,11 +75,15 @@ def join_pieces(pieces: DataFrame, keys: list[str], block_len: int) -> DataFrame
             F.sort_array(F.collect_list(F.struct("lo", "piece"))).alias("parts"),
             F.sum(F.size("piece")).alias("length"),
         )
-        .where(F.col("length") == block_len)
-        .select(*keys, F.flatten(F.col("parts.piece")).alias("tokens"))
+        .select(*keys, "length", F.flatten(F.col("parts.piece")).alias("tokens"))
     )
 
 
+def join_pieces(pieces: DataFrame, keys: list[str], block_len: int) -> DataFrame:
+    """The whole blocks among the assembled pieces."""
+    return assemble(pieces, keys).where(F.col("length") == block_len).drop("length")
+
+
 def pack_blocks(
     df: DataFrame,
     block_len: int,

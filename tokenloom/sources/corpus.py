@@ -55,6 +55,21 @@ def list_files(spark: SparkSession, path: str, pattern: str) -> list[str]:
     return [f.getPath().toString() for f in found] if found else []
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all cores when its scan is too small to be cut that finely, else unchanged.
+
+    Row work such as tokenizing otherwise runs in as many tasks as the input has row groups.
+    The decision uses the scan's size from the catalog, so a large input is never exchanged.
+    """
+    spark = df.sparkSession
+    scan_bytes = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    cores = spark.sparkContext.defaultParallelism
+    cut = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if int(str(scan_bytes)) >= cores * cut:
+        return df
+    return df.repartition(cores, key)
+
+
 def with_file_order(df: DataFrame, rows_per_chunk: int = ROWS_PER_FILE_CHUNK) -> DataFrame:
     """Add the (file name, row position) order of a Parquet scan, with chunk columns to match.
 

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tokenloom.operators.index import index_sequences
-from tokenloom.operators.ordering import CHUNKS, chunk_by_key, div
-from tokenloom.operators.packing import cut_pieces, join_pieces
+from tokenloom.operators.ordering import chunk_by_key
+from tokenloom.operators.packing import assemble, cut_pieces
 from tokenloom.sources.corpus import list_files
 
 STATE = T.StructType(
@@ -26,6 +26,15 @@ STATE = T.StructType(
     ]
 )
 
+PACKED = T.StructType(
+    [
+        T.StructField("dataset", T.StringType()),
+        T.StructField("block_id", T.LongType()),
+        T.StructField("tokens", T.ArrayType(T.IntegerType())),
+        T.StructField("whole", T.BooleanType()),
+    ]
+)
+
 
 def pack_stream(
     stream: DataFrame,
@@ -44,10 +53,13 @@ def pack_stream(
 
     def pack_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
+        here = f"{target}/batch={batch_id}"
         carried = _latest_state(spark, state, batch_id)
-        blocks, after = pack_next(batch, carried, block_len, key=key, keys_per_chunk=keys_per_chunk)
-        blocks.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        batch.persist()
+        blocks = continue_blocks(batch, carried, block_len, key=key, keys_per_chunk=keys_per_chunk)
+        blocks.write.mode("overwrite").partitionBy("whole").parquet(here)
+        unfinished = spark.read.schema(PACKED).parquet(here).where("not whole")
+        after = next_state(batch, carried, unfinished)
         after.coalesce(1).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
         batch.unpersist()
 
@@ -59,14 +71,19 @@ def pack_stream(
     )
 
 
-def pack_next(
+def continue_blocks(
     batch: DataFrame, carried: DataFrame, block_len: int, *, key: str, keys_per_chunk: int | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """The blocks a batch completes, and the state after it."""
+) -> DataFrame:
+    """Blocks of the batch behind what was carried over, ``whole`` or still unfinished."""
     chunked = chunk_by_key(batch, key, keys_per_chunk) if keys_per_chunk else chunk_by_key(batch, key)
-    indexed = index_sequences(chunked, order=[key]).drop(*CHUNKS, "chunk_first", "chunk_past")
-    placed = indexed.join(carried.select("dataset", "total_tokens"), "dataset", "left").withColumn(
-        "token_start", F.col("token_start") + F.coalesce("total_tokens", F.lit(0))
+    placed = index_sequences(chunked, order=[key]).join(
+        carried.select("dataset", "total_tokens"), "dataset", "left"
+    )
+    rows = placed.select(
+        "dataset",
+        (F.col("token_start") + F.coalesce("total_tokens", F.lit(0))).alias("token_start"),
+        "num_tokens",
+        "tokens",
     )
     tails = carried.where(F.size("tail") > 0).select(
         "dataset",
@@ -74,34 +91,36 @@ def pack_next(
         F.size("tail").cast("bigint").alias("num_tokens"),
         F.col("tail").alias("tokens"),
     )
-    rows = placed.select("dataset", "token_start", "num_tokens", "tokens").unionByName(tails)
-    pieces = cut_pieces(rows, block_len, keep=["dataset"])
-    blocks = join_pieces(pieces, ["dataset", "block_id"], block_len)
+    pieces = cut_pieces(rows.unionByName(tails), block_len, keep=["dataset"])
+    blocks = assemble(pieces, ["dataset", "block_id"])
+    return blocks.withColumn("whole", F.col("length") == block_len).drop("length")
 
+
+def next_state(batch: DataFrame, carried: DataFrame, unfinished: DataFrame) -> DataFrame:
+    """What the next micro-batch needs to know."""
     added = batch.groupBy("dataset").agg(
         F.sum("num_tokens").cast("bigint").alias("new_tokens"),
         F.count_if(F.col("num_tokens") > 0).alias("new_sequences"),
     )
-    totals = carried.join(added, "dataset", "full").select(
-        "dataset",
-        (F.coalesce("total_tokens", F.lit(0)) + F.coalesce("new_tokens", F.lit(0))).alias("total_tokens"),
-        (F.coalesce("total_sequences", F.lit(0)) + F.coalesce("new_sequences", F.lit(0))).alias("total_sequences"),
+    tails = carried.join(added, "dataset", "left_anti").select("dataset", "tail").unionByName(
+        unfinished.join(added, "dataset", "left_semi").select("dataset", F.col("tokens").alias("tail"))
     )
-    open_block = totals.select("dataset", div(F.col("total_tokens"), block_len).alias("block_id"))
-    ordered = F.sort_array(F.collect_list(F.struct("lo", "piece")))
-    tail = (
-        pieces.join(open_block, ["dataset", "block_id"], "left_semi")
-        .groupBy("dataset")
-        .agg(ordered.alias("parts"))
-        .select("dataset", F.flatten(F.col("parts.piece")).alias("tail"))
+
+    def summed(old: str, new: str):
+        return (F.coalesce(old, F.lit(0)) + F.coalesce(new, F.lit(0))).alias(old)
+
+    return (
+        carried.drop("tail")
+        .join(added, "dataset", "full")
+        .select("dataset", summed("total_tokens", "new_tokens"), summed("total_sequences", "new_sequences"))
+        .join(tails, "dataset", "left")
+        .withColumn("tail", F.coalesce("tail", F.array().cast("array<int>")))
     )
-    after = totals.join(tail, "dataset", "left").withColumn("tail", F.coalesce("tail", F.array().cast("array<int>")))
-    return blocks, after.select(*STATE.fieldNames())
 
 
 def read_packed(spark: SparkSession, target: str) -> DataFrame:
-    """All blocks written so far."""
-    return spark.read.parquet(target).drop("batch")
+    """All whole blocks written so far."""
+    return spark.read.schema(PACKED).parquet(target).where("whole").drop("whole")
 
 
 def _latest_state(spark: SparkSession, state: str, batch_id: int) -> DataFrame:

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom.functions.tokens import HashTokenizer
 from tokenloom.plans.prepare import index_corpus
+from tokenloom.session import scratch_path
+from tokenloom.sources.corpus import spread
+from tokenloom.sources.token_table import read_tokens, write_tokens
 
 TOKENIZER = HashTokenizer()
 # One token more than a sample, for the labels.
@@ -18,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, ready for row work on their texts."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by language: four datasets of unequal size, one of them holding most rows."""
     return table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("dataset"), "text")
@@ -33,6 +41,16 @@ def indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_corpus(corpus(spark, sf_dir), TOKENIZER, key="doc_id")
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token table written and read back, as a training run finds it.
+
+    What needs ids and sizes then reads just those columns, however often.
+    """
+    path = scratch_path(spark, "token-table")
+    write_tokens(indexed(spark, sf_dir), path)
+    return read_tokens(spark, path)
+
+
 def digest(tokens: Column) -> Column:
     return F.md5(F.array_join(tokens.cast("array<string>"), ","))
 

@@ -10,16 +10,12 @@ from tokenloom.functions import scoring as score, tasks
 from tokenloom.functions.text import WHITESPACE
 from tokenloom.functions.tokens import word_count
 from tokenloom.operators import evalsets, runs, scoring
-from workload.base import SEED, WORDS_SQL, table
+from workload.base import SEED, WORDS_SQL, documents as _documents, table
 
 SHOTS = 3
 LAST = 5
 
 
-def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents")
-
-
 def _option(i: int):
     return F.concat_ws(" ", F.lit(f"option {i} of"), "source")
 

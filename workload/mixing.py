@@ -14,8 +14,8 @@ from workload.base import (
     WORKERS,
     describe_sql,
     described,
-    indexed,
     sizes,
+    stored,
     table,
 )
 from workload.packing import COUNTS_SQL, STREAMS_SQL, PLACED_SQL, ranked_sql
@@ -74,7 +74,7 @@ def number_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
 def draws_to_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every draw with its block; small datasets go round several epochs."""
     numbered = mixing.number_draws(_schedule(spark, sf_dir))
-    feed = mixing.draws_to_blocks(numbered, indexed(spark, sf_dir), BLOCK_LEN, workers=WORKERS, seed=SEED)
+    feed = mixing.draws_to_blocks(numbered, stored(spark, sf_dir), BLOCK_LEN, workers=WORKERS, seed=SEED)
     return described(feed, "worker", "step", "ds_idx", "dataset", "block_no")
 
 
@@ -82,7 +82,7 @@ def resumed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The samples of a run that resumes after its first draws."""
     feed = training_feed(
         _mix(spark, sf_dir),
-        indexed(spark, sf_dir),
+        stored(spark, sf_dir),
         BLOCK_LEN,
         draws=draws_per_worker(spark, sf_dir),
         workers=WORKERS,

@@ -23,6 +23,7 @@ from workload.base import (
     described,
     indexed,
     sizes,
+    stored,
     table,
 )
 
@@ -105,14 +106,14 @@ def stride_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def worker_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = packing.pack_worker_streams(
-        indexed(spark, sf_dir), BLOCK_LEN, seed=SEED, workers=WORKERS, epochs=EPOCHS
+        stored(spark, sf_dir), BLOCK_LEN, seed=SEED, workers=WORKERS, epochs=EPOCHS
     )
     return described(blocks, "dataset", "worker", "block_id")
 
 
 def resumed_worker_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = packing.pack_worker_streams(
-        indexed(spark, sf_dir), BLOCK_LEN, seed=SEED, workers=WORKERS, epochs=EPOCHS, start_epoch=1, start_block=2
+        stored(spark, sf_dir), BLOCK_LEN, seed=SEED, workers=WORKERS, epochs=EPOCHS, start_epoch=1, start_block=2
     )
     return described(blocks, "dataset", "worker", "block_id")
 

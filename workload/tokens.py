@@ -18,6 +18,7 @@ from workload.base import (
     corpus,
     describe_sql,
     described,
+    documents,
     ids_sql,
     sizes,
     table,
@@ -38,7 +39,7 @@ def to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flatten_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of a document as a message; blank lines and padding test the rules."""
     lines = F.split("text", "\n")
-    listed = table(spark, sf_dir, "documents").select(
+    listed = documents(spark, sf_dir).select(
         "doc_id",
         F.transform(lines, lambda x: F.struct(F.lit("user").alias("role"), F.concat(F.lit(" "), x, F.lit("\t")).alias("content")))
         .cast(MESSAGES)
@@ -56,14 +57,14 @@ def flatten_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = add_tokens(corpus(spark, sf_dir), TOKENIZER)
+    docs = add_tokens(documents(spark, sf_dir).select("doc_id", "text"), TOKENIZER)
     return described(docs, "doc_id", "num_tokens")
 
 
 def truncate_and_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Truncation first, then both special tokens: up to two more than the limit."""
     tokenizer = toks.HashTokenizer(vocab_size=70000, add_bos=True, add_eos=True, max_len=64)
-    docs = add_tokens(corpus(spark, sf_dir), tokenizer)
+    docs = add_tokens(documents(spark, sf_dir).select("doc_id", "text"), tokenizer)
     checked = docs.withColumn("tokens", toks.check_ids(F.col("tokens"), tokenizer.id_count))
     return described(checked, "doc_id", "num_tokens")
 
@@ -71,7 +72,7 @@ def truncate_and_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 def external_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tokenizer library run in batches on the executors: here one id per UTF-8 byte."""
     encode = toks.external_tokenizer(toks.tokenizer_json(byte_tokenizer()))
-    docs = tokenize_external(table(spark, sf_dir, "documents").select("doc_id", "text"), encode)
+    docs = tokenize_external(documents(spark, sf_dir).select("doc_id", "text"), encode)
     as_hex = F.array_join(F.transform("tokens", lambda b: F.lpad(F.hex(b), 2, "0")), "")
     return docs.select("doc_id", "num_tokens", F.md5(as_hex).alias("bytes_md5"))
 
@@ -90,7 +91,7 @@ def byte_tokenizer() -> str:
 
 def _lines(spark, sf_dir):
     tokenizer = toks.HashTokenizer(add_eos=False)
-    lines = corpus(spark, sf_dir).select("dataset", "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    lines = documents(spark, sf_dir).select(F.col("lang").alias("dataset"), "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     return add_tokens(lines, tokenizer)
 
 
