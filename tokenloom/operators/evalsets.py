@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tokenloom.functions.hashing import seeded_digest
 from tokenloom.functions.text import strip
+from tokenloom.session import settle
 
 # Answer letters and prompt formats.
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -141,7 +142,7 @@ def few_shot(
 
 def with_few_shot(examples: DataFrame, shots: DataFrame, group: list[str]) -> DataFrame:
     """Each example with its task's shots; a task without a pool gets none."""
-    return examples.join(shots, group, "left").withColumn(
+    return examples.join(settle(shots, "shots"), group, "left").withColumn(
         "shots", F.coalesce("shots", F.array().cast("array<string>"))
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tokenloom.operators.ordering import CHUNKS, div, running_totals
+from tokenloom.session import settle
 
 
 def drop_empty(df: DataFrame, size: str = "num_tokens") -> DataFrame:
@@ -58,20 +59,19 @@ def document_index(index: DataFrame, document: list[str]) -> DataFrame:
     return index.groupBy(*document).agg(F.max("seq_id").alias("last_seq_id"))
 
 
-def get_sequences(tokens: DataFrame, wanted: DataFrame, keys: list[str] = ["dataset", "seq_id"]) -> DataFrame:
-    """The sequences named by ``wanted``; an id that does not exist fails the job.
+def get_sequences(tokens: DataFrame, wanted: DataFrame, group: list[str] = ["dataset"]) -> DataFrame:
+    """The sequences named by ``wanted`` (group columns and ``seq_id``).
 
-    Spark broadcasts ``wanted`` when its measured size allows and joins by key otherwise.
+    Ids are dense, so an id outside ``[0, sequences)`` does not exist and fails the job.
     """
-    found = wanted.join(tokens.withColumn("found__", F.lit(True)), keys, "left")
-    name = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
-    return found.withColumn(
-        keys[-1],
-        F.when(
-            F.col("found__").isNull(),
-            F.raise_error(F.concat(F.lit("sequence out of range: "), name)).cast("bigint"),
-        ).otherwise(F.col(keys[-1])),
-    ).drop("found__")
+    counts = tokens.groupBy(*group).agg(F.count("*").alias("num_sequences"))
+    name = F.concat_ws("/", *[F.col(k).cast("string") for k in (*group, "seq_id")])
+    outside = (F.col("seq_id") < 0) | (F.col("seq_id") >= F.coalesce("num_sequences", F.lit(0)))
+    error = F.raise_error(F.concat(F.lit("sequence out of range: "), name)).cast("bigint")
+    checked = wanted.join(settle(counts, "counts"), group, "left").withColumn(
+        "seq_id", F.when(outside, error).otherwise(F.col("seq_id"))
+    )
+    return settle(checked.drop("num_sequences"), "wanted").join(tokens, [*group, "seq_id"])
 
 
 def locate_tokens(index: DataFrame, offsets: DataFrame, group: list[str] = ["dataset"], span: int = 4096) -> DataFrame:

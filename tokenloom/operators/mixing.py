@@ -105,52 +105,51 @@ def epochs_needed(index: DataFrame, demand: DataFrame, workers: int, block_len:
 def draws_to_blocks(
     numbered: DataFrame, tokens: DataFrame, block_len: int, *, workers: int, seed: int
 ) -> DataFrame:
-    """The block of every draw: ``worker``, ``step``, ``ds_idx``, ``dataset``, ``block_no``, ``tokens``.
+    """Add to every draw the ``tokens`` of its block.
 
     Streams are endless; only as many epochs are laid out as the draws can reach, and of
     those only sequences between the first and the last wanted token are cut into blocks.
     A dataset without tokens fails the job, as its stream would end at once.
     """
     index = tokens.select("dataset", "seq_id", "num_tokens")
-    counts = index.groupBy("dataset").agg(F.count("*").alias("num_sequences"))
-    stride = F.least(F.lit(workers).cast("bigint"), F.col("num_sequences"))
+    counts = settle(index.groupBy("dataset").agg(F.count("*").alias("num_sequences")), "counts")
     missing = F.raise_error(F.concat(F.lit("no tokens in mix dataset "), F.col("dataset"))).cast("bigint")
-    draws = (
+    stride = F.least(F.lit(workers).cast("bigint"), F.coalesce("num_sequences", missing))
+    draws = settle(
         numbered.join(counts, "dataset", "left")
-        .withColumn("stride__", F.when(F.col("num_sequences").isNull(), missing).otherwise(stride))
-        .withColumn("shard", F.col("worker") % F.col("stride__"))
-        .drop("num_sequences", "stride__")
+        .withColumn("shard", F.col("worker") % stride)
+        .drop("num_sequences"),
+        "draws",
     )
-    draws = settle(draws, "draws")
     demand = draws.groupBy("dataset", "shard").agg(
         F.min("block_no").alias("first_block"), (F.max("block_no") + 1).alias("blocks")
     )
     epochs = epochs_needed(index, demand, workers, block_len)
-    positions = (
-        worker_positions(index.join(epochs, "dataset"), seed=seed, workers=workers, epochs=F.col("epochs"))
-        .join(demand, ["dataset", "shard"])
+    horizon = settle(demand.join(epochs, "dataset"), "horizon")
+    reach = horizon.groupBy("dataset").agg(F.max("epochs").alias("epochs"))
+    positions = worker_positions(
+        index.join(settle(reach, "epochs"), "dataset"),
+        seed=seed,
+        workers=workers,
+        epochs=F.col("epochs"),
+        counts=counts,
+    )
+    needed = (
+        positions.drop("epochs")
+        .join(horizon.drop("epochs"), ["dataset", "shard"])
         .where(F.col("stream_start") < F.col("blocks") * block_len)
         .where(F.col("stream_start") + F.col("num_tokens") > F.col("first_block") * block_len)
-        .select("dataset", "seq_id", "shard", "stride", "stream_start", "first_block", "blocks")
     )
-    positions = settle(positions, "positions")
     blocks = pack_positions(
-        tokens, positions, block_len, blocks_from=F.col("first_block"), blocks_before=F.col("blocks")
+        tokens, needed, block_len, blocks_from=F.col("first_block"), blocks_before=F.col("blocks")
     )
-    return draws.join(
+    found = draws.join(
         blocks.select("dataset", "shard", F.col("block_id").alias("block_no"), "tokens"),
         ["dataset", "shard", "block_no"],
         "left",
-    ).select(
-        "worker",
-        "step",
-        "ds_idx",
-        "dataset",
-        "block_no",
-        F.when(
-            F.col("tokens").isNull(), F.raise_error(F.lit("draw without a block")).cast("array<int>")
-        ).otherwise(F.col("tokens")).alias("tokens"),
     )
+    unfound = F.raise_error(F.lit("draw without a block")).cast("array<int>")
+    return found.select(*numbered.columns, F.coalesce("tokens", unfound).alias("tokens"))
 
 
 def skip_samples(draws: DataFrame, already_seen: int | Column) -> DataFrame:
@@ -169,7 +168,9 @@ def worker_share(samples: int, batch_size: int, worker: Column, num_workers: int
 
 def make_batches(draws: DataFrame, batch_size: int) -> DataFrame:
     """Add ``batch`` and ``slot`` per worker; a last partial batch is dropped."""
-    extent = draws.groupBy("worker").agg(F.min("step").alias("first__"), F.count("*").alias("draws__"))
+    extent = settle(
+        draws.groupBy("worker").agg(F.min("step").alias("first__"), F.count("*").alias("draws__")), "extent"
+    )
     since = F.col("step") - F.col("first__")
     return (
         draws.join(extent, "worker")

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tokenloom.session import settle
+
 CHUNK_HI = "chunk_hi"
 CHUNK = "chunk"
 CHUNKS = [CHUNK_HI, CHUNK]
@@ -28,7 +30,7 @@ def div(value: Column, by: Column | int) -> Column:
 
 
 def chunk_by_key(df: DataFrame, key: str, keys_per_chunk: int = CHUNK_KEYS, fanout: int = COARSE_FANOUT) -> DataFrame:
-    """Add the chunk columns for a non-negative integer key, ``keys_per_chunk`` key values to a chunk."""
+    """Add the chunk columns for an integer key, ``keys_per_chunk`` key values to a chunk."""
     fine = div(F.col(key).cast("bigint"), keys_per_chunk)
     return df.withColumns({CHUNK_HI: div(fine, fanout), CHUNK: fine})
 
@@ -100,14 +102,12 @@ def running_totals(
 def first_rows(df: DataFrame, *, group: list[str], chunk: list[str], order: list[str], limit: int) -> DataFrame:
     """The first ``limit`` rows of each group by the order key.
 
-    Chunks that start past the limit are dropped before any row moves; only the kept rows
-    are exchanged and numbered, chunk by chunk.
+    Chunks that start past the limit are dropped before any row moves, as long as the list
+    of those that do not is small enough to broadcast; only the kept rows are exchanged and
+    numbered, chunk by chunk.
     """
-    started = (
-        chunk_offsets(df, group, chunk, {"rows": F.lit(1)})
-        .where(F.col("rows__before") < limit)
-        .drop("rows__past")
-    )
+    offsets = chunk_offsets(df, group, chunk, {"rows": F.lit(1)}).drop("rows__past")
+    started = settle(offsets.where(F.col("rows__before") < limit), "chunks")
     numbered = Window.partitionBy(*group, *chunk).orderBy(*order)
     return (
         df.join(started, [*group, *chunk])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tokenloom.functions.hashing import seeded_digest
 from tokenloom.operators.ordering import div, running_totals
+from tokenloom.session import settle
 
 
 def _check_len(block_len: int) -> None:
@@ -27,6 +28,28 @@ def block_counts(index: DataFrame, block_len: int, group: list[str] = ["dataset"
     )
 
 
+def _span(block_len: int, start: str = "token_start") -> tuple[Column, Column]:
+    """First block a sequence touches, and the one past its last."""
+    begin = F.col(start)
+    return div(begin, block_len), div(begin + F.col("num_tokens") - 1, block_len) + 1
+
+
+def _piece(block_len: int, start: str = "token_start"):
+    """Function from a block number to the part of the row's tokens that falls into it."""
+    begin = F.col(start)
+
+    def cut(block: Column) -> Column:
+        lo = F.greatest(block * block_len, begin)
+        hi = F.least((block + 1) * block_len, begin + F.col("num_tokens"))
+        return F.struct(
+            block.alias("block_id"),
+            lo.alias("lo"),
+            F.slice("tokens", (lo - begin + 1).cast("int"), (hi - lo).cast("int")).alias("piece"),
+        )
+
+    return cut
+
+
 def cut_pieces(
     df: DataFrame,
     block_len: int,
@@ -42,25 +65,13 @@ def cut_pieces(
     not once per block it spans. Only blocks from ``blocks_from`` up to, not including,
     ``blocks_before`` are cut.
     """
-    begin = F.col(start)
-    end = begin + F.col("num_tokens")
-    first, past = div(begin, block_len), div(end - 1, block_len) + 1
+    first, past = _span(block_len, start)
     if blocks_from is not None:
         first = F.greatest(first, blocks_from)
     if blocks_before is not None:
         past = F.least(past, blocks_before)
-
-    def piece(block: Column) -> Column:
-        lo = F.greatest(block * block_len, begin)
-        hi = F.least((block + 1) * block_len, end)
-        return F.struct(
-            block.alias("block_id"),
-            lo.alias("lo"),
-            F.slice("tokens", (lo - begin + 1).cast("int"), (hi - lo).cast("int")).alias("piece"),
-        )
-
     return df.where((F.col("num_tokens") > 0) & (first < past)).select(
-        *keep, F.inline(F.transform(F.sequence(first, past - 1), piece))
+        *keep, F.inline(F.transform(F.sequence(first, past - 1), _piece(block_len, start)))
     )
 
 
@@ -110,7 +121,7 @@ def pack_blocks(
     )
     whole = join_pieces(inner, [*group, *local, "block_id"], block_len).select(*keys, "tokens")
 
-    first, past = div(F.col("token_start"), block_len), div(F.col("token_end") - 1, block_len) + 1
+    first, past = _span(block_len)
     touching = df.where((first < inner_first) | (past > inner_past))
     straddling = cut_pieces(touching, block_len, keep=[*group, "chunk_first", "chunk_past"]).where(
         (F.col("block_id") < inner_first) | (F.col("block_id") >= inner_past)
@@ -119,32 +130,33 @@ def pack_blocks(
 
 
 def get_blocks(df: DataFrame, wanted: DataFrame, block_len: int, group: list[str] = ["dataset"]) -> DataFrame:
-    """The blocks named by ``wanted`` (group columns and ``block_id``).
+    """The blocks named by ``wanted`` (group columns and ``block_id``), each once.
 
-    A block outside its dataset fails the job. Pieces of other blocks are dropped before
-    anything is exchanged when Spark can broadcast the request.
+    A block outside its dataset fails the job. Which sequences the blocks need is found from
+    ids and offsets alone; only those sequences are cut, and only at those blocks.
     """
     _check_len(block_len)
     keys = [*group, "block_id"]
-    counts = block_counts(df.select(*group, "num_tokens"), block_len, group)
-    limit = F.coalesce(F.col("num_blocks"), F.lit(0))
+    counts = block_counts(df.select(*group, "num_tokens"), block_len, group).select(*group, "num_blocks")
     name = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+    outside = (F.col("block_id") < 0) | (F.col("block_id") >= F.coalesce("num_blocks", F.lit(0)))
+    error = F.raise_error(F.concat(F.lit("block out of range: "), name)).cast("bigint")
     checked = (
         wanted.select(*keys)
         .distinct()
-        .join(counts.select(*group, "num_blocks"), group, "left")
-        .select(
-            *group,
-            F.when(
-                (F.col("block_id") < 0) | (F.col("block_id") >= limit),
-                F.raise_error(F.concat(F.lit("block out of range: "), name)).cast("bigint"),
-            )
-            .otherwise(F.col("block_id"))
-            .alias("block_id"),
-        )
+        .join(settle(counts, "counts"), group, "left")
+        .select(*group, F.when(outside, error).otherwise(F.col("block_id")).alias("block_id"))
+    )
+    first, past = _span(block_len)
+    touched = df.select(*group, "seq_id", F.explode(F.sequence(first, past - 1)).alias("block_id"))
+    hits = (
+        touched.join(settle(checked, "wanted"), keys, "left_semi")
+        .groupBy(*group, "seq_id")
+        .agg(F.collect_list("block_id").alias("blocks__"))
     )
-    pieces = cut_pieces(df, block_len, keep=group)
-    return join_pieces(pieces.join(checked, keys, "left_semi"), keys, block_len)
+    needed = df.join(settle(hits, "hits"), [*group, "seq_id"])
+    pieces = needed.select(*group, F.inline(F.transform("blocks__", _piece(block_len))))
+    return join_pieces(pieces, keys, block_len)
 
 
 def block_numbering(counts: DataFrame, position: str = "ds_idx") -> DataFrame:
@@ -220,8 +232,9 @@ def pack_cyclic(
         df.select(*group, "seq_id", F.col("token_start").alias("begin__")), [*group, "seq_id"]
     )
     laps = div(F.col("limit__") * block_len + F.col("total_tokens") - 1, F.col("total_tokens"))
+    turns = settle(begin.select(*group, "begin__", "total_tokens", "limit__", laps.alias("laps__")), "laps")
     shifted = (
-        df.join(begin.select(*group, "begin__", "total_tokens", "limit__", laps.alias("laps__")), group)
+        df.join(turns, group)
         .where(F.col("laps__") > 0)
         .withColumn("lap__", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("laps__") - 1)))
         .withColumn(
@@ -268,7 +281,7 @@ def epoch_order(
 def stride_shards(ranked: DataFrame, counts: DataFrame, workers: int, group: list[str] = ["dataset"]) -> DataFrame:
     """Add ``shard``: every ``stride``-th sequence of the epoch's order.
 
-    ``stride`` is the worker count, or the sequence count when there are more workers.
+    ``counts`` has ``num_sequences`` per dataset, best as a settled table. ``stride`` is the worker count, or the sequence count when there are more workers.
     """
     stride = F.least(F.lit(workers).cast("bigint"), F.col("num_sequences"))
     return (
@@ -293,13 +306,15 @@ def worker_positions(
     epochs: Column | int,
     start_epoch: int = 0,
     group: list[str] = ["dataset"],
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Where each sequence starts in its shard's stream, epoch after epoch.
 
     A narrow table (no tokens): group, ``epoch``, ``rank``, ``seq_id``, ``num_tokens``,
     ``shard``, ``stride``, ``stream_start``. The remainder of one epoch runs on into the next.
     """
-    counts = index.groupBy(*group).agg(F.count("*").alias("num_sequences"))
+    if counts is None:
+        counts = settle(index.groupBy(*group).agg(F.count("*").alias("num_sequences")), "counts")
     ranked = epoch_order(index, seed=seed, epochs=epochs, start_epoch=start_epoch, group=group)
     sharded = stride_shards(ranked, counts, workers, group)
     return running_totals(

@@ -18,6 +18,7 @@ from tokenloom.operators.mixing import (
 from tokenloom.operators.packing import block_counts, block_numbering, pack_blocks, to_samples
 from tokenloom.plans.jobs import load_settings
 from tokenloom.schemas import MIX
+from tokenloom.session import settle
 
 # Mix settings when the file does not say.
 SEQ_LEN = 2048
@@ -66,11 +67,14 @@ def validate_mix(mix: DataFrame, tokens: DataFrame, block_len: int) -> DataFrame
     return mix_report(mix, block_counts(tokens.select("dataset", "num_tokens"), block_len))
 
 
-def map_samples(mix: DataFrame, tokens: DataFrame, block_len: int) -> DataFrame:
-    """Every block of the mix once, under its common number; weights play no part."""
+def map_samples(mix: DataFrame, tokens: DataFrame, block_len: int, local: list[str] | None = None) -> DataFrame:
+    """Every block of the mix once, under its common number; weights play no part.
+
+    ``local`` is for tokens still partitioned as the index left them.
+    """
     counts = block_counts(tokens.select("dataset", "num_tokens"), block_len)
-    numbering = block_numbering(mix.join(counts, "dataset"))
-    blocks = pack_blocks(tokens, block_len)
+    numbering = settle(block_numbering(mix.join(counts, "dataset")), "numbering")
+    blocks = pack_blocks(tokens, block_len, local=local)
     numbered = blocks.join(numbering.select("ds_idx", "dataset", "first_block"), "dataset")
     return to_samples(
         numbered.withColumn("global_id", numbered.first_block + numbered.block_id).drop("first_block"), block_len
@@ -90,10 +94,10 @@ def training_feed(
 ) -> DataFrame:
     """The samples of every worker in step order, from ``skip`` on, in batches if asked.
 
-    Blocks of skipped draws are never cut.
+    Skipped draws and partial batches are gone before any block is cut.
     """
     numbered = number_draws(mix_schedule(tokens.sparkSession, mix, draws=draws, workers=workers, seed=seed))
     wanted = skip_samples(numbered, skip)
-    feed = draws_to_blocks(wanted, tokens, block_len, workers=workers, seed=seed)
-    samples = to_samples(feed, block_len)
-    return make_batches(samples, batch_size) if batch_size else samples
+    if batch_size:
+        wanted = make_batches(wanted, batch_size)
+    return to_samples(draws_to_blocks(wanted, tokens, block_len, workers=workers, seed=seed), block_len)

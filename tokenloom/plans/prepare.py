@@ -69,7 +69,7 @@ def prepare_corpus(
     corpus = with_text(raw.select(key, text), text, preprocess).withColumn("dataset", F.lit(name))
     if max_samples is not None:
         corpus = cap_samples(chunk_by_key(corpus, key), max_samples, order=[key]).drop(*CHUNKS)
-    write_tokens(index_corpus(corpus, tokenizer, key=key), target, mode="append")
+    write_tokens(index_corpus(corpus, tokenizer, key=key), target, mode="append", presorted=True)
     mark_done(spark.createDataFrame([(name, target)], "name string, path string"), ledger, "tokenize")
     written = spark.read.parquet(target).where(F.col("dataset") == name)
     return dataset_stats(

@@ -54,7 +54,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     For results that several later branches read: the work is done once, and a lost
-    executor costs a re-read instead of a recomputation.
+    executor costs a re-read instead of a recomputation. It also measures: Spark knows a
+    written table's size, where it can only guess an aggregate's. Joining a big table to a
+    settled small one therefore broadcasts the small one exactly when it is below the
+    session's broadcast threshold, and exchanges both sides when it is not.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tokenloom.functions.text import prepare_text
 from tokenloom.operators.ordering import CHUNKS, div, first_rows, running_totals
+from tokenloom.session import settle
 
 # Fixed value: target size of one output shard.
 SHARD_BYTES = 256 * 1024 * 1024
@@ -157,7 +158,7 @@ def assign_even_shards(
     )
     placed = running_totals(sized, group=group, chunk=chunk, order=order, totals={"position": F.lit(1)})
     return (
-        placed.join(whole.withColumn("shards", shards).drop("total_bytes"), group)
+        placed.join(settle(whole.withColumn("shards", shards).drop("total_bytes"), "totals"), group)
         .withColumn("shard", shard)
         .drop("position", "rows", "shards")
     )

@@ -2,27 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom.functions.tokens import token_width
 from tokenloom.operators.ordering import CHUNK_KEYS, chunk_by_key
 from tokenloom.schemas import TOKEN_TABLE
+from tokenloom.sources.corpus import list_files
 
 
-def write_tokens(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_tokens(df: DataFrame, path: str, mode: str = "errorifexists", presorted: bool = False) -> None:
     """Write an indexed token frame.
 
-    The rows already sit in chunk partitions in sequence order, so files hold narrow
-    ``seq_id`` and ``token_start`` ranges and lookups skip row groups; nothing is exchanged.
+    Rows straight from the index sit in chunk partitions in sequence order; ``presorted``
+    says so. Files then hold narrow ``seq_id`` and ``token_start`` ranges, lookups skip row
+    groups, and nothing is exchanged or sorted for it.
     """
-    columns = [f.name for f in TOKEN_TABLE]
-    (
-        df.select(*columns)
-        .sortWithinPartitions("dataset", "seq_id")
-        .write.mode(mode)
-        .partitionBy("dataset")
-        .parquet(path)
-    )
+    rows = df.select(*[f.name for f in TOKEN_TABLE])
+    if not presorted:
+        rows = rows.sortWithinPartitions("dataset", "seq_id")
+    rows.write.mode(mode).partitionBy("dataset").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, datasets: list[str] | None = None) -> DataFrame:
@@ -34,22 +34,17 @@ def read_tokens(spark: SparkSession, path: str, datasets: list[str] | None = Non
     for field in TOKEN_TABLE:
         if field.name not in found.columns:
             raise ValueError(f"{path} is not a token table: no column {field.name}")
-        actual = found.schema[field.name].dataType
-        same = (
-            isinstance(actual, T.ArrayType) and actual.elementType == field.dataType.elementType
-            if isinstance(field.dataType, T.ArrayType)
-            else field.name == "dataset" or actual == field.dataType
-        )
-        if not same:
-            raise ValueError(f"{path}: column {field.name} is {actual.simpleString()}")
+        actual = found.schema[field.name].dataType.simpleString()
+        if field.name != "dataset" and actual != field.dataType.simpleString():
+            raise ValueError(f"{path}: column {field.name} is {actual}, not {field.dataType.simpleString()}")
     table = spark.read.schema(TOKEN_TABLE).parquet(path)
-    if datasets is not None:
-        table = table.where(F.col("dataset").isin(*datasets))
-        present = {r.dataset for r in table.select("dataset").distinct().limit(len(set(datasets)) + 1).collect()}
-        missing = sorted(set(datasets) - present)
-        if missing:
-            raise FileNotFoundError(f"{path} has no dataset {', '.join(missing)}")
-    return table
+    if datasets is None:
+        return table
+    present = {unquote(p.rsplit("dataset=", 1)[1]) for p in list_files(spark, path, "dataset=*")}
+    missing = sorted(set(datasets) - present)
+    if missing:
+        raise FileNotFoundError(f"{path} has no dataset {', '.join(missing)}")
+    return table.where(F.col("dataset").isin(*datasets))
 
 
 def chunk_tokens(tokens: DataFrame, sequences_per_chunk: int = CHUNK_KEYS) -> DataFrame:

@@ -60,7 +60,7 @@ def pack_stream(
         blocks.write.mode("overwrite").partitionBy("whole").parquet(here)
         unfinished = spark.read.schema(PACKED).parquet(here).where("not whole")
         after = next_state(batch, carried, unfinished)
-        after.coalesce(1).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        after.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
         batch.unpersist()
 
     return (

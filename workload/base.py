@@ -47,7 +47,7 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     What needs ids and sizes then reads just those columns, however often.
     """
     path = scratch_path(spark, "token-table")
-    write_tokens(indexed(spark, sf_dir), path)
+    write_tokens(indexed(spark, sf_dir), path, presorted=True)
     return read_tokens(spark, path)
 
 

@@ -22,7 +22,7 @@ from workload.packing import COUNTS_SQL, STREAMS_SQL, PLACED_SQL, ranked_sql
 
 BATCH = 8
 ACCUMULATION = 2
-SKIP = 30
+SKIP = 8
 
 
 def mix_entries(spark: SparkSession, sf_dir: str) -> DataFrame:

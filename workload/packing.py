@@ -8,7 +8,7 @@ from tokenloom.operators import packing
 from tokenloom.operators.index import index_sequences
 from tokenloom.operators.ordering import CHUNKS, chunk_by_key, div
 from tokenloom.plans.mix import map_samples
-from tokenloom.session import scratch_path
+from tokenloom.session import scratch_path, settle
 from tokenloom.streaming import ingest, pack
 from workload.base import (
     BLOCK_LEN,
@@ -45,7 +45,7 @@ def get_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = packing.block_counts(sizes(spark, sf_dir), BLOCK_LEN).where("dataset = 'en'")
     limit = blocks.select("num_blocks").scalar()
     wanted = table(spark, sf_dir, "labels").select(F.lit("en").alias("dataset"), (F.col("doc_id") % limit).alias("block_id"))
-    return described(packing.get_blocks(indexed(spark, sf_dir), wanted, BLOCK_LEN), "dataset", "block_id")
+    return described(packing.get_blocks(stored(spark, sf_dir), wanted, BLOCK_LEN), "dataset", "block_id")
 
 
 def _mix(counts: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def _mix(counts: DataFrame) -> DataFrame:
 
 def global_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = packing.block_counts(sizes(spark, sf_dir), BLOCK_LEN)
-    samples = map_samples(_mix(counts), indexed(spark, sf_dir), BLOCK_LEN)
+    samples = map_samples(_mix(counts), indexed(spark, sf_dir), BLOCK_LEN, local=CHUNKS)
     return described(samples, "global_id", "ds_idx", "dataset", "block_id", tokens="input_ids")
 
 
@@ -82,7 +82,7 @@ def to_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pack_cyclic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Once round and half again, from the eighth sequence."""
     count = F.col("num_blocks") + div(F.col("num_blocks"), 2) + 1
-    return described(packing.pack_cyclic(indexed(spark, sf_dir), BLOCK_LEN, count, start_seq=7), "dataset", "block_id")
+    return described(packing.pack_cyclic(stored(spark, sf_dir), BLOCK_LEN, count, start_seq=7), "dataset", "block_id")
 
 
 def _index(spark, sf_dir):
@@ -98,7 +98,7 @@ def epoch_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stride_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """More workers than the smallest dataset has sequences: the surplus repeats shards."""
     index = _index(spark, sf_dir)
-    counts = index.groupBy("dataset").agg(F.count("*").alias("num_sequences"))
+    counts = settle(index.groupBy("dataset").agg(F.count("*").alias("num_sequences")), "counts")
     ranked = packing.epoch_order(index, seed=SEED, epochs=1)
     shards = packing.stride_shards(ranked, counts, MANY_WORKERS)
     return packing.shard_workers(shards, MANY_WORKERS).select("dataset", "epoch", "worker", "shard", "rank", "seq_id")

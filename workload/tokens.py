@@ -136,11 +136,12 @@ def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id",
         "turn",
         TOKENIZER.count(F.col("text")).alias("num_tokens"),
-        div(F.col("conv_id"), 1024).alias("conv_chunk"),
-        div(F.col("turn"), 1024).alias("turn_chunk"),
+        div(F.col("conv_id"), 1 << 20).alias("conv_chunk_hi"),
+        div(F.col("conv_id"), 1 << 10).alias("conv_chunk"),
+        div(F.col("turn"), 1 << 14).alias("turn_chunk"),
     )
     placed = idx.index_sequences(
-        turns, group=[], order=["turn"], chunk=["conv_chunk", "conv_id", "turn_chunk"]
+        turns, group=[], order=["turn"], chunk=["conv_chunk_hi", "conv_chunk", "conv_id", "turn_chunk"]
     )
     return idx.document_index(placed, ["conv_id"])
 
