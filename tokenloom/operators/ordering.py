@@ -10,6 +10,8 @@ no window ever spans more than one chunk's children.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tokenloom.session import settle
@@ -49,7 +51,10 @@ def chunk_width(df: DataFrame, key: str, rows_per_chunk: int = CHUNK_KEYS) -> in
 def chunk_offsets(df: DataFrame, group: list[str], chunk: list[str], totals: dict[str, Column]) -> DataFrame:
     """Per chunk and name: ``<name>__before``, the total of all earlier chunks of the group,
     and ``<name>__past``, the same with the chunk's own total added."""
-    sums = df.groupBy(*group, *chunk).agg(*[F.sum(c).cast("bigint").alias(f"{n}__own") for n, c in totals.items()])
+    # Joining by these columns leaves NULLs out; saying so here keeps the totals the same plan
+    # at every level, and Spark then computes them once.
+    known = reduce(lambda rows, name: rows.where(F.col(name).isNotNull()), [*group, *chunk], df)
+    sums = known.groupBy(*group, *chunk).agg(*[F.sum(c).cast("bigint").alias(f"{n}__own") for n, c in totals.items()])
     placed = running_totals(
         sums,
         group=group,
@@ -76,6 +81,8 @@ def running_totals(
 ) -> DataFrame:
     """Add, for each name, the sum of its column over all earlier rows of the group.
 
+    Group and chunk columns must not be NULL.
+
     ``lit(1)`` as a column gives a dense 0-based position. The order key must be unique
     within a group. Rows are exchanged once, on (group, chunk), and keep that partitioning;
     the far smaller chunk totals are joined to them there. ``bounds_of`` names a total whose
