@@ -49,9 +49,9 @@ def ingest_stream(stream: DataFrame, target: str, checkpoint: str, partition_by:
 
 def tokenize_stream(stream: DataFrame, tokenizer: HashTokenizer, text: str = "text") -> DataFrame:
     """The batch tokenizer's columns on a stream: ``num_tokens`` and ``tokens``, empty rows dropped."""
-    return (
-        stream.withColumn("num_tokens", tokenizer.count(F.col(text)))
-        .where(F.col("num_tokens") > 0)
-        .withColumn("tokens", tokenizer.ids(F.col(text)))
-        .drop(text)
-    )
+    return count_stream(stream, tokenizer, text).withColumn("tokens", tokenizer.ids(F.col(text))).drop(text)
+
+
+def count_stream(stream: DataFrame, tokenizer: HashTokenizer, text: str = "text") -> DataFrame:
+    """Only ``num_tokens`` beside the text, empty rows dropped."""
+    return stream.withColumn("num_tokens", tokenizer.count(F.col(text))).where(F.col("num_tokens") > 0)

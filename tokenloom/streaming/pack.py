@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tokenloom.operators.index import index_sequences
@@ -44,11 +44,14 @@ def pack_stream(
     state: str,
     checkpoint: str,
     key: str,
+    tokens: Column | None = None,
     keys_per_chunk: int | None = None,
 ) -> StreamingQuery:
     """Pack ``dataset``, ``key``, ``num_tokens``, ``tokens`` rows into blocks under ``target``.
 
     The order of a dataset's stream is micro-batch by micro-batch, by ``key`` within one.
+    Rows may carry text instead of tokens, with ``tokens`` the expression that makes the
+    one from the other: tokenizing then happens after the rows are spread by chunk.
     """
 
     def pack_batch(batch: DataFrame, batch_id: int) -> None:
@@ -56,7 +59,7 @@ def pack_stream(
         here = f"{target}/batch={batch_id}"
         carried = _latest_state(spark, state, batch_id)
         batch.persist()
-        blocks = continue_blocks(batch, carried, block_len, key=key, keys_per_chunk=keys_per_chunk)
+        blocks = continue_blocks(batch, carried, block_len, key=key, tokens=tokens, keys_per_chunk=keys_per_chunk)
         blocks.write.mode("overwrite").partitionBy("whole").parquet(here)
         unfinished = spark.read.schema(PACKED).parquet(here).where("not whole")
         after = next_state(batch, carried, unfinished)
@@ -72,7 +75,13 @@ def pack_stream(
 
 
 def continue_blocks(
-    batch: DataFrame, carried: DataFrame, block_len: int, *, key: str, keys_per_chunk: int | None = None
+    batch: DataFrame,
+    carried: DataFrame,
+    block_len: int,
+    *,
+    key: str,
+    tokens: Column | None = None,
+    keys_per_chunk: int | None = None,
 ) -> DataFrame:
     """Blocks of the batch behind what was carried over, ``whole`` or still unfinished."""
     chunked = chunk_by_key(batch, key, keys_per_chunk) if keys_per_chunk else chunk_by_key(batch, key)
@@ -83,7 +92,7 @@ def continue_blocks(
         "dataset",
         (F.col("token_start") + F.coalesce("total_tokens", F.lit(0))).alias("token_start"),
         "num_tokens",
-        "tokens",
+        (F.col("tokens") if tokens is None else tokens).alias("tokens"),
     )
     tails = carried.where(F.size("tail") > 0).select(
         "dataset",

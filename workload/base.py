@@ -41,14 +41,21 @@ def indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_corpus(corpus(spark, sf_dir), TOKENIZER, key="doc_id")
 
 
+_written: dict[tuple[str, str], str] = {}
+
+
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The token table written and read back, as a training run finds it.
+    """The corpus as a written token table, as a training run finds it.
 
-    What needs ids and sizes then reads just those columns, however often.
+    Each session tokenizes a corpus once and its feeds read the result; what needs ids and
+    sizes reads just those columns.
     """
-    path = scratch_path(spark, "token-table")
-    write_tokens(indexed(spark, sf_dir), path, presorted=True)
-    return read_tokens(spark, path)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        path = scratch_path(spark, "token-table")
+        write_tokens(indexed(spark, sf_dir), path, presorted=True)
+        _written[key] = path
+    return read_tokens(spark, _written[key])
 
 
 def digest(tokens: Column) -> Column:

@@ -127,12 +127,13 @@ def pack_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs.where(div(F.col("doc_id") * 3, last) == delivery).write.mode("append").parquet(paths["arrivals"])
         arrivals = ingest.read_stream(spark, paths["arrivals"], docs.schema)
         pack.pack_stream(
-            ingest.tokenize_stream(arrivals, TOKENIZER),
+            ingest.count_stream(arrivals, TOKENIZER),
             BLOCK_LEN,
             target=paths["packed"],
             state=paths["pack-state"],
             checkpoint=paths["pack-checkpoint"],
             key="doc_id",
+            tokens=TOKENIZER.ids(F.col("text")),
         ).awaitTermination()
     return described(pack.read_packed(spark, paths["packed"]), "dataset", "block_id")
 
