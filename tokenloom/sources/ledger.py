@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenloom.schemas import LEDGER
+from tokenloom.session import empty_table
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """All completion marks; an absent ledger is an empty one."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     if not hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop(path)):
-        return spark.createDataFrame([], LEDGER)
+        return empty_table(spark, LEDGER)
     return spark.read.schema(LEDGER).parquet(path)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tokenloom.operators.index import index_sequences
 from tokenloom.operators.ordering import chunk_by_key
 from tokenloom.operators.packing import assemble, cut_pieces
+from tokenloom.session import empty_table
 from tokenloom.sources.corpus import list_files
 
 STATE = T.StructType(
@@ -136,5 +137,5 @@ def _latest_state(spark: SparkSession, state: str, batch_id: int) -> DataFrame:
     done = [int(re.search(r"batch=(\d+)$", p).group(1)) for p in list_files(spark, state, "batch=*")]
     earlier = [b for b in done if b < batch_id]
     if not earlier:
-        return spark.createDataFrame([], STATE)
+        return empty_table(spark, STATE)
     return spark.read.schema(STATE).parquet(f"{state}/batch={max(earlier)}")
