@@ -87,9 +87,10 @@ def test_a_replayed_batch_overwrites_itself(spark, tmp_path):
 
 
 def test_a_dataset_missing_from_a_batch_keeps_its_tail(spark, tmp_path):
-    carried = spark.createDataFrame([("a", 20, 2, [1, 2, 3, 4]), ("b", 16, 1, [])], pack.STATE)
+    carried = spark.createDataFrame([("a", 20, [1, 2, 3, 4]), ("b", 16, []), ("c", 32, [])], pack.STATE)
     batch = spark.createDataFrame([("b", 0, 5, [9] * 5)], "dataset string, doc_id bigint, num_tokens bigint, tokens array<int>")
     blocks = pack.continue_blocks(batch, carried, LEN, key="doc_id")
-    after = {r.dataset: r for r in pack.next_state(batch, carried, blocks.where("not whole")).collect()}
+    after = {r.dataset: r for r in pack.next_state(carried, blocks, LEN).collect()}
     assert (after["a"].total_tokens, after["a"].tail) == (20, [1, 2, 3, 4])
-    assert (after["b"].total_tokens, after["b"].total_sequences, after["b"].tail) == (21, 2, [9] * 5)
+    assert (after["b"].total_tokens, after["b"].tail) == (21, [9] * 5)
+    assert (after["c"].total_tokens, after["c"].tail) == (32, [])

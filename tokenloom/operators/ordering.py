@@ -21,8 +21,8 @@ CHUNK = "chunk"
 CHUNKS = [CHUNK_HI, CHUNK]
 
 # Small chunks spread hot datasets evenly over the shuffle partitions; two levels of this size
-# keep every window bounded: 10**11 rows make 10**8 chunks under 10**5 coarse ones.
-CHUNK_KEYS = 1 << 10
+# keep every window bounded: 10**11 rows make 4 * 10**8 chunks under 4 * 10**5 coarse ones.
+CHUNK_KEYS = 1 << 8
 COARSE_FANOUT = 1 << 10
 
 

@@ -1,7 +1,7 @@
 """Packing a live stream: every micro-batch continues each dataset's token stream.
 
-What one micro-batch hands to the next is small: per dataset its token and sequence counts
-and the tokens of its unfinished block. It is written per batch id, as the blocks are, so a
+What one micro-batch hands to the next is small: per dataset its token count and the tokens
+of its unfinished block. It is written per batch id, as the blocks are, so a
 replayed batch reads the same state and overwrites its own output.
 """
 
@@ -18,11 +18,13 @@ from tokenloom.operators.packing import assemble, cut_pieces
 from tokenloom.session import empty_table
 from tokenloom.sources.corpus import list_files
 
+# Micro-batches are small; small chunks still spread them over the cores.
+MICRO_BATCH_CHUNK_KEYS = 128
+
 STATE = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
         T.StructField("total_tokens", T.LongType()),
-        T.StructField("total_sequences", T.LongType()),
         T.StructField("tail", T.ArrayType(T.IntegerType())),
     ]
 )
@@ -31,6 +33,7 @@ PACKED = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
         T.StructField("block_id", T.LongType()),
+        T.StructField("length", T.LongType()),
         T.StructField("tokens", T.ArrayType(T.IntegerType())),
         T.StructField("whole", T.BooleanType()),
     ]
@@ -46,7 +49,7 @@ def pack_stream(
     checkpoint: str,
     key: str,
     tokens: Column | None = None,
-    keys_per_chunk: int | None = None,
+    keys_per_chunk: int = MICRO_BATCH_CHUNK_KEYS,
 ) -> StreamingQuery:
     """Pack ``dataset``, ``key``, ``num_tokens``, ``tokens`` rows into blocks under ``target``.
 
@@ -59,13 +62,10 @@ def pack_stream(
         spark = batch.sparkSession
         here = f"{target}/batch={batch_id}"
         carried = _latest_state(spark, state, batch_id)
-        batch.persist()
         blocks = continue_blocks(batch, carried, block_len, key=key, tokens=tokens, keys_per_chunk=keys_per_chunk)
         blocks.write.mode("overwrite").partitionBy("whole").parquet(here)
-        unfinished = spark.read.schema(PACKED).parquet(here).where("not whole")
-        after = next_state(batch, carried, unfinished)
+        after = next_state(carried, spark.read.schema(PACKED).parquet(here), block_len)
         after.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
-        batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(pack_batch)
@@ -82,10 +82,10 @@ def continue_blocks(
     *,
     key: str,
     tokens: Column | None = None,
-    keys_per_chunk: int | None = None,
+    keys_per_chunk: int = MICRO_BATCH_CHUNK_KEYS,
 ) -> DataFrame:
     """Blocks of the batch behind what was carried over, ``whole`` or still unfinished."""
-    chunked = chunk_by_key(batch, key, keys_per_chunk) if keys_per_chunk else chunk_by_key(batch, key)
+    chunked = chunk_by_key(batch, key, keys_per_chunk)
     placed = index_sequences(chunked, order=[key]).join(
         carried.select("dataset", "total_tokens"), "dataset", "left"
     )
@@ -103,34 +103,24 @@ def continue_blocks(
     )
     pieces = cut_pieces(rows.unionByName(tails), block_len, keep=["dataset"])
     blocks = assemble(pieces, ["dataset", "block_id"])
-    return blocks.withColumn("whole", F.col("length") == block_len).drop("length")
+    return blocks.withColumn("whole", F.col("length") == block_len)
 
 
-def next_state(batch: DataFrame, carried: DataFrame, unfinished: DataFrame) -> DataFrame:
-    """What the next micro-batch needs to know."""
-    added = batch.groupBy("dataset").agg(
-        F.sum("num_tokens").cast("bigint").alias("new_tokens"),
-        F.count_if(F.col("num_tokens") > 0).alias("new_sequences"),
-    )
-    tails = carried.join(added, "dataset", "left_anti").select("dataset", "tail").unionByName(
-        unfinished.join(added, "dataset", "left_semi").select("dataset", F.col("tokens").alias("tail"))
+def next_state(carried: DataFrame, written: DataFrame, block_len: int) -> DataFrame:
+    """What the next micro-batch needs, read off the blocks this one wrote."""
+    ends = written.groupBy("dataset").agg(
+        F.max(F.col("block_id") * block_len + F.col("length")).alias("total_tokens")
     )
-
-    def summed(old: str, new: str):
-        return (F.coalesce(old, F.lit(0)) + F.coalesce(new, F.lit(0))).alias(old)
-
-    return (
-        carried.drop("tail")
-        .join(added, "dataset", "full")
-        .select("dataset", summed("total_tokens", "new_tokens"), summed("total_sequences", "new_sequences"))
-        .join(tails, "dataset", "left")
-        .withColumn("tail", F.coalesce("tail", F.array().cast("array<int>")))
+    tails = written.where("not whole").select("dataset", F.col("tokens").alias("tail"))
+    moved = ends.join(tails, "dataset", "left").withColumn(
+        "tail", F.coalesce("tail", F.array().cast("array<int>"))
     )
+    return moved.unionByName(carried.join(ends, "dataset", "left_anti"))
 
 
 def read_packed(spark: SparkSession, target: str) -> DataFrame:
     """All whole blocks written so far."""
-    return spark.read.schema(PACKED).parquet(target).where("whole").drop("whole")
+    return spark.read.schema(PACKED).parquet(target).where("whole").drop("whole", "length")
 
 
 def _latest_state(spark: SparkSession, state: str, batch_id: int) -> DataFrame:
