@@ -56,9 +56,14 @@ class Mix:
     def block_len(self) -> int:
         return self.seq_len + 1
 
+    @property
+    def datasets(self) -> list[str]:
+        """The dataset of every entry: the last part of its path."""
+        return [path.rstrip("/").split("/")[-1] for path, _, _ in self.entries]
+
     def frame(self, spark: SparkSession) -> DataFrame:
-        """One row per entry, with its ``share``. An entry's dataset is the last part of its path."""
-        rows = [(i, p.rstrip("/").split("/")[-1], w, n) for i, (p, w, n) in enumerate(self.entries)]
+        """One row per entry, with its ``share``."""
+        rows = [(i, d, w, n) for i, (d, (_, w, n)) in enumerate(zip(self.datasets, self.entries))]
         return normalize_weights(spark.createDataFrame(rows, MIX))
 
 

@@ -6,10 +6,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenloom.functions.tokens import HashTokenizer, num_tokens, token_width
 from tokenloom.operators.index import index_sequences
-from tokenloom.operators.ordering import CHUNKS, chunk_by_key
-from tokenloom.sources.corpus import cap_samples, text_column
-from tokenloom.sources.ledger import mark_done
+from tokenloom.operators.ordering import CHUNK_KEYS, CHUNKS, chunk_by_key
+from tokenloom.plans.jobs import DOWNLOAD, TOKENIZE, fill_defaults, job_entries, plan, select_datasets
+from tokenloom.sources.corpus import (
+    SHARD_BYTES,
+    assign_shards,
+    cap_samples,
+    read_corpus,
+    string_bytes,
+    text_column,
+    with_file_order,
+    write_shards,
+)
+from tokenloom.sources.ledger import mark_done, read_ledger
 from tokenloom.sources.token_table import dataset_stats, write_tokens
+from tokenloom.streaming.ingest import ingest_stream, read_stream
 
 
 def with_text(df: DataFrame, column: str = "text", preprocess: str | None = None) -> DataFrame:
@@ -38,17 +49,19 @@ def index_corpus(
     corpus: DataFrame,
     tokenizer: HashTokenizer = HashTokenizer(),
     *,
-    key: str,
-    keys_per_chunk: int | None = None,
+    key: str | None = None,
+    keys_per_chunk: int = CHUNK_KEYS,
 ) -> DataFrame:
-    """Token table rows for a ``dataset``, ``key``, ``text`` corpus.
+    """Token table rows for a ``dataset``, ``text`` corpus in the order of an integer ``key``.
 
-    Text is what gets exchanged into order; it is tokenized afterwards, in the partitions
-    it ends up in, however unevenly the input files are cut.
+    Without a key the corpus carries the columns of :func:`with_file_order` and keeps that
+    order. Text is what gets exchanged into order; it is tokenized afterwards, in the
+    partitions it ends up in, however unevenly the input files are cut.
     """
-    counted = corpus.withColumn("num_tokens", tokenizer.count(F.col("text")))
-    chunked = chunk_by_key(counted, key, keys_per_chunk) if keys_per_chunk else chunk_by_key(counted, key)
-    indexed = index_sequences(chunked, order=[key], width=token_width(F.lit(tokenizer.id_count)))
+    rows = chunk_by_key(corpus, key, keys_per_chunk) if key else corpus
+    counted = rows.withColumn("num_tokens", tokenizer.count(F.col("text")))
+    width = token_width(F.lit(tokenizer.id_count))
+    indexed = index_sequences(counted, order=[key or "row"], width=width)
     return indexed.withColumn("tokens", tokenizer.ids(F.col("text"))).drop("text")
 
 
@@ -56,22 +69,90 @@ def prepare_corpus(
     raw: DataFrame,
     *,
     name: str,
-    key: str,
     target: str,
     ledger: str,
+    key: str | None = None,
     tokenizer: HashTokenizer = HashTokenizer(),
     text: str = "text",
     preprocess: str | None = None,
     max_samples: int | None = None,
 ) -> DataFrame:
-    """Write one dataset into the token table, mark it done and return its metadata row."""
+    """Write one dataset into the token table, mark it done and return its metadata row.
+
+    ``raw`` comes straight from a Parquet reader, or has an integer ``key`` for its order.
+    """
     spark: SparkSession = raw.sparkSession
-    corpus = with_text(raw.select(key, text), text, preprocess).withColumn("dataset", F.lit(name))
+    if key:
+        rows, order = raw.select(key, text), [key]
+    else:
+        rows = with_file_order(raw).select(text, "row", *CHUNKS)
+        order = ["row"]
+    corpus = with_text(rows, text, preprocess).withColumn("dataset", F.lit(name))
     if max_samples is not None:
-        corpus = cap_samples(chunk_by_key(corpus, key), max_samples, order=[key]).drop(*CHUNKS)
+        chunked = chunk_by_key(corpus, key) if key else corpus
+        corpus = cap_samples(chunked, max_samples, order=order)
     write_tokens(index_corpus(corpus, tokenizer, key=key), target, mode="append", presorted=True)
-    mark_done(spark.createDataFrame([(name, target)], "name string, path string"), ledger, "tokenize")
+    mark_done(spark.createDataFrame([(name, target)], "name string, path string"), ledger, TOKENIZE)
     written = spark.read.parquet(target).where(F.col("dataset") == name)
     return dataset_stats(
         written, vocab_size=tokenizer.id_count, add_bos=tokenizer.add_bos, add_eos=tokenizer.add_eos
     )
+
+
+def ingest_corpus(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    *,
+    name: str,
+    ledger: str,
+    streaming: bool = True,
+    max_samples: int | None = None,
+    target_bytes: int = SHARD_BYTES,
+) -> None:
+    """Bring a reachable Parquet dataset into its raw folder and mark it done.
+
+    Streaming takes files in as they are and resumes after a stop; otherwise, and whenever
+    rows are capped, rows are laid out in size-targeted shards in file order.
+    """
+    if streaming and max_samples is None:
+        stream = read_stream(spark, source, spark.read.parquet(source).schema)
+        ingest_stream(stream, target, f"{target}/_stream_checkpoint").awaitTermination()
+    else:
+        rows = with_file_order(read_corpus(spark, source))
+        capped = cap_samples(rows, max_samples, order=["row"], group=[])
+        columns = [c for c in rows.columns if c not in ("file", "row", *CHUNKS)]
+        size = string_bytes(capped.select(*columns))
+        placed = assign_shards(capped, order=["row"], size=size, target_bytes=target_bytes, group=[])
+        write_shards(placed, target, group=[], order=["file", "row"], columns=columns)
+    mark_done(spark.createDataFrame([(name, target)], "name string, path string"), ledger, DOWNLOAD)
+
+
+def run_jobs(spark: SparkSession, settings: dict, stage: str, *, only=None, overrides=None, dry_run=False) -> DataFrame:
+    """Run a stage for every entry of a job list that still needs it; returns the plan.
+
+    Entries run one after the other, each as jobs over the whole cluster. ``source_dir``
+    holds the datasets, ``input_dir`` the raw folders, ``output_dir`` the token table and
+    ``ledger`` the completion marks.
+    """
+    entries = select_datasets(fill_defaults(job_entries(spark, settings), settings, overrides), only)
+    todo = plan(entries, read_ledger(spark, settings["ledger"]), stage)
+    if dry_run:
+        return todo
+    listed = todo.collect()
+    for entry in listed:
+        raw_dir = f"{settings['input_dir']}/{entry.raw_dir}"
+        if stage == DOWNLOAD:
+            parts = [settings["source_dir"], entry.dataset, entry.subset, entry.split]
+            source = "/".join(p for p in parts if p)
+            ingest_corpus(
+                spark, source, raw_dir, name=entry["name"], ledger=settings["ledger"],
+                streaming=entry.streaming, max_samples=entry.max_samples,
+            )
+        else:
+            tokenizer = HashTokenizer(add_bos=entry.add_bos, add_eos=entry.add_eos)
+            prepare_corpus(
+                spark.read.parquet(raw_dir), name=entry["name"], target=settings["output_dir"],
+                ledger=settings["ledger"], tokenizer=tokenizer, text=entry.text_column, preprocess=entry.preprocess,
+            )
+    return spark.createDataFrame(listed, todo.schema) if listed else todo.limit(0)

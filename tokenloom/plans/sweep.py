@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenloom.operators.runs import list_checkpoints, pending_evals, sweep_summary
 from tokenloom.sources.corpus import list_files
 
 
-def folder_listing(spark, path: str) -> DataFrame:
+def folder_listing(spark: SparkSession, path: str) -> DataFrame:
     """Names and paths directly under a run folder."""
     paths = [(p.rstrip("/").split("/")[-1], p) for p in list_files(spark, path, "*")]
     return spark.createDataFrame(paths, "name string, path string")
@@ -19,6 +19,16 @@ def plan_sweep(listing: DataFrame, results: DataFrame, last: int | None = None,
     return pending_evals(list_checkpoints(listing, last), results, force).orderBy("step")
 
 
+def pending_folders(
+    spark: SparkSession, folder: str, results: str | None, last: int | None = None, force: bool = False
+) -> DataFrame:
+    """Checkpoint folders without a result file in the result folder of the same name."""
+    done = [p.rsplit("/", 2)[1] for p in list_files(spark, results, "*/results_*.json")] if results else []
+    finished = spark.createDataFrame([(n,) for n in sorted(set(done))], "name string")
+    checkpoints = list_checkpoints(folder_listing(spark, folder), last)
+    return pending_evals(checkpoints, finished, force, key="name").orderBy("step")
+
+
 def report_sweep(checkpoints: DataFrame, exits: DataFrame) -> DataFrame:
     """Done and failed counts, and the failed paths."""
     failed = exits.where(F.col("exit_code") != 0).select("path")

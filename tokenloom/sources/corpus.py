@@ -12,8 +12,9 @@ from tokenloom.session import settle
 
 # Fixed value: target size of one output shard.
 SHARD_BYTES = 256 * 1024 * 1024
+SHARD_DIGITS = 8
 
-ROWS_PER_FILE_CHUNK = 1 << 12
+ROWS_PER_FILE_CHUNK = 1 << 10
 
 # File names of each kind, in order of preference.
 PATTERNS = {"parquet": "*.parquet", "jsonl": "*.{jsonl,json}"}
@@ -164,9 +165,14 @@ def assign_even_shards(
     )
 
 
-def write_shards(df: DataFrame, path: str, group: list[str] = ["dataset"], order: list[str] | None = None) -> None:
-    """One folder per dataset and shard, rows in order. Each shard is one write task's file."""
-    placed = df.repartition(*group, "shard")
-    if order:
-        placed = placed.sortWithinPartitions(*group, "shard", *order)
-    placed.write.partitionBy(*group, "shard").parquet(path)
+def write_shards(
+    df: DataFrame, path: str, *, order: list[str], columns: list[str], group: list[str] = ["dataset"]
+) -> None:
+    """One folder per dataset and shard, rows in order; folder names sort as the shards do.
+
+    Each shard is one write task's file and holds ``columns``.
+    """
+    named = df.withColumn("shard", F.lpad(F.col("shard").cast("string"), SHARD_DIGITS, "0"))
+    placed = named.repartition(*group, "shard")
+    rows = placed.sortWithinPartitions(*group, "shard", *order).select(*group, *columns, "shard")
+    rows.write.partitionBy(*group, "shard").parquet(path)

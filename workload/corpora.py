@@ -72,7 +72,7 @@ def write_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = chunk_by_key(corpus(spark, sf_dir), "doc_id")
     placed = raw.assign_shards(docs, order=["doc_id"], size=F.octet_length("text").cast("bigint"), target_bytes=SHARD_BYTES)
     path = scratch_path(spark, "shards")
-    raw.write_shards(placed.select("dataset", "doc_id", "text", "shard"), path, order=["doc_id"])
+    raw.write_shards(placed, path, order=["doc_id"], columns=["doc_id", "text"])
     return spark.read.parquet(path).groupBy("dataset", F.col("shard").cast("bigint").alias("shard")).agg(
         F.count("*").alias("rows"),
         F.sum(F.octet_length("text")).alias("bytes"),

@@ -40,7 +40,7 @@ def _mix(spark, sf_dir):
 
 def draws_per_worker(spark: SparkSession, sf_dir: str) -> int:
     """Half as many draws per worker as the corpus has blocks: one aggregate row."""
-    tokens = sizes(spark, sf_dir).agg(F.sum("num_tokens")).first()[0]
+    tokens = stored(spark, sf_dir).agg(F.sum("num_tokens")).first()[0]
     return tokens // (2 * BLOCK_LEN)
 
 
