@@ -17,6 +17,10 @@ SQL_SETTINGS = {
 }
 
 
+# Temporary folders of local sessions, by application.
+_local_dirs: dict[str, str] = {}
+
+
 def build_session(app: str = "tokenloom", master: str | None = None, **settings) -> SparkSession:
     """A session with the settings above; ``settings`` use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -37,12 +41,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="run-tokenloom-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="run-tokenloom-")
+    return _local_dirs[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
