@@ -58,6 +58,12 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, _written[key])
 
 
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles at a precision that does not depend on the order of addition."""
+    doubles = [name for name, kind in df.dtypes if kind == "double"]
+    return df.withColumns({name: F.round(name, digits) for name in doubles})
+
+
 def digest(tokens: Column) -> Column:
     return F.md5(F.array_join(tokens.cast("array<string>"), ","))
 

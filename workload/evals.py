@@ -10,10 +10,12 @@ from tokenloom.functions import scoring as score, tasks
 from tokenloom.functions.text import WHITESPACE
 from tokenloom.functions.tokens import word_count
 from tokenloom.operators import evalsets, runs, scoring
-from workload.base import SEED, WORDS_SQL, documents as _documents, table
+from workload.base import SEED, WORDS_SQL, documents as _documents, rounded, table
 
 SHOTS = 3
 LAST = 5
+DONE_VALUE = 20
+FAILED_VALUE = 5
 
 
 def _option(i: int):
@@ -179,8 +181,10 @@ def loglik_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("embedding", lambda x, i: (i % 5 + 1).cast("double")).alias("tokens"),
         F.transform("embedding", lambda x, i: (i * 7 % 11 + 3).cast("double")).alias("chars"),
     )
-    return scoring.loglik_accuracy(
-        rows, ["label"], logprobs="logprobs", gold="label", token_lengths="tokens", char_lengths="chars"
+    return rounded(
+        scoring.loglik_accuracy(
+            rows, ["label"], logprobs="logprobs", gold="label", token_lengths="tokens", char_lengths="chars"
+        )
     )
 
 
@@ -199,7 +203,9 @@ def exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = score.exact_match(F.col("prediction"), F.col("text"))
     quasi = score.quasi_exact_match(F.col("prediction"), F.col("text"))
     both = rows.select("lang", exact.alias("em"), quasi.alias("qem"))
-    return both.groupBy("lang").agg(F.count("*").alias("num_examples"), F.avg("em").alias("em"), F.avg("qem").alias("qem"))
+    return rounded(
+        both.groupBy("lang").agg(F.count("*").alias("num_examples"), F.avg("em").alias("em"), F.avg("qem").alias("qem"))
+    )
 
 
 def numeric_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,8 +239,10 @@ def judge_score_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = _documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id").withColumn(
         "points", F.col("quality") + 4 * F.col("toxic")
     )
-    return scoring.judge_score_mean(
-        judged, ["lang", "source"], score="points", freeform=F.col("lang").isin("en", "de")
+    return rounded(
+        scoring.judge_score_mean(
+            judged, ["lang", "source"], score="points", freeform=F.col("lang").isin("en", "de")
+        )
     )
 
 
@@ -248,7 +256,7 @@ def _listing(spark, sf_dir):
         .when(F.col("event_type") == "signup", F.concat(F.lit("my_step_"), number))
         .otherwise(F.lit("logs"))
     )
-    listed = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", name.alias("name"))
+    listed = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", name.alias("name"))
     return listed.withColumn("path", F.concat_ws("/", F.lit("runs"), F.col("user_id").cast("string"), "name"))
 
 
@@ -257,15 +265,16 @@ def latest_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pending_evals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpoints whose user id is odd have results already."""
+    """Checkpoints of a high value have results already."""
     checkpoints = runs.list_checkpoints(_listing(spark, sf_dir))
-    return runs.pending_evals(checkpoints, checkpoints.where(F.col("user_id") % 2 == 1)).select("path", "step")
+    return runs.pending_evals(checkpoints, checkpoints.where(F.col("value") > DONE_VALUE)).select("path", "step")
 
 
 def sweep_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Done and failed checkpoints per kind of folder; some were never started."""
+    """Done and failed checkpoints per kind of folder; the high ones were not started again."""
     checkpoints = runs.list_checkpoints(_listing(spark, sf_dir))
-    exits = checkpoints.where(F.col("user_id") % 2 == 0).select("path", (F.col("event_id") % 3).alias("exit_code"))
+    exit_code = F.when(F.col("value") < FAILED_VALUE, 1).otherwise(0)
+    exits = checkpoints.where(F.col("value") <= DONE_VALUE).select("path", exit_code.alias("exit_code"))
     return runs.sweep_summary(checkpoints, exits, ["event_type"])
 
 
@@ -338,7 +347,7 @@ registry AS (
 
 LISTING_SQL = """
 listing AS (
-  SELECT event_id, user_id, event_type,
+  SELECT event_id, user_id, event_type, value,
          CASE event_type WHEN 'click' THEN 'step_' || event_id WHEN 'view' THEN 'checkpoint-' || event_id END AS name,
          event_id AS step
   FROM events WHERE event_type IN ('click', 'view')),
@@ -417,16 +426,16 @@ ORACLES = {
         best AS (SELECT vec_id, label, arg_max(i, (p, -i)) AS plain, arg_max(i, (p / (i % 5 + 1), -i)) AS by_token,
                         arg_max(i, (p / (i * 7 % 11 + 3), -i)) AS by_char
                  FROM choices GROUP BY vec_id, label)
-        SELECT label, count(*) AS num_examples, avg((plain = label)::INT) AS acc,
-               avg((by_token = label)::INT) AS acc_norm_token, avg((by_char = label)::INT) AS acc_norm
+        SELECT label, count(*) AS num_examples, round(avg((plain = label)::INT), 6) AS acc,
+               round(avg((by_token = label)::INT), 6) AS acc_norm_token, round(avg((by_char = label)::INT), 6) AS acc_norm
         FROM best GROUP BY label""",
     "exact_match": f"""
         WITH p AS (SELECT lang, text, CASE WHEN quality = 1 THEN ' ' || text || chr(10)
                           ELSE 'The  ' || replace(text, ',', ' ;') || '!' END AS prediction
                    FROM documents LEFT JOIN labels USING (doc_id))
         SELECT lang, count(*) AS num_examples,
-               avg((trim(prediction, {BLANKS_SQL}) = trim(text, {BLANKS_SQL}))::INT) AS em,
-               avg(({normalized_sql('prediction')} = {normalized_sql('text')})::INT) AS qem
+               round(avg((trim(prediction, {BLANKS_SQL}) = trim(text, {BLANKS_SQL}))::INT), 6) AS em,
+               round(avg(({normalized_sql('prediction')} = {normalized_sql('text')})::INT), 6) AS qem
         FROM p GROUP BY lang""",
     "numeric_match": f"""
         WITH p AS (SELECT doc_id, text, n_chars, coalesce(quality = 1, false) AS good,
@@ -448,15 +457,15 @@ ORACLES = {
         SELECT doc_id, length(cleaned) AS chars, md5(cleaned) AS clean_md5, over_budget FROM cut""",
     "judge_score_mean": """
         SELECT lang, source, count(*) AS num_examples,
-               avg((quality + 4 * toxic) / CASE WHEN lang IN ('en', 'de') THEN 5.0 ELSE 1.0 END) AS judge_score
+               round(avg((quality + 4 * toxic) / CASE WHEN lang IN ('en', 'de') THEN 5.0 ELSE 1.0 END), 6) AS judge_score
         FROM documents JOIN labels USING (doc_id) GROUP BY lang, source""",
     "latest_checkpoints": f"""
         WITH {LISTING_SQL} SELECT name, step, path FROM checkpoints ORDER BY step DESC LIMIT {LAST}""",
-    "pending_evals": f"WITH {LISTING_SQL} SELECT path, step FROM checkpoints WHERE user_id % 2 = 0",
+    "pending_evals": f"WITH {LISTING_SQL} SELECT path, step FROM checkpoints WHERE value <= {DONE_VALUE}",
     "sweep_summary": f"""
         WITH {LISTING_SQL}
         SELECT event_type, count(*) AS num_checkpoints,
-               count(*) FILTER (WHERE user_id % 2 = 1 OR event_id % 3 = 0) AS num_done,
-               count(*) FILTER (WHERE user_id % 2 = 0 AND event_id % 3 <> 0) AS num_failed
+               count(*) FILTER (WHERE value >= {FAILED_VALUE}) AS num_done,
+               count(*) FILTER (WHERE value < {FAILED_VALUE}) AS num_failed
         FROM checkpoints GROUP BY event_type""",
 }

@@ -14,6 +14,7 @@ from workload.base import (
     WORKERS,
     describe_sql,
     described,
+    rounded,
     sizes,
     stored,
     table,
@@ -50,7 +51,7 @@ def _schedule(spark, sf_dir, draws=None):
 
 
 def normalize_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mix(spark, sf_dir)
+    return rounded(_mix(spark, sf_dir))
 
 
 def mix_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,9 +63,10 @@ def mix_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draws of every entry beside its share."""
     draws = table(spark, sf_dir, "documents").count()
     drawn = _schedule(spark, sf_dir, draws).groupBy("ds_idx").agg(F.count("*").alias("draws"))
-    return _mix(spark, sf_dir).join(drawn, "ds_idx", "left").select(
+    compared = _mix(spark, sf_dir).join(drawn, "ds_idx", "left").select(
         "ds_idx", "dataset", "share", "draws", (F.col("draws") / (draws * WORKERS)).alias("drawn_share")
     )
+    return rounded(compared)
 
 
 def number_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +106,7 @@ def token_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate_mix(_mix(spark, sf_dir), sizes(spark, sf_dir), BLOCK_LEN)
+    return rounded(validate_mix(_mix(spark, sf_dir), sizes(spark, sf_dir), BLOCK_LEN))
 
 
 QUERIES = {
@@ -163,11 +165,12 @@ feed AS (
     ON stream_blocks.dataset = numbered.dataset AND shard = worker % stride AND block_id = block_no)"""
 
 ORACLES = {
-    "normalize_weights": f"WITH {MIX_SQL} SELECT ds_idx, dataset, weight, share FROM mix",
+    "normalize_weights": f"WITH {MIX_SQL} SELECT ds_idx, dataset, round(weight, 6) AS weight, round(share, 6) AS share FROM mix",
     "mix_schedule": f"WITH {schedule_sql(DOC_DRAWS_SQL)} SELECT * FROM schedule",
     "mix_shares": f"""
         WITH {schedule_sql(DOC_DRAWS_SQL)}
-        SELECT ds_idx, dataset, share, draws, draws / ({DOC_DRAWS_SQL} * {WORKERS}) AS drawn_share
+        SELECT ds_idx, dataset, round(share, 6) AS share, draws,
+               round(draws / ({DOC_DRAWS_SQL} * {WORKERS}), 6) AS drawn_share
         FROM mix LEFT JOIN (SELECT ds_idx, count(*) AS draws FROM schedule GROUP BY ds_idx) USING (ds_idx)""",
     "number_draws": f"WITH {schedule_sql(DOC_DRAWS_SQL)} SELECT * FROM numbered",
     "draws_to_blocks": f"""
@@ -191,6 +194,6 @@ ORACLES = {
         WITH {SIZES_SQL}, {COUNTS_SQL}, {MIX_SQL}
         SELECT ds_idx, CASE WHEN ds_idx IS NULL THEN 'TOTAL' ELSE dataset END AS dataset,
                sum(num_sequences)::BIGINT AS num_sequences, sum(total_tokens)::BIGINT AS num_tokens,
-               sum(num_blocks)::BIGINT AS num_blocks, sum(weight) AS weight, sum(share) AS share
+               sum(num_blocks)::BIGINT AS num_blocks, round(sum(weight), 6) AS weight, round(sum(share), 6) AS share
         FROM mix JOIN counts USING (dataset) GROUP BY GROUPING SETS ((ds_idx, dataset), ())""",
 }

@@ -41,11 +41,13 @@ def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def get_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks of the English documents, asked for by the labelled ids wrapped into range."""
-    blocks = packing.block_counts(sizes(spark, sf_dir), BLOCK_LEN).where("dataset = 'en'")
-    limit = blocks.select("num_blocks").scalar()
-    wanted = table(spark, sf_dir, "labels").select(F.lit("en").alias("dataset"), (F.col("doc_id") % limit).alias("block_id"))
-    return described(packing.get_blocks(stored(spark, sf_dir), wanted, BLOCK_LEN), "dataset", "block_id")
+    """Blocks asked for by the labelled documents: their id, wrapped into their language's range."""
+    tokens = stored(spark, sf_dir)
+    counts = packing.block_counts(tokens, BLOCK_LEN).where("num_blocks > 0").select("dataset", "num_blocks")
+    languages = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("dataset"))
+    labelled = table(spark, sf_dir, "labels").join(languages, "doc_id").join(settle(counts, "counts"), "dataset")
+    wanted = labelled.select("dataset", (F.col("doc_id") % F.col("num_blocks")).alias("block_id"))
+    return described(packing.get_blocks(tokens, wanted, BLOCK_LEN), "dataset", "block_id")
 
 
 def _mix(counts: DataFrame) -> DataFrame:
@@ -205,10 +207,10 @@ ORACLES = {
     "block_counts": f"WITH {SIZES_SQL}, {COUNTS_SQL} SELECT * FROM counts",
     "pack_blocks": f"WITH {BLOCKS_SQL} SELECT dataset, block_id, {describe_sql()} FROM blocks",
     "get_blocks": f"""
-        WITH {BLOCKS_SQL}
-        SELECT dataset, block_id, {describe_sql()} FROM blocks
-        WHERE dataset = 'en' AND block_id IN (
-          SELECT doc_id % (SELECT count(*) FROM blocks WHERE dataset = 'en') FROM labels)""",
+        WITH {BLOCKS_SQL}, {COUNTS_SQL},
+        wanted AS (SELECT DISTINCT lang AS dataset, doc_id % num_blocks AS block_id
+                   FROM labels JOIN documents USING (doc_id) JOIN counts ON lang = dataset WHERE num_blocks > 0)
+        SELECT dataset, block_id, {describe_sql()} FROM blocks JOIN wanted USING (dataset, block_id)""",
     "global_blocks": f"""
         WITH {BLOCKS_SQL}, {NUMBERING_SQL},
         s AS (SELECT first_block + block_id AS global_id, ds_idx, dataset, block_id, tokens[1:{BLOCK_LEN - 1}] AS tokens
