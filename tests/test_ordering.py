@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -75,3 +76,13 @@ def test_large_keys_divide_exactly(spark):
     key = 2**62 + 1
     df = spark.createDataFrame([(key,), (key - 1,)], "k bigint")
     assert {(r.k, r.chunk) for r in chunk_by_key(df, "k", 2, 2).collect()} == {(key, key // 2), (key - 1, (key - 1) // 2)}
+
+
+@pytest.mark.parametrize("row", [(None, 1, 1), ("a", None, 1)])
+def test_null_keys_fail_instead_of_vanishing(spark, row):
+    rows = [("a", 2, 1), row]
+    with pytest.raises(Exception, match="NULL in"):
+        totals(spark, rows, 4, 2)
+    with pytest.raises(Exception, match="NULL in"):
+        df = chunk_by_key(table(spark, rows), "k", 4, 2)
+        first_rows(df, group=["g"], chunk=CHUNKS, order=["k"], limit=5).collect()

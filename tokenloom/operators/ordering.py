@@ -48,20 +48,20 @@ def chunk_width(df: DataFrame, key: str, rows_per_chunk: int = CHUNK_KEYS) -> in
     return max(1, (high - low + 1) * rows_per_chunk // rows)
 
 
-def chunk_offsets(df: DataFrame, group: list[str], chunk: list[str], totals: dict[str, Column]) -> DataFrame:
+def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with a NULL in any of the columns failing the job, where a join would lose the row."""
+    return df.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in {k}"))) for k in keys})
+
+
+def _chunk_offsets(df: DataFrame, group: list[str], chunk: list[str], totals: dict[str, Column]) -> DataFrame:
     """Per chunk and name: ``<name>__before``, the total of all earlier chunks of the group,
     and ``<name>__past``, the same with the chunk's own total added."""
-    # Joining by these columns leaves NULLs out; saying so here keeps the totals the same plan
-    # at every level, and Spark then computes them once.
+    # Joins are planned with this condition anyway; saying it here keeps the totals the same
+    # plan at every level, and Spark then computes them once.
     known = reduce(lambda rows, name: rows.where(F.col(name).isNotNull()), [*group, *chunk], df)
     sums = known.groupBy(*group, *chunk).agg(*[F.sum(c).cast("bigint").alias(f"{n}__own") for n, c in totals.items()])
-    placed = running_totals(
-        sums,
-        group=group,
-        chunk=chunk[:-1],
-        order=[chunk[-1]],
-        totals={f"{n}__before": F.col(f"{n}__own") for n in totals},
-    )
+    before = {f"{n}__before": F.col(f"{n}__own") for n in totals}
+    placed = _running_totals(sums, group, chunk[:-1], [chunk[-1]], before, None)
     return placed.select(
         *group,
         *chunk,
@@ -81,7 +81,7 @@ def running_totals(
 ) -> DataFrame:
     """Add, for each name, the sum of its column over all earlier rows of the group.
 
-    Group and chunk columns must not be NULL.
+    A NULL in a group or chunk column fails the job.
 
     ``lit(1)`` as a column gives a dense 0-based position. The order key must be unique
     within a group. Rows are exchanged once, on (group, chunk), and keep that partitioning;
@@ -89,11 +89,15 @@ def running_totals(
     value at the start and past the end of the row's chunk is kept as ``chunk_first`` and
     ``chunk_past``.
     """
+    return _running_totals(require_keys(df, [*group, *chunk]), group, chunk, order, totals, bounds_of)
+
+
+def _running_totals(df, group, chunk, order, totals, bounds_of):
     inside = Window.partitionBy(*group, *chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     within = {n: F.coalesce(F.sum(c).over(inside), F.lit(0)).cast("bigint") for n, c in totals.items()}
     if not chunk:
         return df.withColumns(within)
-    before = chunk_offsets(df, group, chunk, totals)
+    before = _chunk_offsets(df, group, chunk, totals)
     rows = df.withColumns({f"{n}__in": c for n, c in within.items()})
     columns = {n: F.col(f"{n}__before") + F.col(f"{n}__in") for n in totals}
     if bounds_of:
@@ -113,7 +117,8 @@ def first_rows(df: DataFrame, *, group: list[str], chunk: list[str], order: list
     of those that do not is small enough to broadcast; only the kept rows are exchanged and
     numbered, chunk by chunk.
     """
-    offsets = chunk_offsets(df, group, chunk, {"rows": F.lit(1)}).drop("rows__past")
+    df = require_keys(df, [*group, *chunk])
+    offsets = _chunk_offsets(df, group, chunk, {"rows": F.lit(1)}).drop("rows__past")
     started = settle(offsets.where(F.col("rows__before") < limit), "chunks")
     numbered = Window.partitionBy(*group, *chunk).orderBy(*order)
     return (
