@@ -100,6 +100,23 @@ def test_feed_equals_the_iterators(spark, workers, length):
     }
 
 
+def test_a_short_shard_gets_more_epochs(spark):
+    """One long and many tiny sequences: the average says one epoch, most shards need many."""
+    corpus = make({"d": [400] + [1] * 15})
+    tokens = frame(spark, corpus)
+    entries = mix(spark, [(0, "d", 1.0, None)])
+    rows = plans.training_feed(entries, tokens, 7, draws=9, workers=8, seed=SEED).collect()
+    seqs, want = corpus["d"], {}
+    for worker in range(8):
+        stream, epoch = [], 0
+        while len(stream) < 9 * 7:
+            for i in order(16, epoch)[worker::8]:
+                stream += seqs[i]
+            epoch += 1
+        want |= {(worker, step): b[:-1] for step, b in enumerate(cut(stream, 7)[:9])}
+    assert {(r.worker, r.step): r.input_ids for r in rows} == want
+
+
 def test_skipping_is_the_tail_of_the_full_schedule(spark):
     full = {(r.worker, r.step): r.input_ids for r in feed(spark, 3, 30, 4).collect()}
     tail = {(r.worker, r.step): r.input_ids for r in feed(spark, 3, 30, 4, skip=17).collect()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tokenloom.functions.arrays import let
@@ -72,36 +74,59 @@ def number_draws(schedule: DataFrame, steps_per_chunk: int = STEPS_PER_CHUNK) ->
     ).drop("chunk_hi", "chunk")
 
 
-def epochs_needed(index: DataFrame, demand: DataFrame, workers: int, block_len: int) -> DataFrame:
-    """Per dataset, a number of epochs certain to cover the demanded blocks of every shard.
+def estimate_epochs(demand: DataFrame, counts: DataFrame, workers: int, block_len: int) -> DataFrame:
+    """Per dataset, the epochs that cover the demanded blocks when every shard is of average size.
 
-    A shard has at least ``floor(n / stride)`` sequences each epoch, so it has at least as
-    many tokens as that many of the shortest. They are summed from the histogram of sizes.
-    ``demand`` has ``dataset`` and ``blocks``.
+    ``demand`` has ``dataset`` and ``blocks``; ``counts`` sequences and tokens per dataset.
     """
-    sizes = index.groupBy("dataset", "num_tokens").agg(F.count("*").alias("sequences"))
-    up_to = Window.partitionBy("dataset").orderBy("num_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    counts = sizes.groupBy("dataset").agg(F.sum("sequences").alias("num_sequences"))
     stride = F.least(F.lit(workers).cast("bigint"), F.col("num_sequences"))
-    least = (
-        sizes.withColumn("shorter", F.coalesce(F.sum("sequences").over(up_to), F.lit(0)))
-        .join(counts, "dataset")
-        .withColumn("per_shard", div(F.col("num_sequences"), stride))
-        .withColumn(
-            "taken", F.greatest(F.least(F.col("sequences"), F.col("per_shard") - F.col("shorter")), F.lit(0))
-        )
-        .groupBy("dataset")
-        .agg(F.sum(F.col("taken") * F.col("num_tokens")).cast("bigint").alias("least_tokens"))
-    )
-    wanted = F.col("blocks") * block_len
+    wanted = F.col("blocks") * block_len * stride
     return (
         demand.groupBy("dataset")
         .agg(F.max("blocks").alias("blocks"))
-        .join(least, "dataset")
-        .select("dataset", div(wanted + F.col("least_tokens") - 1, F.col("least_tokens")).alias("epochs"))
+        .join(counts, "dataset")
+        .select("dataset", (div(wanted, F.col("num_tokens")) + 1).alias("epochs"))
     )
 
 
+def cover_demand(
+    index: DataFrame, demand: DataFrame, counts: DataFrame, block_len: int, *, workers: int, seed: int
+) -> DataFrame:
+    """The sequences, with their places in the streams, that the demanded blocks are cut from.
+
+    Shards differ in size, so the epochs estimated may leave some shard short. What was laid
+    out is written and checked against the demand; only datasets that fell short get twice
+    the epochs in the next round. One round is the rule, and each round adds tokens to every
+    shard, so the rounds end.
+    """
+    epochs = settle(estimate_epochs(demand, counts, workers, block_len), "epochs")
+    covered: list[DataFrame] = []
+    while True:
+        positions = worker_positions(
+            index.join(epochs, "dataset"), seed=seed, workers=workers, epochs=F.col("epochs"), counts=counts
+        ).drop("epochs")
+        needed = settle(
+            positions.join(demand, ["dataset", "shard"])
+            .where(F.col("stream_start") < F.col("blocks") * block_len)
+            .where(F.col("stream_start") + F.col("num_tokens") > F.col("first_block") * block_len),
+            "positions",
+        )
+        reached = needed.groupBy("dataset", "shard").agg(
+            F.max(F.col("stream_start") + F.col("num_tokens")).alias("reached")
+        )
+        open_datasets = demand.join(epochs, "dataset", "left_semi").join(reached, ["dataset", "shard"], "left")
+        short = settle(
+            open_datasets.where(F.coalesce("reached", F.lit(0)) < F.col("blocks") * block_len)
+            .select("dataset")
+            .distinct(),
+            "short",
+        )
+        covered.append(needed.join(short, "dataset", "left_anti"))
+        if short.isEmpty():
+            return reduce(lambda a, b: a.unionByName(b), covered)
+        epochs = settle(epochs.join(short, "dataset", "left_semi").withColumn("epochs", F.col("epochs") * 2), "epochs")
+
+
 def draws_to_blocks(
     numbered: DataFrame, tokens: DataFrame, block_len: int, *, workers: int, seed: int
 ) -> DataFrame:
@@ -112,11 +137,14 @@ def draws_to_blocks(
     A dataset without tokens fails the job, as its stream would end at once.
     """
     index = tokens.select("dataset", "seq_id", "num_tokens")
-    counts = settle(index.groupBy("dataset").agg(F.count("*").alias("num_sequences")), "counts")
+    sizes = index.groupBy("dataset").agg(
+        F.count("*").alias("num_sequences"), F.sum("num_tokens").cast("bigint").alias("num_tokens")
+    )
+    counts = settle(sizes, "counts")
     missing = F.raise_error(F.concat(F.lit("no tokens in mix dataset "), F.col("dataset"))).cast("bigint")
     stride = F.least(F.lit(workers).cast("bigint"), F.coalesce("num_sequences", missing))
     draws = settle(
-        numbered.join(counts, "dataset", "left")
+        numbered.join(counts.drop("num_tokens"), "dataset", "left")
         .withColumn("shard", F.col("worker") % stride)
         .drop("num_sequences"),
         "draws",
@@ -124,22 +152,7 @@ def draws_to_blocks(
     demand = draws.groupBy("dataset", "shard").agg(
         F.min("block_no").alias("first_block"), (F.max("block_no") + 1).alias("blocks")
     )
-    epochs = epochs_needed(index, demand, workers, block_len)
-    horizon = settle(demand.join(epochs, "dataset"), "horizon")
-    reach = horizon.groupBy("dataset").agg(F.max("epochs").alias("epochs"))
-    positions = worker_positions(
-        index.join(settle(reach, "epochs"), "dataset"),
-        seed=seed,
-        workers=workers,
-        epochs=F.col("epochs"),
-        counts=counts,
-    )
-    needed = (
-        positions.drop("epochs")
-        .join(horizon.drop("epochs"), ["dataset", "shard"])
-        .where(F.col("stream_start") < F.col("blocks") * block_len)
-        .where(F.col("stream_start") + F.col("num_tokens") > F.col("first_block") * block_len)
-    )
+    needed = cover_demand(index, settle(demand, "demand"), counts, block_len, workers=workers, seed=seed)
     blocks = pack_positions(
         tokens, needed, block_len, blocks_from=F.col("first_block"), blocks_before=F.col("blocks")
     )
