@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from tokenloom.operators.index import index_sequences
-from tokenloom.operators.ordering import chunk_by_key
+from tokenloom.operators.ordering import CHUNK, chunk_by_key
 from tokenloom.operators.packing import assemble, cut_pieces
 from tokenloom.session import empty_table
 from tokenloom.sources.corpus import list_files
 
-# Micro-batches are small; small chunks still spread them over the cores.
+# Micro-batches are small: small chunks still spread them over the cores, and one level of
+# them is enough.
 MICRO_BATCH_CHUNK_KEYS = 128
 
 STATE = T.StructType(
@@ -86,7 +87,7 @@ def continue_blocks(
 ) -> DataFrame:
     """Blocks of the batch behind what was carried over, ``whole`` or still unfinished."""
     chunked = chunk_by_key(batch, key, keys_per_chunk)
-    placed = index_sequences(chunked, order=[key]).join(
+    placed = index_sequences(chunked, order=[key], chunk=[CHUNK]).join(
         carried.select("dataset", "total_tokens"), "dataset", "left"
     )
     rows = placed.select(
