@@ -12,11 +12,14 @@ def con():
     return check.connect(SF_DIR)
 
 
+NAMES = sorted(name for module in registered.MODULES for name in module.QUERIES)
+
+
 def test_every_query_has_its_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(NAMES) <= set(registered.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
     assert check.compare(spark, con, registered.queries()[name], registered.oracle_sql()[name], SF_DIR) == ""
 
