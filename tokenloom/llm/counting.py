@@ -28,12 +28,16 @@ def bucket_counts(df: DataFrame, items: Callable[[pa.RecordBatch], Iterator[np.n
     part = min(PART, size)
 
     def count(batches):
-        total, seen = np.zeros(size, np.int64), False
-        for batch in batches:
-            for hashes in items(batch):
-                total += np.bincount((hashes >> shift).astype(np.int64), minlength=size)
-                seen = True
-        if seen:
+        total, held, waiting = np.zeros(size, np.int64), [], 0
+        for hashes in (h for batch in batches for h in items(batch)):
+            held.append(hashes)
+            waiting += len(hashes)
+            if waiting >= size:
+                total += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=size)
+                held, waiting = [], 0
+        if waiting:
+            total += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=size)
+        if total.any():
             blocks = total.reshape(-1, part)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(blocks)), pa.int32()), pa.array([b.tobytes() for b in blocks], pa.binary())],

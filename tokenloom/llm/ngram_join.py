@@ -37,8 +37,8 @@ def needed_overlap(a, b, percent: int):
 def shingle_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct hashes) for every row of a batch whose last column is the text."""
     for chunk in words.split(batch.column(batch.num_columns - 1), words.BLANK_WORDS):
-        for i, row in enumerate(chunk.rows):
-            yield row, np.unique(words.windows(chunk.hashes[chunk.of(i)], size))
+        for row, hashes in zip(chunk.rows, words.windows_of(chunk, size)):
+            yield row, words.distinct(hashes)
 
 
 def _digest(hashes: np.ndarray) -> int:

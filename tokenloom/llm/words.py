@@ -16,10 +16,13 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 20
 
 _random = np.random.default_rng(20240229)
-_BYTE_VALUES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = _random.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+#: Bytes of a word that are hashed together with those of all other words.
+_TOGETHER = 64
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -74,23 +77,23 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    out = np.empty(len(starts), np.uint64)
+    """Words are read eight bytes at a time, all words together; the rare long ones end alone."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
     sizes = ends - starts
-    upto = np.cumsum(sizes)
-    at = 0
-    while at < len(starts):
-        done = upto[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(upto, done + CHUNK_BYTES, "right")))
-        size = sizes[at:stop]
-        begin = np.cumsum(size) - size
-        place = np.arange(int(size.sum())) - np.repeat(begin, size)
-        powers = np.full(int(size.max()), _PLACE)
-        powers[0] = 1
-        powers = np.cumprod(powers, dtype=np.uint64)
-        letters = data[np.repeat(starts[at:stop], size) + place]
-        out[at:stop] = np.add.reduceat(_BYTE_VALUES[letters] * powers[place], begin)
-        at = stop
-    return mix(out)
+    out = sizes.astype(np.uint64) * _PLACE
+    for done in range(0, _TOGETHER, 8):
+        more = np.flatnonzero(sizes > done) if done else slice(None)
+        if done and not len(more):
+            return out
+        piece = eight[starts[more] + done] & _MASKS[np.minimum(sizes[more] - done, 8)]
+        out[more] = mix(out[more] ^ piece)
+    for i in np.flatnonzero(sizes > _TOGETHER):
+        rest = data[starts[i] + _TOGETHER : ends[i]]
+        rest = np.concatenate((rest, np.zeros(-len(rest) % 8, np.uint8))).view("<u8")
+        powers = np.cumprod(np.full(len(rest), _PLACE), dtype=np.uint64)
+        out[i : i + 1] = mix(out[i : i + 1] ^ np.array([(rest * powers).sum(dtype=np.uint64)]))
+    return out
 
 
 def split(column: pa.Array, kind: np.ndarray) -> Iterator[Words]:
@@ -132,6 +135,19 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
+def windows_of(chunk: Words, size: int) -> Iterator[np.ndarray]:
+    """For each row of a chunk, what ``windows`` returns for its words."""
+    joint = windows(chunk.hashes, size) if len(chunk.hashes) >= size else chunk.hashes[:0]
+    for lo, hi in zip(chunk.first[:-1].tolist(), chunk.first[1:].tolist()):
+        yield joint[lo : hi - size + 1] if hi - lo >= size else windows(chunk.hashes[lo:hi], size)
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """The different values in order."""
+    hashes = np.sort(hashes)
+    return hashes[np.r_[True, hashes[1:] != hashes[:-1]]] if len(hashes) else hashes
+
+
 def signed(hashes: np.ndarray) -> np.ndarray:
     """The same bits as Spark's bigint."""
     return hashes.view(np.int64)
