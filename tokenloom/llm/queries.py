@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm.decontaminate import contamination
 from tokenloom.llm.ngram_join import ngram_jaccard_classes
+from tokenloom.llm.toxicity import toxicity_scores
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +21,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination)}
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op6_toxicity)}
 
 ORACLES: dict[str, str] = {}
