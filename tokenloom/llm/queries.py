@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm.decontaminate import contamination
+from tokenloom.llm.embedding_join import embedding_classes
 from tokenloom.llm.ngram_join import ngram_jaccard_classes
 from tokenloom.llm.toxicity import toxicity_scores
 
@@ -25,6 +26,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op6_toxicity)}
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_classes(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op6_toxicity, op10_embedding_near_dedup)}
 
 ORACLES: dict[str, str] = {}
