@@ -7,8 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenloom.llm.decontaminate import contamination
 from tokenloom.llm.embedding_join import embedding_classes
 from tokenloom.llm.ngram_join import ngram_jaccard_classes
+from tokenloom.llm.packing import pack_best_fit
 from tokenloom.llm.toxicity import toxicity_scores
 
+#: Tokens of a packed sequence.
+SEQUENCE = 1024
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -22,6 +26,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_best_fit(_table(spark, sf_dir, "documents"), SEQUENCE)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -30,6 +38,6 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_classes(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op6_toxicity, op10_embedding_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_best_fit_packing, op6_toxicity, op10_embedding_near_dedup)}
 
 ORACLES: dict[str, str] = {}
