@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm.decontaminate import contamination
 from tokenloom.llm.embedding_join import embedding_classes
+from tokenloom.llm.kneser_ney import lm_scores
 from tokenloom.llm.ngram_join import ngram_jaccard_classes
 from tokenloom.llm.packing import pack_best_fit
 from tokenloom.llm.toxicity import toxicity_scores
@@ -30,6 +31,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_best_fit(_table(spark, sf_dir, "documents"), SEQUENCE)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -38,6 +43,6 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_classes(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_best_fit_packing, op6_toxicity, op10_embedding_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_best_fit_packing, op5_lm_scoring, op6_toxicity, op10_embedding_near_dedup)}
 
 ORACLES: dict[str, str] = {}
