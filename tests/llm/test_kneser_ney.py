@@ -30,11 +30,12 @@ class Plain:
         for n in range(order - 1, 0, -1):
             self.counts[n] = Counter(g[1:] for g in self.counts[n + 1])
         self.cut = [None, *(discounts(self.counts[n].values()) for n in range(1, order + 1))]
-        self.after = [None] * (order + 1)
+        self.after = [None] * (order + 1)  # tokens after a context, and what is cut off them
         for n in range(1, order + 1):
-            self.after[n] = defaultdict(list)
+            self.after[n] = defaultdict(lambda: [0, 0.0])
             for g, c in self.counts[n].items():
-                self.after[n][g[:-1]].append(c)
+                self.after[n][g[:-1]][0] += c
+                self.after[n][g[:-1]][1] += self.cut[n][min(c, 3)]
 
     def grams(self, text):
         tokens = ["<s>"] * (self.order - 1) + [*plain.blank_words(text), "</s>"]
@@ -44,11 +45,11 @@ class Plain:
         if not gram:
             return 1 / (len(self.raw) + 1)
         n, lower = len(gram), self.p(gram[1:])
-        after = self.after[n].get(gram[:-1])
-        if not after:
+        total, kept = self.after[n].get(gram[:-1], (0, 0))
+        if not total:
             return lower
-        c, cut = self.counts[n][gram], self.cut[n]
-        return (max(c - cut[min(c, 3)], 0) + sum(cut[min(a, 3)] for a in after) * lower) / sum(after)
+        c = self.counts[n][gram]
+        return (max(c - self.cut[n][min(c, 3)], 0) + kept * lower) / total
 
     def row(self, text):
         total, kinds = sum(self.raw.values()), len(self.raw)
