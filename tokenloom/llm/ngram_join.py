@@ -76,75 +76,58 @@ def describe_sets(docs: DataFrame, id_col: str, text_col: str, size: int, percen
     return texts.mapInArrow(rows, "id long, cls long, n int, prefix array<long>")
 
 
-def _index_lists(percent: int):
-    """The entries of lists that several sets share, with the pivot of their block.
-
-    Reads entries by token, size block, size and set; a list streams through. The pivot of a
-    block is its first entry, and is NULL where sizes and positions already rule a match out.
+def _shared_entries(batches):
+    """The entries of lists that several sets share; reads entries in the order of tokens, one list after the other."""
+    held, before = None, None  # the newest entry, and the token ahead of it
+    names = ("token", "block", "n", "cls", "place")
+    for batch in batches:
+        part = [batch.column(c).to_numpy() for c in names]
+        if not len(part[0]):
+            continue
+        if held is not None:
+            part = [np.concatenate((h, p)) for h, p in zip(held, part)]
+        token = part[0]
+        same = np.r_[before is not None and before == token[0], token[1:] == token[:-1]]
+        keep = same | np.r_[same[1:], False]
+        keep[-1] = False  # shows with the next entry
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in part], list(names))
+        if len(token) > 1:
+            before = token[-2]
+        held = [x[-1:] for x in part]
+    if held is not None and before is not None and before == held[0][0]:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], list(names))
+
+
+def _pivot_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each set with one pivot to be compared with.
+
+    The pivot of a list's block is the set with most shared entries: of a text and its altered
+    copies that is the text, as every change takes entries away. A set's pivot is the one it
+    meets in most lists where sizes and positions allow a match.
     """
+    weight = entries.groupBy("cls").agg(F.count("*").alias("weight"))
+    weighed = entries.join(weight, "cls")
+    top = F.max_by(F.struct(F.col("cls").alias("pivot"), F.col("n").alias("pn"), F.col("place").alias("pp")), F.struct("weight", "cls"))
+    pivots = weighed.groupBy("token", "block").agg(top.alias("top"), F.count("*").alias("size")).where("size > 1")
+    met = entries.join(pivots.select("token", "block", "top.*"), ["token", "block"]).where("cls <> pivot")
+    reach = F.least("place", "pp") + F.least(F.col("n") - F.col("place"), F.col("pn") - F.col("pp"))
+    met = met.where(reach * (100 + percent) >= (F.col("n") + F.col("pn")) * percent)
+    pairs = met.groupBy("cls", "pivot").count()
+    return pairs.groupBy(F.col("cls").alias("a")).agg(F.max_by("pivot", F.struct("count", "pivot")).alias("b"))
 
-    def run(batches):
-        held = None  # the newest entry: whether it shares its list shows with the next one
-        before = (None, None)  # token and block of the entry before the held one
-        pivot = (0, 0, 0)  # set, size and place of the first entry of the held one's block
-        names = ("token", "block", "n", "cls", "place")
-        for batch in batches:
-            part = [batch.column(c).to_numpy() for c in names]
-            if not len(part[0]):
-                continue
-            if held is not None:
-                part = [np.concatenate((h, p)) for h, p in zip(held, part)]
-            yield _shared(part, before, pivot, percent, last=False)
-            token, block, n, cls, place = part
-            before, pivot = _state(part, before, pivot)
-            held = [x[-1:] for x in part]
-        if held is not None:
-            yield _shared(held, before, pivot, percent, last=True)
-
-    return run
-
-
-def _pivots(part, before, pivot):
-    token, block, n, cls, place = part
-    fresh = np.ones(len(token), bool)
-    fresh[1:] = (token[1:] != token[:-1]) | (block[1:] != block[:-1])
-    fresh[0] = before != (token[0], block[0])
-    first = np.maximum.accumulate(np.where(fresh, np.arange(len(token)), -1))
-    return [np.where(first >= 0, x[first], old) for x, old in zip((cls, n, place), pivot)]
-
-
-def _state(part, before, pivot):
-    """What the entry before the last one leaves behind for the batch that starts with the last."""
-    if len(part[0]) < 2:
-        return before, pivot
-    found = _pivots(part, before, pivot)
-    return (part[0][-2], part[1][-2]), tuple(x[-2] for x in found)
-
-
-def _shared(part, before, pivot, percent, last) -> pa.RecordBatch:
-    token, block, n, cls, place = part
-    pivot_cls, pivot_n, pivot_place = _pivots(part, before, pivot)
-    same = np.zeros(len(token) + 1, bool)
-    same[0] = before[0] is not None and before[0] == token[0]
-    same[1:-1] = token[1:] == token[:-1]
-    keep = same[:-1] | same[1:]
-    if not last:
-        keep[-1] = False
-    wide, pivot_wide = n.astype(np.int64), pivot_n.astype(np.int64)
-    reach = np.minimum(place, pivot_place) + np.minimum(wide - place, pivot_wide - pivot_place)
-    none = (cls == pivot_cls) | (reach < needed_overlap(wide, pivot_wide, percent))
-    columns = [pa.array(x[keep]) for x in (token, block, n, cls, place)]
-    return pa.RecordBatch.from_arrays(
-        [*columns, pa.array(pivot_cls[keep], mask=none[keep])], ["token", "block", "n", "cls", "place", "pivot"]
-    )
+
+#: Items of their prefixes that candidates share, where the prefixes are long enough.
+SHARED = 3
 
 
 def _foreign_pairs(told: DataFrame, percent: int) -> DataFrame:
-    """(a, b, na, nb, shared): sets of different components with the items their prefixes share.
+    """(a, b): candidates of different components.
 
-    ``told`` are entries with a ``comp``. Within a list, the entries of the component with most
-    entries are compared with the others only, and blocks of sizes that cannot match are not
-    met. All pairs that sizes and positions allow come out.
+    ``told`` are entries with a ``comp``. Sets of nx and ny items that overlap in ``need`` items
+    share k items among the first nx - need + k of one and the first ny - need + k of the
+    other, in the common order; entries at later positions are skipped, and a pair must show
+    k times. Within a list, the entries of the component with most entries are compared with
+    the others only, and blocks of sizes that cannot match are not met.
     """
     per = told.groupBy("token", "comp").count()
     lists = per.groupBy("token").agg(F.max_by("comp", F.struct("count", "comp")).alias("major"), F.count("*").alias("comps"))
@@ -157,16 +140,17 @@ def _foreign_pairs(told: DataFrame, percent: int) -> DataFrame:
         "token", "block", F.col("cls").alias("y"), F.col("n").alias("yn"), F.col("place").alias("yp"),
         F.col("comp").alias("yc"), (F.col("comp") == F.col("major")).alias("in_major"),
     )
-    reach = F.least("xp", "yp") + F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp"))
+    total = (F.col("xn") + F.col("yn")) * percent
+    need = F.floor((total + (99 + percent)) / (100 + percent))
+    spare = [F.col(f"{s}n") - need for s in "xy"]
+    indexed = [F.col(f"{s}n") - F.floor((F.col(f"{s}n") * percent + 99) / 100) + 1 for s in "xy"]
+    shared = F.least(F.lit(SHARED), indexed[0] - spare[0], indexed[1] - spare[1])
     ok = (F.col("xc") != F.col("yc")) & (F.col("in_major") | (F.col("x") < F.col("y")))
-    ok &= reach * (100 + percent) >= (F.col("xn") + F.col("yn")) * percent
+    ok &= (spare[0] >= 0) & (spare[1] >= 0)
+    ok &= (F.col("xp") < spare[0] + shared) & (F.col("yp") < spare[1] + shared)
     pairs = x.join(y, ["token", "block"]).where(ok)
-    swap = F.col("x") > F.col("y")
-    pairs = pairs.select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-        F.when(swap, F.col("yn")).otherwise(F.col("xn")).alias("na"), F.when(swap, F.col("xn")).otherwise(F.col("yn")).alias("nb"),
-    )
-    return pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), shared.cast("int").alias("shared"))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("count"), F.max("shared").alias("shared")).where("count >= shared").select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -188,19 +172,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "items_a", "items_b").mapInArrow(check, "a long, b long")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(cls, items) of the classes in ``wanted`` (cls, id): read again from one text of each."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = texts.join(wanted.select("id").distinct(), "id", "left_semi")
+def _sets_of(docs: DataFrame, wanted: DataFrame, text_col: str, size: int) -> DataFrame:
+    """(cls, items) of the classes in ``wanted`` (cls), and of a few others, read from the texts again.
+
+    A table of hash buckets, of fixed size, keeps most other sets back; the join with
+    ``wanted`` is left to the caller.
+    """
+    hashed = lambda numbers: words.mix(numbers.view(np.uint64))
+    counts = bucket_counts(wanted.select("cls"), lambda batch: iter([hashed(batch.column(0).to_numpy())]))
+    shared = docs.sparkSession.sparkContext.broadcast(counts > 0)
+    shift = np.uint64(64 - int(len(counts)).bit_length() + 1)
 
     def rows(batches):
         for batch in batches:
             found = [(_digest(s), s.tobytes()) for _, s in shingle_sets(batch, size) if len(s)]
+            cls = np.array([d for d, _ in found], np.int64)
+            known = np.flatnonzero(shared.value[(hashed(cls) >> shift).astype(np.int64)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in found], pa.int64()), pa.array([b for _, b in found], pa.binary())], ["cls", "items"]
+                [pa.array(cls[known]), pa.array([found[i][1] for i in known.tolist()], pa.binary())], ["cls", "items"]
             )
 
-    return texts.select("text").mapInArrow(rows, "cls long, items binary").dropDuplicates(["cls"])
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    return texts.mapInArrow(rows, "cls long, items binary").dropDuplicates(["cls"])
 
 
 def ngram_jaccard_classes(
@@ -211,32 +204,27 @@ def ngram_jaccard_classes(
     Texts link when the Jaccard similarity of their sets of ``size``-word shingles is at least
     ``percent`` / 100; ``component_id`` is the smallest id that links reach, the text's own
     included, and ``class_id`` the smallest id with the very same set. A text of fewer words
-    is one shingle; one without words (NULL included) has none and links with nothing. Rows
-    with a NULL id are returned with NULL component when they link with no id. A repeated id
-    counts as texts of their own. Other columns are ignored. Sets are compared by 64-bit hashes.
+    is one shingle; one without words (NULL included) has none and links with nothing, its
+    component is its own id. A NULL id is never a component unless nothing else is in it. A
+    repeated id counts as texts of their own. Other columns are ignored. Sets are compared by 64-bit hashes.
     """
     sets = settle(describe_sets(docs, id_col, text_col, size, percent), "ngram-sets")
     classes = settle(sets.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "ngram-classes")
     block = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int").alias("block")
     entries = classes.select("cls", "n", block, F.posexplode("prefix").alias("place", "token"))
-    entries = entries.repartition("token").sortWithinPartitions("token", "block", "n", "cls")
-    schema = "token long, block int, n int, cls long, place int, pivot long"
-    entries = settle(entries.mapInArrow(_index_lists(percent), schema), "ngram-lists")
+    entries = entries.repartition("token").sortWithinPartitions("token")
+    entries = settle(entries.mapInArrow(_shared_entries, "token long, block int, n int, cls long, place int"), "ngram-lists")
     members = classes.select("cls", "id")
 
     # 1: each set with the pivot it shares most items with
-    pairs = entries.where("pivot is not null").groupBy("cls", "pivot").count()
-    pairs = pairs.groupBy("cls").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("b"))
-    first = _links(docs, settle(pairs.withColumnRenamed("cls", "a"), "ngram-pivots"), members, id_col, text_col, size, percent)
+    pairs = settle(_pivot_pairs(entries, percent), "ngram-pivots")
+    first = _links(docs, pairs, text_col, size, percent)
 
     # 2: entries of lists that still hold several components
     labels = settle(components(first), "ngram-labels").withColumnRenamed("id", "cls")
-    told = entries.join(labels, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component", "pivot")
-    found = _foreign_pairs(told, percent)
-    rest = F.ceil(F.lit(percent) * F.greatest("na", "nb") / 100) - 1
-    need = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
-    found = settle(found.where(F.col("shared") + rest >= need).select("a", "b"), "ngram-pairs")
-    second = _links(docs, found, members, id_col, text_col, size, percent)
+    told = entries.join(labels, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
+    found = settle(_foreign_pairs(told, percent), "ngram-pairs")
+    second = _links(docs, found, text_col, size, percent)
     links = settle(first.union(second), "ngram-links")
     labels = components(links)
 
@@ -254,7 +242,6 @@ def ngram_jaccard_classes(
     )
 
 
-def _links(docs, pairs, members, id_col, text_col, size, percent) -> DataFrame:
+def _links(docs, pairs, text_col, size, percent) -> DataFrame:
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    sets = _sets_of(docs, members.join(ends, "cls", "left_semi"), id_col, text_col, size)
-    return settle(_verified(pairs, sets, percent), "ngram-links")
+    return settle(_verified(pairs, _sets_of(docs, ends, text_col, size), percent), "ngram-links")
