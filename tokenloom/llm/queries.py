@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import licenses
+from tokenloom.llm import licenses, line_dedup
 from tokenloom.llm.decontaminate import contamination
 from tokenloom.llm.embedding_join import embedding_classes
 from tokenloom.llm.kneser_ney import lm_scores
@@ -44,10 +44,14 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_classes(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_best_fit_packing, op5_lm_scoring, op6_toxicity, op8_license_scan, op10_embedding_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_best_fit_packing, op5_lm_scoring, op6_toxicity, op8_license_scan, op9_line_dedup, op10_embedding_near_dedup)}
 
-ORACLES: dict[str, str] = {"op8_license_scan": licenses.sql()}
+ORACLES: dict[str, str] = {"op8_license_scan": licenses.sql(), "op9_line_dedup": line_dedup.SQL}
