@@ -8,21 +8,21 @@ the corpus, common items stand out at any size, and all rows are counted.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 PART = 1 << 16
+#: Groups a part is added up in, level by level.
+LEVELS = (1024, 32, 1)
 
 
 def bucket_counts(df: DataFrame, items: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int = 21) -> np.ndarray:
     """Counts of all hashes that ``items`` yields for the rows of ``df``, by the hash's top ``bits``.
 
-    Every task counts into one table; the tables are added up part by part, in two levels, so
-    that a group holds about the square root of the number of tasks. The result has 2**bits
-    numbers, whatever the input.
+    Every task counts into one table; the tables are added up part by part and level by level,
+    so that a group holds few of them. The result has 2**bits numbers, whatever the input.
     """
     size, shift = 1 << bits, np.uint64(64 - bits)
     part = min(PART, size)
@@ -40,21 +40,26 @@ def bucket_counts(df: DataFrame, items: Callable[[pa.RecordBatch], Iterator[np.n
         if total.any():
             blocks = total.reshape(-1, part)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(blocks)), pa.int32()), pa.array([b.tobytes() for b in blocks], pa.binary())],
+                [pa.array(range(len(blocks)), pa.int32()), pa.array([_packed(b) for b in blocks], pa.binary())],
                 ["part", "counts"],
             )
 
     def add(key, table):
-        total = np.zeros(part, np.int64)
-        for block in table.column("counts"):
-            total += np.frombuffer(block.as_py(), np.int64)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
-
-    schema = "part int, counts binary"
-    salts = max(1, math.isqrt(df.rdd.getNumPartitions()))
-    parts = df.mapInArrow(count, schema).withColumn("salt", F.spark_partition_id() % salts)
-    level = parts.groupBy("part", "salt").applyInArrow(add, schema)
+        total = sum(_unpacked(block.as_py(), part) for block in table.column("counts"))
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "salt": pa.array([key[1].as_py()], pa.int32()), "counts": pa.array([_packed(total)], pa.binary())})
+
+    level = df.mapInArrow(count, "part int, counts binary").withColumn("salt", F.spark_partition_id())
+    for salts in LEVELS:
+        level = level.withColumn("salt", F.col("salt") % salts).groupBy("part", "salt").applyInArrow(add, "part int, salt int, counts binary")
     out = np.zeros(size, np.int64)
-    for row in level.groupBy("part").applyInArrow(add, schema).collect():
-        out[row["part"] * part : (row["part"] + 1) * part] = np.frombuffer(row["counts"], np.int64)
+    for row in level.collect():
+        out[row["part"] * part : (row["part"] + 1) * part] = _unpacked(row["counts"], part)
     return out
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return pa.compress(counts.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, 8 * size, "zstd"), np.int64)
