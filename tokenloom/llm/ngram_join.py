@@ -242,6 +242,19 @@ def ngram_jaccard_classes(
     )
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group: the one whose id names the component.
+
+    Documents without words are groups of their own. Rows that repeat the id and the text of a
+    kept document are one with it; a repeated id stays with all its texts when one of them
+    stays. Rows with a NULL id stay when their group has no id; equal ones among them are one.
+    """
+    classes = ngram_jaccard_classes(docs, id_col, text_col, size, percent)
+    kept = classes.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__kept")).distinct()
+    rows = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    return rows.dropDuplicates([id_col, text_col])
+
+
 def _links(docs, pairs, text_col, size, percent) -> DataFrame:
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     return settle(_verified(pairs, _sets_of(docs, ends, text_col, size), percent), "ngram-links")
