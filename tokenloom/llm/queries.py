@@ -10,6 +10,7 @@ from tokenloom.llm.embedding_join import embedding_classes
 from tokenloom.llm.kneser_ney import lm_scores
 from tokenloom.llm.ngram_join import ngram_jaccard_classes
 from tokenloom.llm.packing import pack_best_fit
+from tokenloom.llm.paragraph_dedup import repeated_passages
 from tokenloom.llm.secrets import scan_secrets
 from tokenloom.llm.toxicity import toxicity_scores
 
@@ -33,6 +34,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_best_fit(_table(spark, sf_dir, "documents"), SEQUENCE)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,6 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_classes(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_best_fit_packing, op5_lm_scoring, op6_toxicity, op7_secret_scan, op8_license_scan, op9_line_dedup, op10_embedding_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_best_fit_packing, op4_substring_dedup, op5_lm_scoring, op6_toxicity, op7_secret_scan, op8_license_scan, op9_line_dedup, op10_embedding_near_dedup)}
 
 ORACLES: dict[str, str] = {"op8_license_scan": licenses.sql(), "op9_line_dedup": line_dedup.SQL}
