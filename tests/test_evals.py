@@ -189,3 +189,31 @@ def test_folder_listing(spark, tmp_path):
         (tmp_path / name).mkdir()
     listing = sweep.folder_listing(spark, str(tmp_path))
     assert [r.step for r in runs.list_checkpoints(listing, 5).collect()] == [20, 3]
+
+
+def test_bad_answers_and_missing_outputs(spark):
+    from pyspark.sql import functions as F
+    from tokenloom.functions import scoring, tasks
+    from tokenloom.operators.evalsets import ANSWER_RULES
+
+    letters = spark.createDataFrame([("B",), ("AB",), ("",), ("5",)], "a string")
+    got = letters.select(ANSWER_RULES["letter"](F.col("a"), None).alias("i")).collect()
+    assert [r.i for r in got] == [1, -1, -1, -1]
+    flags = spark.createDataFrame([(True,), (False,), (None,)], "a boolean").select(ANSWER_RULES["boolean"](F.col("a"), None).alias("i"))
+    assert [r.i for r in flags.collect()] == [0, 1, None]
+    pairs = spark.createDataFrame([("x", "x"), (None, "x")], "p string, g string")
+    assert [tuple(r) for r in pairs.select(scoring.exact_match(F.col("p"), F.col("g")), scoring.quasi_exact_match(F.col("p"), F.col("g"))).collect()] == [(1.0, 1.0), (0.0, 0.0)]
+    boxed = spark.createDataFrame([(r"so \boxed{\frac{1}{2}} and \boxed{a_{b^{c}}}",)], "t string").select(scoring.boxed_answer(F.col("t")).alias("b"))
+    assert boxed.first().b == r"a_{b^{c}}"
+    metrics = spark.createDataFrame([([("a", None), ("b", tasks.PMI_CATEGORY)],)], "m array<struct<name: string, category: string>>")
+    assert [m.name for m in metrics.select(tasks.drop_pmi_metrics(F.col("m")).alias("m")).first().m] == ["a"]
+
+
+def test_negative_label_fails(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from tokenloom.functions.scoring import row_cross_entropy
+
+    rows = spark.createDataFrame([([-1.0, -2.0], -2)], "lp array<double>, label int")
+    with pytest.raises(Exception, match="label out of range"):
+        rows.select(row_cross_entropy(F.col("lp"), F.col("label"))).collect()

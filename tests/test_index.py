@@ -50,3 +50,9 @@ def test_locate_every_offset(spark, span):
     sizes = [n for n in SIZES if n]
     want = [(sum(sizes[:s]) + i, s, i) for s, n in enumerate(sizes) for i in range(n)]
     assert got == want
+
+
+def test_offset_outside_the_stream_fails(spark):
+    offsets = spark.createDataFrame([("a", -1)], "dataset string, offset long")
+    with pytest.raises(Exception, match="token offset out of range"):
+        idx.locate_tokens(indexed(spark), offsets).collect()

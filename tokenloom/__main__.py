@@ -38,22 +38,30 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def show_all(df) -> None:
+    """Every row, one line each."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session()
     if args.command in (DOWNLOAD, TOKENIZE):
         overrides = {"max_samples": args.max_samples} if args.max_samples is not None else None
-        prepare.run_jobs(
+        listed = prepare.run_jobs(
             spark, load_settings(args.config), args.command, only=args.only, overrides=overrides, dry_run=args.dry_run
-        ).select("name", "raw_dir", "limit", "mode").show(1000, truncate=False)
+        )
+        show_all(listed.select("name", "raw_dir", "limit", "mode"))
     elif args.command == "pending-evals":
-        sweep.pending_folders(spark, args.folder, args.results, args.last, args.force).show(1000, truncate=False)
+        show_all(sweep.pending_folders(spark, args.folder, args.results, args.last, args.force))
     else:
         mix = mixes.Mix.from_yaml(args.config)
         entries = mix.frame(spark)
         tokens = read_tokens(spark, args.tokens, mix.datasets)
         if args.command == "validate-mix":
-            mixes.validate_mix(entries, tokens, mix.block_len).orderBy("ds_idx").show(1000, truncate=False)
+            show_all(mixes.validate_mix(entries, tokens, mix.block_len).orderBy("ds_idx"))
         else:
             mixes.training_feed(
                 entries, tokens, mix.block_len, draws=args.draws, workers=args.workers, seed=mix.seed,

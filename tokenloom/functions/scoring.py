@@ -12,6 +12,9 @@ REASONING_BLOCK = r"(?s)<think>.*?</think>"
 MAX_JUDGE_TOKENS = 2048
 CHARS_PER_TOKEN = 4
 
+# Braces within the braces of a boxed answer that are read.
+BOX_DEPTH = 4
+
 # Fixed value: label that takes no part in the cross entropy.
 IGNORE_LABEL = -100
 
@@ -19,8 +22,8 @@ ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def exact_match(prediction: Column, gold: Column) -> Column:
-    """1.0 when both are equal after stripping."""
-    return (strip(prediction) == strip(gold)).cast("double")
+    """1.0 when both are equal after stripping; a missing prediction is wrong."""
+    return F.coalesce((strip(prediction) == strip(gold)).cast("double"), F.lit(0.0))
 
 
 def normalize_answer(text: Column) -> Column:
@@ -31,8 +34,8 @@ def normalize_answer(text: Column) -> Column:
 
 
 def quasi_exact_match(prediction: Column, gold: Column) -> Column:
-    """1.0 when both are equal after :func:`normalize_answer`."""
-    return (normalize_answer(prediction) == normalize_answer(gold)).cast("double")
+    """1.0 when both are equal after :func:`normalize_answer`; a missing prediction is wrong."""
+    return F.coalesce((normalize_answer(prediction) == normalize_answer(gold)).cast("double"), F.lit(0.0))
 
 
 def last_number(text: Column) -> Column:
@@ -47,8 +50,11 @@ def numeric_match(prediction: Column, gold: Column) -> Column:
 
 
 def boxed_answer(text: Column) -> Column:
-    r"""The content of the last ``\boxed{...}`` without nested braces; NULL if none."""
-    boxes = F.regexp_extract_all(text, F.lit(r"\\boxed\{([^{}]*)\}"), F.lit(1))
+    r"""The content of the last ``\boxed{...}``, braces nested up to BOX_DEPTH deep; NULL if none."""
+    inside = r"[^{}]*"
+    for _ in range(BOX_DEPTH):
+        inside = r"(?:[^{}]|\{" + inside + r"\})*"
+    boxes = F.regexp_extract_all(text, F.lit(r"\\boxed\{(" + inside + r")\}"), F.lit(1))
     return F.try_element_at(boxes, F.lit(-1))
 
 
@@ -95,8 +101,10 @@ def row_reverse_kl(student_log_probs: Column, teacher_log_probs: Column) -> Colu
 
 
 def row_cross_entropy(log_probs: Column, label: Column) -> Column:
-    """Minus the log-probability of the label; NULL for the ignored label."""
-    return F.when(label != IGNORE_LABEL, -F.element_at(log_probs, label.cast("int") + 1))
+    """Minus the log-probability of the label; NULL for the ignored label. Other labels outside the logits fail."""
+    bad = F.raise_error(F.concat(F.lit("label out of range: "), label.cast("string"))).cast("double")
+    loss = F.when((label < 0) | (label >= F.size(log_probs)), bad).otherwise(-F.get(log_probs, label.cast("int")))
+    return F.when(label != IGNORE_LABEL, loss)
 
 
 # Distillation losses by name, as training settings name them.

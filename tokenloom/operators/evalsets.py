@@ -41,7 +41,8 @@ class EvalSpec:
 
 
 def _letter_index(answer: Column, _labels: Column | None) -> Column:
-    return F.instr(F.lit(LETTERS), answer) - 1
+    """Only a single letter is an answer; anything else is outside all choices."""
+    return F.when(F.length(answer) == 1, F.instr(F.lit(LETTERS), answer) - 1).otherwise(F.lit(-1))
 
 
 # Answer text or number to 0-based gold index.
@@ -53,7 +54,7 @@ ANSWER_RULES = {
         answer.rlike("^[0-9]+$"), answer.try_cast("int") - 1
     ).otherwise(_letter_index(answer, None)),
     "label": lambda answer, labels: (F.array_position(labels, strip(answer)) - 1).cast("int"),
-    "boolean": lambda answer, _: F.when(answer.cast("boolean"), F.lit(0)).otherwise(F.lit(1)),
+    "boolean": lambda answer, _: F.when(answer.cast("boolean"), F.lit(0)).when(~answer.cast("boolean"), F.lit(1)),
 }
 
 # The multiple-choice sources and where their fields are.

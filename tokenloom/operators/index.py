@@ -75,7 +75,7 @@ def get_sequences(tokens: DataFrame, wanted: DataFrame, group: list[str] = ["dat
 
 
 def locate_tokens(index: DataFrame, offsets: DataFrame, group: list[str] = ["dataset"], span: int = 4096) -> DataFrame:
-    """Which sequence holds each token offset, and where inside it.
+    """Which sequence holds each token offset, and where inside it. An offset outside the stream fails the job.
 
     The range join is an equi join on stretches of ``span`` tokens: a sequence appears once
     per stretch it touches, an offset falls in exactly one, and a stretch cannot hold more
@@ -87,8 +87,14 @@ def locate_tokens(index: DataFrame, offsets: DataFrame, group: list[str] = ["dat
         *group, "seq_id", "token_start", "token_end", F.explode(F.sequence(first, last)).alias("stretch")
     )
     asked = offsets.select(*group, "offset", div(F.col("offset"), span).alias("stretch"))
+    ends = settle(index.groupBy(*group).agg(F.max("token_end").alias("stream_end")), "ends")
+    name = F.concat_ws("/", *[F.col(k).cast("string") for k in (*group, "offset")])
+    outside = F.col("offset").isNull() | (F.col("offset") < 0) | (F.col("offset") >= F.coalesce("stream_end", F.lit(0)))
+    error = F.raise_error(F.concat(F.lit("token offset out of range: "), name)).cast("bigint")
+    checked = asked.join(ends, group, "left").withColumn("offset", F.when(outside, error).otherwise(F.col("offset")))
+    # settled, so that the check runs before a join could drop the row
     return (
-        asked.join(touched, [*group, "stretch"])
+        settle(checked.drop("stream_end"), "offsets").join(touched, [*group, "stretch"])
         .where((F.col("token_start") <= F.col("offset")) & (F.col("offset") < F.col("token_end")))
         .select(*group, "offset", "seq_id", (F.col("offset") - F.col("token_start")).alias("offset_in_seq"))
     )

@@ -12,7 +12,7 @@ from tokenloom.session import settle
 
 # Fixed value: target size of one output shard.
 SHARD_BYTES = 256 * 1024 * 1024
-SHARD_DIGITS = 8
+SHARD_DIGITS = 18
 
 ROWS_PER_FILE_CHUNK = 1 << 10
 

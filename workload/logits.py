@@ -1,4 +1,7 @@
-"""Queries that compare logged logits: embeddings as logits, each row's successor as its teacher."""
+"""Queries that compare logged logits: embeddings as logits, each row's successor as its teacher.
+
+The first row is the successor of the last.
+"""
 
 from __future__ import annotations
 
@@ -17,7 +20,10 @@ ROWS_PER_MICRO_STEP = 8
 
 def _logits(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
-    teacher = rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("teacher"))
+    ends = rows.agg(F.min("vec_id").alias("low"), F.max("vec_id").alias("high"))
+    low, high = ends.select("low").scalar(), ends.select("high").scalar()
+    before = F.when(F.col("vec_id") == low, high).otherwise(F.col("vec_id") - 1)
+    teacher = rows.select(before.alias("vec_id"), F.col("embedding").alias("teacher"))
     return rows.join(teacher, "vec_id").select(
         "vec_id",
         F.col("embedding").alias("student"),
@@ -53,7 +59,10 @@ def reverse_kl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean cross entropy per step, ignored labels left out."""
-    rows = _logits(spark, sf_dir)
+    ignored = F.when(F.col("label") == 9, score.IGNORE_LABEL).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("embedding").alias("student"), ignored.alias("label"), div(F.col("vec_id"), ROWS_PER_STEP).alias("step")
+    )
     loss = score.row_cross_entropy(score.log_softmax(F.col("student")), F.col("label"))
     return rows.groupBy("step").agg(F.count(loss).alias("scored"), F.round(F.avg(loss), 6).alias("ce"))
 
@@ -87,7 +96,8 @@ scored AS (
          {log_probs_sql('s.embedding', 1.0)} AS lp1,
          {log_probs_sql('s.embedding', TEMPERATURE)} AS ls,
          {log_probs_sql('t.embedding', TEMPERATURE)} AS lt
-  FROM embeddings s JOIN embeddings t ON t.vec_id = s.vec_id + 1),
+  FROM embeddings s JOIN embeddings t
+    ON t.vec_id = CASE WHEN s.vec_id = (SELECT max(vec_id) FROM embeddings) THEN (SELECT min(vec_id) FROM embeddings) ELSE s.vec_id + 1 END),
 losses AS (
   SELECT *, CASE WHEN label <> -100 THEN -lp1[label + 1] END AS ce,
          list_sum(list_transform(range(1, len(ls) + 1), lambda i: exp(ls[i]) * (ls[i] - lt[i]))) * {TEMPERATURE ** 2} AS kl

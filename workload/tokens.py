@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenloom.functions import text as texts, tokens as toks
 from tokenloom.operators import index as idx, messages
 from tokenloom.operators.ordering import chunk_by_key, div
-from tokenloom.plans.prepare import tokenize as add_tokens, tokenize_external
+from tokenloom.plans.prepare import tokenize as add_tokens
 from tokenloom.schemas import MESSAGES
 from tokenloom.session import scratch_path
 from tokenloom.streaming import ingest
@@ -69,26 +69,6 @@ def truncate_and_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described(checked, "doc_id", "num_tokens")
 
 
-def external_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tokenizer library run in batches on the executors: here one id per UTF-8 byte."""
-    encode = toks.external_tokenizer(toks.tokenizer_json(byte_tokenizer()))
-    docs = tokenize_external(documents(spark, sf_dir).select("doc_id", "text"), encode)
-    as_hex = F.array_join(F.transform("tokens", lambda b: F.lpad(F.hex(b), 2, "0")), "")
-    return docs.select("doc_id", "num_tokens", F.md5(as_hex).alias("bytes_md5"))
-
-
-def byte_tokenizer() -> str:
-    """Settings of a tokenizer whose id for a byte is the byte."""
-    from tokenizers import Tokenizer, models, pre_tokenizers
-
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in printable]
-    shown = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
-    tokenizer = Tokenizer(models.BPE({c: b for b, c in shown.items()}, []))
-    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    return tokenizer.to_str()
-
-
 def _lines(spark, sf_dir):
     tokenizer = toks.HashTokenizer(add_eos=False)
     lines = documents(spark, sf_dir).select(F.col("lang").alias("dataset"), "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
@@ -152,7 +132,7 @@ def _one_dataset(spark, sf_dir):
 
 
 def get_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled ids looked up as sequence ids."""
+    """Labelled ids looked up as sequence ids in the stored table, with their tokens."""
     wanted = table(spark, sf_dir, "labels").select(F.lit("documents").alias("dataset"), F.col("doc_id").alias("seq_id"))
     found = idx.get_sequences(_one_dataset(spark, sf_dir), wanted)
     return found.select("dataset", "seq_id", "doc_id", "num_tokens", "token_start")
@@ -176,7 +156,6 @@ QUERIES = {
         flatten_turns,
         tokenize,
         truncate_and_mark,
-        external_tokenizer,
         drop_empty,
         count_empty,
         num_tokens,
@@ -227,9 +206,6 @@ ORACLES = {
         WITH t AS (SELECT doc_id, list_append(list_prepend(70001, ({ids_sql().replace('50000', '70000')})[1:64]), 70000) AS tokens
                    FROM documents)
         SELECT doc_id, len(tokens)::BIGINT AS num_tokens, {describe_sql()} FROM t""",
-    "external_tokenizer": """
-        SELECT doc_id, octet_length(encode(text))::BIGINT AS num_tokens, md5(hex(encode(text))) AS bytes_md5
-        FROM documents""",
     "drop_empty": f"""
         WITH {LINES_SQL}, t AS (SELECT doc_id, line, {ids_sql()} AS tokens FROM lines)
         SELECT doc_id, line::INTEGER AS line, len(tokens)::BIGINT AS num_tokens, tokens[1] AS first_id
