@@ -195,3 +195,22 @@ def test_mix_frame(spark):
 def test_block_counts_feed_the_report(spark):
     counts = block_counts(frame(spark, make(CORPUS)), 5)
     assert {r.dataset: r.num_blocks for r in counts.collect()} == {"a": 6, "b": 1, "c": 3}
+
+
+def test_paths_that_share_a_dataset_name(spark):
+    with pytest.raises(ValueError, match="same dataset"):
+        plans.Mix((("x/a", 1.0, None), ("y/a", 1.0, None)), 8, 1).frame(spark)
+
+
+def test_resume_by_a_ranks_total(spark):
+    """What two workers had supplied together and what the resumed feed supplies make the full feed."""
+    tokens = frame(spark, make(CORPUS))
+    mix = mixing.normalize_weights(spark.createDataFrame([(0, "a", 1.0, None), (1, "b", 2.0, None)], plans.MIX))
+    feed = lambda **more: {
+        (r.worker, r.step): tuple(r.labels) for r in plans.training_feed(mix, tokens, 5, draws=8, workers=2, seed=3, **more).collect()
+    }
+    full = feed(batch_size=2)
+    resumed = feed(batch_size=2, samples_done=6)
+    seen = {(0, 0), (0, 1), (0, 2), (0, 3), (1, 0), (1, 1)}
+    assert len(full) == 16 and set(resumed) == set(full) - seen
+    assert all(full[k] == resumed[k] for k in resumed)

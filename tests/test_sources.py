@@ -135,3 +135,14 @@ def test_job_settings_are_checked(spark):
     for broken in ({}, {"datasets": []}, {"datasets": [{"split": "train"}]}):
         with pytest.raises(ValueError):
             jobs.job_entries(spark, broken)
+
+
+def test_a_job_that_died_before_its_mark_can_run_again(spark, tmp_path):
+    from tokenloom.plans.prepare import prepare_corpus
+
+    target, ledger_path = str(tmp_path / "tokens"), str(tmp_path / "ledger")
+    for name, text in (("a", "x y"), ("b", "z"), ("a", "x y")):  # the second "a" is the re-run
+        raw = spark.createDataFrame([(i, text) for i in range(5)], "id long, text string")
+        prepare_corpus(raw, name=name, target=target, ledger=ledger_path, key="id")
+    counts = spark.read.parquet(target).groupBy("dataset").count().collect()
+    assert {r["dataset"]: r["count"] for r in counts} == {"a": 5, "b": 5}

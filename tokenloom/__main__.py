@@ -29,6 +29,7 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--draws", type=int, required=True)
     command.add_argument("--workers", type=int, required=True)
     command.add_argument("--skip", type=int, default=0)
+    command.add_argument("--samples-done", type=int, help="resume: samples that all workers have supplied together")
     command.add_argument("--batch-size", type=int)
     command = commands.add_parser("pending-evals", help="list checkpoints without results")
     command.add_argument("folder")
@@ -65,7 +66,7 @@ def main(argv: list[str] | None = None) -> None:
         else:
             mixes.training_feed(
                 entries, tokens, mix.block_len, draws=args.draws, workers=args.workers, seed=mix.seed,
-                skip=args.skip, batch_size=args.batch_size,
+                skip=args.skip, batch_size=args.batch_size, samples_done=args.samples_done,
             ).write.partitionBy("worker").parquet(args.output)
 
 

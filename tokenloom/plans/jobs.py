@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenloom.functions.text import dataset_name, raw_slug
@@ -33,15 +35,20 @@ def load_settings(path: str) -> dict:
 
 
 def job_entries(spark: SparkSession, settings: dict) -> DataFrame:
-    """The ``datasets`` list of a job file as rows."""
-    listed = settings.get("datasets")
-    if not listed:
-        raise ValueError("settings need a non-empty 'datasets' list")
-    for i, entry in enumerate(listed):
-        if not (entry.get("dataset") or entry.get("raw_dir") or entry.get("name")):
-            raise ValueError(f"dataset entry {i} names no dataset")
-    rows = [tuple(entry.get(f.name) for f in JOB_ENTRY) for entry in listed]
-    return spark.createDataFrame(rows, JOB_ENTRY)
+    """The ``datasets`` list of a job file as rows; an entry that names nothing is an error."""
+    entries = spark.createDataFrame(listed_rows(settings, JOB_ENTRY.fieldNames()), JOB_ENTRY)
+    unnamed = entries.where(F.coalesce("dataset", "raw_dir", "name", F.lit("")) == "").count()
+    if unnamed:
+        raise ValueError(f"{unnamed} dataset entries have neither dataset, raw_dir nor name")
+    return entries
+
+
+def listed_rows(settings: dict, names: Sequence[str]) -> list[tuple]:
+    """The fields ``names`` of each entry under ``datasets``, of which there must be one."""
+    rows = [tuple(map(entry.get, names)) for entry in settings.get("datasets") or ()]
+    if not rows:
+        raise ValueError("the settings list no datasets")
+    return rows
 
 
 def fill_defaults(entries: DataFrame, settings: dict | None = None, overrides: dict | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenloom.operators.mixing import (
     draws_to_blocks,
@@ -14,9 +14,10 @@ from tokenloom.operators.mixing import (
     normalize_weights,
     number_draws,
     skip_samples,
+    worker_share,
 )
 from tokenloom.operators.packing import block_counts, block_numbering, pack_blocks, to_samples
-from tokenloom.plans.jobs import load_settings
+from tokenloom.plans.jobs import listed_rows, load_settings
 from tokenloom.schemas import MIX
 from tokenloom.session import settle
 
@@ -35,18 +36,12 @@ class Mix:
 
     @classmethod
     def from_settings(cls, settings: dict) -> Mix:
-        listed = settings.get("datasets")
-        if not listed:
-            raise ValueError("a mix needs a non-empty 'datasets' list")
-        entries = []
-        for i, entry in enumerate(listed):
-            if "path" not in entry:
-                raise ValueError(f"mix entry {i} has no 'path'")
-            weight = entry.get("weight", 1.0)
-            if weight <= 0:
-                raise ValueError(f"mix entry {i} has non-positive weight {weight}")
-            entries.append((entry["path"], float(weight), entry.get("name")))
-        return cls(tuple(entries), settings.get("seq_len", SEQ_LEN), settings.get("seed", SEED))
+        rows = listed_rows(settings, ("path", "weight", "name"))
+        bad = [row for row in rows if not row[0] or (row[1] is not None and not row[1] > 0)]
+        if bad:
+            raise ValueError(f"mix entries without a path or with a weight that is not positive: {bad}")
+        entries = tuple((path, 1.0 if weight is None else float(weight), name) for path, weight, name in rows)
+        return cls(entries, settings.get("seq_len", SEQ_LEN), settings.get("seed", SEED))
 
     @classmethod
     def from_yaml(cls, path: str) -> Mix:
@@ -58,8 +53,11 @@ class Mix:
 
     @property
     def datasets(self) -> list[str]:
-        """The dataset of every entry: the last part of its path."""
-        return [path.rstrip("/").split("/")[-1] for path, _, _ in self.entries]
+        """The dataset of every entry: the last part of its path, which two paths must not share."""
+        named = {path.rstrip("/"): path.rstrip("/").split("/")[-1] for path, _, _ in self.entries}
+        if len(set(named.values())) < len(named):
+            raise ValueError(f"different paths end in the same dataset: {sorted(named)}")
+        return [named[path.rstrip("/")] for path, _, _ in self.entries]
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """One row per entry, with its ``share``."""
@@ -96,12 +94,20 @@ def training_feed(
     seed: int = SEED,
     skip: int = 0,
     batch_size: int | None = None,
+    samples_done: int | None = None,
 ) -> DataFrame:
     """The samples of every worker in step order, from ``skip`` on, in batches if asked.
 
+    A run that resumes gives ``samples_done``, the samples that all workers of the rank have
+    supplied together in whole batches of ``batch_size``; each worker then skips its share.
+
     Skipped draws and partial batches are gone before any block is cut.
     """
     numbered = number_draws(mix_schedule(tokens.sparkSession, mix, draws=draws, workers=workers, seed=seed))
+    if samples_done is not None:
+        if not batch_size:
+            raise ValueError("samples_done needs the batch_size that workers took turns with")
+        skip = worker_share(samples_done, batch_size, F.col("worker"), workers)
     wanted = skip_samples(numbered, skip)
     if batch_size:
         wanted = make_batches(wanted, batch_size)

@@ -91,7 +91,8 @@ def prepare_corpus(
     if max_samples is not None:
         chunked = chunk_by_key(corpus, key) if key else corpus
         corpus = cap_samples(chunked, max_samples, order=order)
-    write_tokens(index_corpus(corpus, tokenizer, key=key), target, mode="append", presorted=True)
+    # replaces what an earlier run that died before its mark may have left of this dataset
+    write_tokens(index_corpus(corpus, tokenizer, key=key), target, mode="replace", presorted=True)
     mark_done(spark.createDataFrame([(name, target)], "name string, path string"), ledger, TOKENIZE)
     written = spark.read.parquet(target).where(F.col("dataset") == name)
     return dataset_stats(
@@ -140,6 +141,8 @@ def run_jobs(spark: SparkSession, settings: dict, stage: str, *, only=None, over
     if dry_run:
         return todo
     listed = todo.collect()
+    if stage == TOKENIZE and (unknown := sorted({e.tokenizer for e in listed} - {None, "hash"})):
+        raise ValueError(f"unknown tokenizers: {', '.join(unknown)}; available: hash")
     for entry in listed:
         raw_dir = f"{settings['input_dir']}/{entry.raw_dir}"
         if stage == DOWNLOAD:

@@ -17,12 +17,16 @@ def write_tokens(df: DataFrame, path: str, mode: str = "errorifexists", presorte
 
     Rows straight from the index sit in chunk partitions in sequence order; ``presorted``
     says so. Files then hold narrow ``seq_id`` and ``token_start`` ranges, lookups skip row
-    groups, and nothing is exchanged or sorted for it.
+    groups, and nothing is exchanged or sorted for it. Mode ``replace`` puts the datasets of
+    ``df`` in the place of what the table has of them and leaves others alone.
     """
     rows = df.select(*[f.name for f in TOKEN_TABLE])
     if not presorted:
         rows = rows.sortWithinPartitions("dataset", "seq_id")
-    rows.write.mode(mode).partitionBy("dataset").parquet(path)
+    writer = rows.write.mode("overwrite" if mode == "replace" else mode).partitionBy("dataset")
+    if mode == "replace":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, datasets: list[str] | None = None) -> DataFrame:
