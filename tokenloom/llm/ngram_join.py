@@ -116,18 +116,14 @@ def _pivot_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return pairs.groupBy(F.col("cls").alias("a")).agg(F.max_by("pivot", F.struct("count", "pivot")).alias("b"))
 
 
-#: Items of their prefixes that candidates share, where the prefixes are long enough.
-SHARED = 3
-
-
 def _foreign_pairs(told: DataFrame, percent: int) -> DataFrame:
     """(a, b): candidates of different components.
 
     ``told`` are entries with a ``comp``. Sets of nx and ny items that overlap in ``need`` items
-    share k items among the first nx - need + k of one and the first ny - need + k of the
-    other, in the common order; entries at later positions are skipped, and a pair must show
-    k times. Within a list, the entries of the component with most entries are compared with
-    the others only, and blocks of sizes that cannot match are not met.
+    share one among the first nx - need + 1 of one and the first ny - need + 1 of the other, in
+    the common order; entries at later positions are skipped. Within a list, the entries of the
+    component with most entries are compared with the others only, and blocks of sizes that
+    cannot match are not met.
     """
     per = told.groupBy("token", "comp").count()
     lists = per.groupBy("token").agg(F.max_by("comp", F.struct("count", "comp")).alias("major"), F.count("*").alias("comps"))
@@ -142,15 +138,22 @@ def _foreign_pairs(told: DataFrame, percent: int) -> DataFrame:
     )
     total = (F.col("xn") + F.col("yn")) * percent
     need = F.floor((total + (99 + percent)) / (100 + percent))
-    spare = [F.col(f"{s}n") - need for s in "xy"]
-    indexed = [F.col(f"{s}n") - F.floor((F.col(f"{s}n") * percent + 99) / 100) + 1 for s in "xy"]
-    shared = F.least(F.lit(SHARED), indexed[0] - spare[0], indexed[1] - spare[1])
     ok = (F.col("xc") != F.col("yc")) & (F.col("in_major") | (F.col("x") < F.col("y")))
-    ok &= (spare[0] >= 0) & (spare[1] >= 0)
-    ok &= (F.col("xp") < spare[0] + shared) & (F.col("yp") < spare[1] + shared)
+    ok &= (F.col("xp") <= F.col("xn") - need) & (F.col("yp") <= F.col("yn") - need)
     pairs = x.join(y, ["token", "block"]).where(ok)
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), shared.cast("int").alias("shared"))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("count"), F.max("shared").alias("shared")).where("count >= shared").select("a", "b")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose indexed items leave room for the threshold.
+
+    Beyond the items that both index, two sets can only share what one of them does not index.
+    """
+    side = lambda s: classes.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("prefix").alias(f"prefix_{s}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    rest = F.greatest(F.col("n_a") - F.size("prefix_a"), F.col("n_b") - F.size("prefix_b"))
+    most = F.size(F.array_intersect("prefix_a", "prefix_b")) + rest
+    return both.where(most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent).select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -223,7 +226,7 @@ def ngram_jaccard_classes(
     # 2: entries of lists that still hold several components
     labels = settle(components(first), "ngram-labels").withColumnRenamed("id", "cls")
     told = entries.join(labels, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
-    found = settle(_foreign_pairs(told, percent), "ngram-pairs")
+    found = settle(_promising(_foreign_pairs(told, percent), classes, percent), "ngram-pairs")
     second = _links(docs, found, text_col, size, percent)
     links = settle(first.union(second), "ngram-links")
     labels = components(links)
