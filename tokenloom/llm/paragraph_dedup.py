@@ -29,7 +29,7 @@ PIECE, RADIUS = 20, 5
 
 _random = np.random.default_rng(77)
 _MINHASH = _random.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SCHEMA = "id long, kind int, first long, n_words int, sig long, bands array<long>"
+_SCHEMA = "id long, kind int, first long, n_words int, sig long"
 
 
 def _sum(hashes: np.ndarray) -> np.uint64:
@@ -40,7 +40,8 @@ def _bands(shingles: np.ndarray) -> np.ndarray:
     """One key for each band of the MinHash values of a set."""
     low = np.empty(len(_MINHASH), np.uint64)
     for at in range(0, len(shingles), 4096):
-        part = words.mix(shingles[at : at + 4096, None] * _MINHASH).min(axis=0)
+        # an odd factor permutes 64-bit values, and shingles are hashes already
+        part = (shingles[at : at + 4096, None] * _MINHASH).min(axis=0)
         low = part if not at else np.minimum(low, part)
     low = low.reshape(BANDS, ROWS)
     return words.mix(low[:, 0] * words._STEPS[0] + low[:, 1] * words._STEPS[1] + low[:, 2] * words._STEPS[2] + np.arange(BANDS, dtype=np.uint64))
@@ -68,8 +69,24 @@ def _anchors(hashes: np.ndarray) -> np.ndarray:
     return found[found + PIECE <= len(hashes)]
 
 
+def _paragraph_bands(batches):
+    """(sig, bands) of every paragraph."""
+    for batch in batches:
+        for chunk in words.split(batch.column(1), words.BLANK_WORDS):
+            breaks = np.flatnonzero(chunk.data == 10)
+            found: dict[int, np.ndarray] = {}
+            for i in range(len(chunk.rows)):
+                for _, hashes in _paragraphs(chunk, i, breaks):
+                    shingles = words.distinct(words.windows(hashes, SHINGLE))
+                    sig = int(_sum(shingles))
+                    if sig not in found:
+                        found[sig] = words.signed(_bands(shingles))
+            sigs = np.array(list(found), np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(list(found.values()), pa.list_(pa.int64()))], ["sig", "bands"])
+
+
 def _units(batches):
-    """Paragraphs (kind 0) with their bands, and anchored pieces (kind 1) of every text."""
+    """Paragraphs (kind 0) and anchored pieces (kind 1) of every text."""
     for batch in batches:
         for chunk in words.split(batch.column(1), words.BLANK_WORDS):
             ids = batch.column(0)
@@ -79,19 +96,19 @@ def _units(batches):
                 own = ids[row].as_py()
                 for first, hashes in _paragraphs(chunk, i, breaks):
                     shingles = words.distinct(words.windows(hashes, SHINGLE))
-                    out.append((own, 0, first, len(hashes), _sum(shingles), words.signed(_bands(shingles))))
+                    out.append((own, 0, first, len(hashes), _sum(shingles)))
                 hashes = chunk.hashes[chunk.of(i)]
                 anchors = _anchors(hashes)
                 if len(anchors):
                     pieces = words.windows(hashes, PIECE)[anchors]
-                    out.extend((own, 1, a, PIECE, p, None) for a, p in zip(anchors.tolist(), pieces))
-            columns = list(zip(*out)) if out else [()] * 6
+                    out.extend((own, 1, a, PIECE, p) for a, p in zip(anchors.tolist(), pieces))
+            columns = list(zip(*out)) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()),
-                    pa.array(columns[3], pa.int32()), pa.array(np.array(columns[4], np.uint64).view(np.int64)), pa.array(columns[5], pa.list_(pa.int64())),
+                    pa.array(columns[3], pa.int32()), pa.array(np.array(columns[4], np.uint64).view(np.int64)),
                 ],
-                ["id", "kind", "first", "n_words", "sig", "bands"],
+                ["id", "kind", "first", "n_words", "sig"],
             )
 
 
@@ -137,9 +154,10 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return settle(both.mapInArrow(check, "a long, b long"), "paragraph-links")
 
 
-def _classes(units: DataFrame, texts: DataFrame) -> DataFrame:
+def _classes(texts: DataFrame) -> DataFrame:
     """(sig, comp): the component of every paragraph that a band brings together with another."""
-    bands = units.where("kind = 0").groupBy("sig").agg(F.first("bands").alias("bands")).select("sig", F.explode("bands").alias("band"))
+    bands = texts.mapInArrow(_paragraph_bands, "sig long, bands array<long>").dropDuplicates(["sig"])
+    bands = bands.select("sig", F.explode("bands").alias("band"))
     leads = bands.groupBy("band").agg(F.min("sig").alias("lead"), F.max("sig").alias("last")).where("lead <> last")
     shared = settle(bands.join(leads.select("band", "lead"), "band"), "paragraph-bands")
     # each paragraph with the lead it meets most often; what that links needs no other witness
@@ -172,7 +190,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     units = texts.mapInArrow(_units, _SCHEMA)
-    classes = _classes(units, texts)
+    classes = _classes(texts)
     rows = units.select("id", "kind", "first", "n_words", "sig").join(classes.withColumn("kind", F.lit(0)), ["sig", "kind"], "left")
     rows = rows.withColumn("comp", F.coalesce("comp", "sig"))
     # several units make a component repeat; counting is done before anything is kept
