@@ -108,7 +108,12 @@ def _stems(docs: DataFrame) -> DataFrame:
 
 
 def _lexicon(stems: DataFrame, toxic: int, clean: int) -> list[Term]:
-    """Words and stems of at least a fiftieth of the toxic texts, at least twenty times as common there."""
+    """Words and stems of at least a fiftieth of the toxic texts, at least twenty times as common there.
+
+    Every such word is a term and takes its misspellings. Of stems that continue each other the
+    first takes what words are made with it, the last also the misspellings of those words; four
+    letters say too little to allow edits.
+    """
     size = F.length("word")
     whole = stems.where(size >= 3).select("word", F.lit(False).alias("stem"), "toxic", "clean")
     parts = F.explode(F.array(*[F.lit(n) for n in STEM_LETTERS]))
@@ -119,11 +124,14 @@ def _lexicon(stems: DataFrame, toxic: int, clean: int) -> list[Term]:
     weight = F.log10(((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1)))
     rows = rows.withColumn("weight", weight).orderBy(F.desc("weight"), "word", "stem").limit(4 * TERMS).collect()
     stemmed = {r["word"] for r in rows if r["stem"]}
+    continued = {word[:-1] for word in stemmed}
     terms = []
     for row in rows:
-        shorter = any(row["word"][:n] in stemmed for n in STEM_LETTERS if n < len(row["word"]))
-        if not shorter and (row["stem"] or row["word"] not in stemmed):
-            terms.append(Term(row["word"], row["stem"], float(row["weight"])))
+        text, size = row["word"], len(row["word"])
+        first = not any(text[:n] in stemmed for n in STEM_LETTERS if n < size)
+        if not row["stem"] or first or text not in continued:
+            exact = row["stem"] and size == STEM_LETTERS[0]
+            terms.append(Term(text, row["stem"], float(row["weight"]), 0 if exact else None))
     return sorted(terms[:TERMS])
 
 
@@ -146,7 +154,7 @@ class ToxicityModel:
     """A lexicon, words that only look misspelled, and the weights of a text's sums."""
 
     def __init__(self, terms: list[Term], innocent: np.ndarray, weights: np.ndarray):
-        self.lexicon, self.innocent, self.weights = Lexicon(terms), innocent, weights
+        self.lexicon, self.innocent, self.weights = Lexicon(terms, swaps=True), innocent, weights
 
     def scores(self, column: pa.Array) -> np.ndarray:
         x = np.c_[text_features(column, self.lexicon, self.innocent), np.ones(len(column))]
@@ -168,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     toxic, total = texts.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
     stems = settle(_stems(texts), "stems")
     terms = _lexicon(stems, max(1, toxic), max(1, total - toxic))
-    shared = spark.sparkContext.broadcast(Lexicon(terms))
+    shared = spark.sparkContext.broadcast(Lexicon(terms, swaps=True))
 
     def lookalikes(batches):
         """Clean words that a misspelled term would look like."""
