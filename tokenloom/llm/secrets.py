@@ -14,6 +14,7 @@ import bisect
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenloom.llm.toxicity import in_fold
 from tokenloom.session import settle
 
-#: Labelled findings the forest learns from at most; more are thinned by a hash.
+#: Labelled findings of a class the forest learns from at most; more are thinned by a hash.
 LABELLED_ROWS = 20_000
 #: Most frequent words of the corpus that make the dictionary.
 DICTIONARY = 2_000
@@ -197,20 +198,32 @@ def label_by_rule(found: DataFrame) -> DataFrame:
 
 
 def train_forest(found: DataFrame, limit: int = LABELLED_ROWS):
-    """A forest from at most ``limit`` labelled findings, or the share of real ones if all are alike."""
-    rows = found.where("label is not null").orderBy(F.xxhash64("id", "start", "value"), "id", "start").limit(limit)
-    rows = settle(rows.select("label", *FEATURES), "labelled-findings")
-    count, real = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
-    if real in (0, count):
-        return real / count if count else 0.0
-    forest = RandomForestClassifier(numTrees=40, maxDepth=8, seed=7, featuresCol="features", labelCol="label")
+    """A forest from at most ``limit`` labelled findings of each class; None if a class is missing.
+
+    Findings of a thinned class weigh as much more as fewer of them are left, so the shares of the
+    classes are those of all labelled findings, whatever their number.
+    """
+    rows = found.where("label is not null")
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if len(counts) < 2:
+        return None
+    parts = []
+    for label, count in sorted(counts.items()):
+        part = rows.where(F.col("label") == label).orderBy(F.xxhash64("id", "start", "value"), "id", "start").limit(limit)
+        parts.append(part.select("label", *FEATURES).withColumn("weight", F.lit(max(1.0, count / limit))))
+    rows = settle(reduce(DataFrame.unionByName, parts), "labelled-findings")
+    forest = RandomForestClassifier(numTrees=40, maxDepth=8, seed=7, featuresCol="features", labelCol="label", weightCol="weight")
     return forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows))
 
 
 def score_findings(found: DataFrame, model) -> DataFrame:
-    """``found`` with ``score``, the forest's share of trees for a real secret."""
-    if isinstance(model, float):
-        return found.withColumn("score", F.lit(model))
+    """``found`` with ``score``, the forest's share of trees for a real secret.
+
+    Without a forest the rule decides: 1 for what ``label_by_rule`` calls real, else 0.
+    """
+    if model is None:
+        ruled = label_by_rule(found.withColumnRenamed("label", "reviewed")).withColumn("score", F.coalesce("label", F.lit(0.0)))
+        return ruled.drop("label").withColumnRenamed("reviewed", "label")
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)
     rows = model.transform(rows).withColumn("score", vector_to_array("probability")[1])
     return rows.select(*found.columns, "score")
