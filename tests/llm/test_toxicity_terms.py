@@ -53,3 +53,19 @@ def test_swapped_neighbours_are_one_edit():
     for swaps, hits in ((True, 4), (False, 0)):
         found, _ = Lexicon([Term("idiot", False, 1.0)], swaps).find(chunk.data, chunk.starts, chunk.ends)
         assert (found >= 0).sum() == hits
+
+
+def test_copies_do_not_raise_the_bar(spark):
+    rows = labelled(random.Random(5), copies=4000)
+    terms = {t.text for t in learn(spark, rows).lexicon.terms}
+    assert terms >= set(INSULTS)
+
+
+def test_rare_terms_are_learned_and_chance_ones_not(spark):
+    rows = labelled(random.Random(7), n=5000)
+    rare = 0
+    for k, (id_, text, toxic) in enumerate(rows):
+        if toxic and rare < 15:  # 15 of 1,000 toxic texts
+            rows[k], rare = (id_, text + " nincompoop", toxic), rare + 1
+    terms = {t.text for t in learn(spark, rows).lexicon.terms if not t.stem}
+    assert "nincompoop" in terms and terms <= {*INSULTS, "nincompoop"}

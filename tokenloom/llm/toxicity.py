@@ -8,6 +8,8 @@ A logistic model over the sums of a text gives the score.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -21,6 +23,8 @@ LABELLED_ROWS = 20_000
 #: Terms of a lexicon at most, the weightiest first.
 TERMS = 2_000
 STEM_LETTERS = range(4, 9)
+#: Toxic texts that have a term at least, and the probability that any term is one by chance.
+SUPPORT, CHANCE = 4, 0.01
 #: Words around a hit that tell quotation from abuse.
 AROUND = 5
 
@@ -31,6 +35,8 @@ REPORTING = (
 ).split()
 ADDRESSING = "you your youre yourself u ur du dein dich ihr tu te tú eres usted vous toi es".split()
 
+_MINHASH = np.random.default_rng(41).integers(1, 1 << 63, 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
 FEATURES = ("abuse", "quoted", "misspelled", "density")
 #: Weights that the model is drawn to where labels say nothing, intercept last.
 PRIOR = np.array([2.0, 0.5, 1.0, 0.5, -3.0])
@@ -74,8 +80,14 @@ def text_features(column: pa.Array, lexicon: Lexicon, innocent: np.ndarray) -> n
     return out
 
 
-def _stems(docs: DataFrame) -> DataFrame:
-    """(word, toxic, clean): labelled texts of either kind that have the word; near copies count once."""
+def _mark(hashes: np.ndarray) -> int:
+    """One number for the MinHash values of a text's four-word windows: the same for copies."""
+    low = (words.windows(hashes, 4)[:, None] * _MINHASH).min(axis=0)
+    return int(words.signed(words.mix((words.mix(low) * _MINHASH).sum(keepdims=True)))[0])
+
+
+def _kinds(docs: DataFrame) -> DataFrame:
+    """(toxic, mark, words) of the labelled texts that have words; copies count once."""
 
     def rows(batches):
         for batch in batches:
@@ -85,7 +97,7 @@ def _stems(docs: DataFrame) -> DataFrame:
                 for i, row in enumerate(chunk.rows):
                     span = chunk.of(i)
                     kinds, first = np.unique(chunk.hashes[span], return_index=True)
-                    mark = int(words.signed(words.windows(chunk.hashes[span], 4).min(keepdims=True))[0]) if len(kinds) else None
+                    mark = _mark(chunk.hashes[span]) if len(kinds) else None
                     found = [
                         text[chunk.starts[j] : chunk.ends[j]].decode("utf-8", "replace") for j in (first + span.start).tolist()
                     ]
@@ -101,14 +113,21 @@ def _stems(docs: DataFrame) -> DataFrame:
             )
 
     kinds = docs.select("toxic", "text").mapInArrow(rows, "toxic int, mark long, words array<string>")
-    kinds = kinds.where("mark is not null").dropDuplicates(["mark", "toxic"])
+    return kinds.where("mark is not null").dropDuplicates(["mark", "toxic"])
+
+
+def _stems(kinds: DataFrame) -> DataFrame:
+    """(word, toxic, clean): texts of either kind that have the word."""
     return kinds.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")
     )
 
 
 def _lexicon(stems: DataFrame, toxic: int, clean: int) -> list[Term]:
-    """Words and stems of at least a fiftieth of the toxic texts, at least twenty times as common there.
+    """Words and stems at least twenty times as common in the ``toxic`` texts as in the ``clean``, and not by chance.
+
+    A term is in SUPPORT toxic texts at least, and texts dealt at random would be as toxic for
+    one of all words with a probability of CHANCE at most (Chernoff's bound on the binomial tail).
 
     Every such word is a term and takes its misspellings. Of stems that continue each other the
     first takes what words are made with it, the last also the misspellings of those words; four
@@ -120,7 +139,11 @@ def _lexicon(stems: DataFrame, toxic: int, clean: int) -> list[Term]:
     heads = stems.select("word", "toxic", "clean", parts.alias("n")).where(size >= F.col("n"))
     heads = heads.groupBy(F.substring("word", F.lit(1), F.col("n")).alias("word")).agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     rows = whole.unionByName(heads.select("word", F.lit(True).alias("stem"), "toxic", "clean"))
-    rows = rows.where((F.col("toxic") >= max(4, toxic / 50)) & (F.col("clean") * 20 * toxic <= F.col("toxic") * clean))
+    has, share = F.col("toxic") + F.col("clean"), toxic / (toxic + clean)
+    surprise = F.col("toxic") * F.log(F.col("toxic") / has / share)
+    surprise += F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / has / (1 - share))).otherwise(0.0)
+    bound = math.log(max(1, stems.count()) / CHANCE)
+    rows = rows.where((F.col("toxic") >= SUPPORT) & (surprise >= bound) & (F.col("clean") * 20 * toxic <= F.col("toxic") * clean))
     weight = F.log10(((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1)))
     rows = rows.withColumn("weight", weight).orderBy(F.desc("weight"), "word", "stem").limit(4 * TERMS).collect()
     stemmed = {r["word"] for r in rows if r["stem"]}
@@ -173,8 +196,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = F.broadcast(known.orderBy(F.xxhash64("id"), "id").limit(limit))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     texts = settle(texts.join(known, "id").select("toxic", "text"), "labelled")
-    toxic, total = texts.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
-    stems = settle(_stems(texts), "stems")
+    kinds = settle(_kinds(texts), "kinds")
+    toxic, total = kinds.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
+    stems = settle(_stems(kinds), "stems")
     terms = _lexicon(stems, max(1, toxic), max(1, total - toxic))
     shared = spark.sparkContext.broadcast(Lexicon(terms, swaps=True))
 
