@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tokenloom.functions import scoring as score, tasks
@@ -115,6 +116,43 @@ def test_numbers_and_boxes(spark):
     assert value(spark, score.boxed_match(text("is 2"), text("2"))) == 0
 
 
+def plain_box(t):
+    """Every box by walking to its brace; the one that closes last."""
+    found = []
+    for i in range(len(t)):
+        depth = 1
+        for j in range(i + 7, len(t) if t.startswith("\\boxed{", i) else 0):
+            depth += (t[j] == "{") - (t[j] == "}")
+            if not depth:
+                found.append((j, t[i + 7 : j]))
+                break
+    return max(found)[1] if found else None
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["{", "}", "\\boxed{", "a", "é ", "}"]), max_size=12).map("".join), min_size=20, max_size=40))
+def test_boxes_match_a_plain_walk(spark, texts):
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.b for r in rows.select(score.boxed_answer(F.col("t")).alias("b")).collect()] == [plain_box(t) for t in texts]
+
+
+def test_long_and_deep_answers(spark):
+    """Bad output may be long: nothing here may recurse or take more than linear time."""
+    deep = "{" * 50 + "x" + "}" * 50
+    cases = {
+        "long": ("\\boxed{" + "b" * 100_000 + "} rest" + " c" * 50_000, "b" * 100_000),
+        "deep": ("\\boxed{" + deep + "}", deep),
+        "pairs": ("\\boxed{" + "{}" * 50_000 + "}", "{}" * 50_000),
+        "open": ("\\boxed{" * 1_000, None),
+        "second open": ("\\boxed{1} and \\boxed{2", "1"),
+        "missing": (None, None),
+    }
+    rows = spark.createDataFrame([(k, t) for k, (t, _) in cases.items()], "k string, t string")
+    assert {r.k: r.b for r in rows.select("k", score.boxed_answer(F.col("t")).alias("b")).collect()} == {k: w for k, (_, w) in cases.items()}
+    articles = spark.createDataFrame([("the a " * 50_000 + "Cat, a\n",), ("an" + " a" * 100_000,)], "t string")
+    assert [r.n for r in articles.select(score.normalize_answer(F.col("t")).alias("n")).collect()] == ["cat", ""]
+
+
 def test_clean_prediction(spark):
     response = "<think>a\nb</think>  hello <think>c</think>\n"
     assert value(spark, score.clean_prediction(text(response), F.lit(10))) == "hello"

@@ -12,12 +12,12 @@ REASONING_BLOCK = r"(?s)<think>.*?</think>"
 MAX_JUDGE_TOKENS = 2048
 CHARS_PER_TOKEN = 4
 
-# Braces within the braces of a boxed answer that are read.
-BOX_DEPTH = 4
-
 # Fixed value: label that takes no part in the cross entropy.
 IGNORE_LABEL = -100
 
+# Fixed value: words that a normalized answer leaves out.
+ARTICLES = ("a", "an", "the")
+
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -28,9 +28,8 @@ def exact_match(prediction: Column, gold: Column) -> Column:
 
 def normalize_answer(text: Column) -> Column:
     """Lower case, no ASCII punctuation, no English articles, single blanks."""
-    plain = F.translate(F.lower(text), ASCII_PUNCTUATION, "")
-    without_articles = F.regexp_replace(F.concat(F.lit(" "), plain, F.lit(" ")), "[ \n\t]+(?:(?:an|a|the)[ \n\t]+)+", " ")
-    return F.btrim(F.regexp_replace(without_articles, "[ \n\t]+", " "), F.lit(" "))
+    words = F.split(F.translate(F.lower(text), ASCII_PUNCTUATION, ""), "[ \n\t]")
+    return F.array_join(F.filter(words, lambda w: ~w.isin("", *ARTICLES)), " ")
 
 
 def quasi_exact_match(prediction: Column, gold: Column) -> Column:
@@ -49,13 +48,63 @@ def numeric_match(prediction: Column, gold: Column) -> Column:
     return F.coalesce((last_number(prediction) == last_number(gold)).cast("double"), F.lit(0.0))
 
 
+def _braces(text: Column) -> Column:
+    """The text cut at its braces: runs of ``part`` and the ``brace`` behind it, NULL behind the last."""
+    parts, braces = F.split(text, "[{}]", -1), F.regexp_extract_all(text, F.lit("[{}]"), F.lit(0))
+    return F.zip_with(parts, braces, lambda part, brace: F.struct(part.alias("part"), brace.alias("brace")))
+
+
+def _box_start(text: Column) -> Column:
+    """Characters from the inside of the box that closes last to the end of the text; NULL if none closes.
+
+    One walk over the braces from the end. ``depth`` is the nesting behind the brace at hand,
+    ``low`` the least one further right: a brace is closed if that is below its own. ``inside``
+    is the least nesting up to the end of the box found so far; a box around that one never
+    goes below its own depth there, and takes its place.
+    """
+    start = F.struct(
+        F.lit(0).alias("at"),
+        F.lit(0).alias("depth"),
+        F.lit(2**31 - 1).alias("low"),
+        F.lit(0).alias("inside"),
+        F.lit(None).cast("int").alias("box"),
+    )
+
+    def step(seen: Column, cut: Column) -> Column:
+        opens, is_brace = cut["brace"] == "{", cut["brace"].isNotNull()
+        boxed = opens & cut["part"].endswith("\\boxed") & (seen["low"] < seen["depth"])
+        found = F.coalesce(boxed & (seen["box"].isNull() | (seen["inside"] >= seen["depth"])), F.lit(False))
+        depth, past = seen["depth"], seen["at"] + F.length(cut["part"])
+        return F.struct(
+            F.when(is_brace, past + 1).otherwise(past).alias("at"),
+            F.when(~is_brace, depth).when(opens, depth - 1).otherwise(depth + 1).alias("depth"),
+            F.when(is_brace, F.least(seen["low"], depth)).otherwise(seen["low"]).alias("low"),
+            F.when(found, depth - 1).when(is_brace, F.least(seen["inside"], depth)).otherwise(seen["inside"]).alias("inside"),
+            F.when(found, seen["at"]).otherwise(seen["box"]).alias("box"),
+        )
+
+    return F.aggregate(F.reverse(_braces(text)), start, step, lambda seen: seen["box"])
+
+
+def _up_to_close(rest: Column) -> Column:
+    """A text up to the brace that closes what was open before it."""
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(None).cast("int").alias("end"))
+
+    def step(seen: Column, cut: Column) -> Column:
+        past = seen["at"] + F.length(cut["part"])
+        depth = F.when(cut["brace"] == "{", seen["depth"] + 1).otherwise(seen["depth"] - 1)
+        end = F.coalesce(seen["end"], F.when(depth < 0, past))
+        return F.struct((past + 1).alias("at"), depth.alias("depth"), end.alias("end"))
+
+    return F.left(rest, F.aggregate(_braces(rest), start, step, lambda seen: seen["end"]))
+
+
 def boxed_answer(text: Column) -> Column:
-    r"""The content of the last ``\boxed{...}``, braces nested up to BOX_DEPTH deep; NULL if none."""
-    inside = r"[^{}]*"
-    for _ in range(BOX_DEPTH):
-        inside = r"(?:[^{}]|\{" + inside + r"\})*"
-    boxes = F.regexp_extract_all(text, F.lit(r"\\boxed\{(" + inside + r")\}"), F.lit(1))
-    return F.try_element_at(boxes, F.lit(-1))
+    r"""The content of the last ``\boxed{...}``, nested to any depth; NULL if none closes.
+
+    A box within a closed box belongs to the outer one. Time grows with the text alone.
+    """
+    return let(F.right(text, _box_start(text)), _up_to_close)
 
 
 def boxed_match(prediction: Column, gold: Column) -> Column:

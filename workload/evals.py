@@ -209,13 +209,19 @@ def exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numeric_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last number, and the boxed answer, of whole texts against the character count."""
+    """The last number, and the boxed answer, of whole texts against the character count.
+
+    Boxes are flat, nested, left open behind a closed one, only open, or the prediction is missing.
+    """
     gold = F.col("n_chars").cast("string")
-    boxed = F.concat(F.col("text"), F.lit(" so $\\boxed{ "), gold, F.lit(".0}$"))
+    kinds = [" so $\\boxed{ #.0}$", " so \\boxed{\\frac{\\boxed{#}}{{2}}} {x}", " so {\\boxed{#}} or \\boxed{1", " so \\boxed{#", None]
+    form = F.element_at(F.array(*[F.lit(k) for k in kinds]), (F.col("doc_id") % len(kinds) + 1).cast("int"))
+    boxed = F.concat("text", F.replace(form, F.lit("#"), gold))
     rows = _answered(spark, sf_dir, boxed, F.concat(F.col("text"), F.lit(" makes "), gold))
     return rows.select(
         "doc_id",
         score.last_number(F.col("text")).alias("last_number"),
+        score.boxed_answer(F.col("prediction")).alias("boxed"),
         score.numeric_match(F.col("prediction"), gold).alias("number_ok"),
         score.boxed_match(F.col("prediction"), gold).alias("boxed_ok"),
     )
@@ -301,15 +307,15 @@ QUERIES = {
 }
 
 BLANKS_SQL = "'" + WHITESPACE + "'"
-PUNCTUATION_SQL = "'" + score.ASCII_PUNCTUATION.replace("'", "''") + "'"
 MATH_SQL = "'" + evalsets.MATH_PROMPT.replace("'", "''") + "'"
 SHOT_SQL = "source || ' ' || doc_id || ' ' || md5(text)"
 
 
 def normalized_sql(text: str) -> str:
-    plain = f"translate(lower({text}), {PUNCTUATION_SQL}, '')"
-    bare = f"regexp_replace(' ' || {plain} || ' ', '[ \\n\\t]+(?:(?:an|a|the)[ \\n\\t]+)+', ' ', 'g')"
-    return f"trim(regexp_replace({bare}, '[ \\n\\t]+', ' ', 'g'), ' ')"
+    """Punctuation by a character class, articles by rejoining the words between blanks."""
+    bare = f"regexp_replace(lower({text}), '[!-/:-@\\[-`{{-~]', '', 'g')"
+    words = f"string_split(translate({bare}, chr(10) || chr(9), '  '), ' ')"
+    return f"array_to_string(list_filter({words}, lambda w: w NOT IN ('', 'the', 'an', 'a')), ' ')"
 
 
 def last_number_sql(text: str) -> str:
@@ -438,15 +444,26 @@ ORACLES = {
                round(avg(({normalized_sql('prediction')} = {normalized_sql('text')})::INT), 6) AS qem
         FROM p GROUP BY lang""",
     "numeric_match": f"""
-        WITH p AS (SELECT doc_id, text, n_chars, coalesce(quality = 1, false) AS good,
-                          text || CASE WHEN quality = 1 THEN ' so $\\boxed{{ ' || n_chars || '.0}}$'
-                                  ELSE ' makes ' || n_chars END AS prediction
-                   FROM documents LEFT JOIN labels USING (doc_id))
-        SELECT doc_id, {last_number_sql('text')} AS last_number,
-               ({last_number_sql('prediction')} = n_chars)::INT::DOUBLE AS number_ok,
-               coalesce((TRY_CAST(trim(regexp_extract_all(prediction, '\\\\boxed\\{{([^{{}}]*)\\}}', 1)[-1]) AS DOUBLE)
-                        = n_chars)::INT::DOUBLE, 0.0) AS boxed_ok
-        FROM p""",
+        WITH p AS (SELECT doc_id, text, n_chars, text || CASE WHEN quality = 1 THEN
+                            CASE doc_id % 5 WHEN 0 THEN ' so $\\boxed{{ ' || n_chars || '.0}}$'
+                                 WHEN 1 THEN ' so \\boxed{{\\frac{{\\boxed{{' || n_chars || '}}}}{{{{2}}}}}} {{x}}'
+                                 WHEN 2 THEN ' so {{\\boxed{{' || n_chars || '}}}} or \\boxed{{1'
+                                 WHEN 3 THEN ' so \\boxed{{' || n_chars END
+                          ELSE ' makes ' || n_chars END AS prediction
+                   FROM documents LEFT JOIN labels USING (doc_id)),
+        letters AS (SELECT doc_id, unnest(string_split(prediction, '')) AS c,
+                           generate_subscripts(string_split(prediction, ''), 1) AS place FROM p),
+        braces AS (SELECT *, sum(CASE c WHEN '{{' THEN 1 ELSE -1 END) OVER (PARTITION BY doc_id ORDER BY place) AS depth
+                   FROM letters WHERE c IN ('{{', '}}')),
+        boxes AS (SELECT o.doc_id, o.place, min(e.place) AS shut FROM braces o JOIN p USING (doc_id)
+                  JOIN braces e ON e.doc_id = o.doc_id AND e.place > o.place AND e.depth < o.depth
+                  WHERE o.c = '{{' AND o.place > 6 AND substr(prediction, o.place - 6, 6) = '\\boxed' GROUP BY ALL),
+        last_box AS (SELECT doc_id, arg_max(substr(prediction, place + 1, shut - place - 1), shut) AS boxed
+                     FROM boxes JOIN p USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, {last_number_sql('text')} AS last_number, boxed,
+               coalesce(({last_number_sql('prediction')} = n_chars)::INT::DOUBLE, 0.0) AS number_ok,
+               coalesce((TRY_CAST(trim(boxed) AS DOUBLE) = n_chars)::INT::DOUBLE, 0.0) AS boxed_ok
+        FROM p LEFT JOIN last_box USING (doc_id)""",
     "clean_prediction": f"""
         WITH p AS (SELECT doc_id, CASE WHEN quality = 1 THEN '<think>' || source || chr(10) || chr(10) || lang || '</think>'
                             || chr(10) || ' ' || text || ' <think>x</think>' ELSE chr(9) || text END AS prediction
