@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tokenloom.operators.ordering import CHUNKS, chunk_by_key, chunk_width, first_rows, running_totals
+from tokenloom.operators.ordering import CHUNKS, chunk_by_key, chunk_by_order, first_rows, running_totals
 
 quick = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -66,10 +66,36 @@ def test_first_rows(spark, keys, limit, width):
     assert got == want
 
 
-def test_chunk_width_follows_key_density(spark):
-    sparse = spark.range(0, 1000).select((F.col("id") * 1000).alias("k"))
-    assert 90_000 <= chunk_width(sparse, "k", 100) <= 110_000
-    assert chunk_width(sparse.where("k < 0"), "k", 100) == 100
+KEYS = {
+    "dense": lambda i: i,
+    "hashed": lambda i: random.Random(i).randrange(-(1 << 62), 1 << 62),
+    "clustered": lambda i: (i % 7) * 10**15 + i // 7,
+    "text": lambda i: f"{random.Random(i).randrange(10**9)}é{i}",
+}
+
+
+@pytest.mark.parametrize("kind", KEYS)
+def test_any_key_orders_in_bounded_windows(spark, kind):
+    rows = [("ab"[i % 5 == 0], KEYS[kind](i), i % 11) for i in range(3000)]
+    df = spark.createDataFrame(rows, f"g string, k {'string' if kind == 'text' else 'bigint'}, v bigint").repartition(5)
+    chunked = chunk_by_order(df, ["k"], group=["g"], rows_per_chunk=16, fanout=8)
+    placed = running_totals(chunked, group=["g"], chunk=CHUNKS, order=["k"], totals={"n": F.lit(1), "t": F.col("v")})
+    assert {(r.g, r.k): (r.n, r.t) for r in placed.collect()} == brute(rows)
+    chunked = chunked.cache()
+    assert chunked.groupBy("g", *CHUNKS).count().agg(F.max("count")).first()[0] <= 16
+    assert chunked.groupBy("g", CHUNKS[0]).agg(F.count_distinct(CHUNKS[1]).alias("n")).agg(F.max("n")).first()[0] <= 8
+    assert chunked.select("g", CHUNKS[0]).distinct().count() <= 3000 / 128 + 4
+    chunked.unpersist()
+
+
+def test_equal_keys_share_a_chunk(spark):
+    df = spark.createDataFrame([("a", k // 3, 1) for k in range(90)], "g string, k bigint, v bigint")
+    chunked = chunk_by_order(df, ["k"], group=["g"], rows_per_chunk=4, fanout=2)
+    assert chunked.count() == 90
+    assert chunked.groupBy("k").agg(F.count_distinct("chunk").alias("n")).where("n > 1").count() == 0
+    assert chunk_by_order(df.limit(0), ["k"], group=["g"]).count() == 0
+    with pytest.raises(Exception, match="NULL in k"):
+        chunk_by_order(df.withColumn("k", F.lit(None).cast("bigint")), ["k"], group=["g"]).count()
 
 
 def test_large_keys_divide_exactly(spark):

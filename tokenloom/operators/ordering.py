@@ -32,20 +32,13 @@ def div(value: Column, by: Column | int) -> Column:
 
 
 def chunk_by_key(df: DataFrame, key: str, keys_per_chunk: int = CHUNK_KEYS, fanout: int = COARSE_FANOUT) -> DataFrame:
-    """Add the chunk columns for an integer key, ``keys_per_chunk`` key values to a chunk."""
-    fine = div(F.col(key).cast("bigint"), keys_per_chunk)
-    return df.withColumns({CHUNK_HI: div(fine, fanout), CHUNK: fine})
-
-
-def chunk_width(df: DataFrame, key: str, rows_per_chunk: int = CHUNK_KEYS) -> int:
-    """Key values per chunk so that a chunk of a sparse integer key holds about ``rows_per_chunk`` rows.
+    """Add the chunk columns for a dense integer key, ``keys_per_chunk`` key values to a chunk.
 
-    One aggregate over the key column alone.
+    Arithmetic on the key alone, so nothing is read for it. A key with wide gaps makes
+    chunks of few rows, and as many of them as rows: order such a key by :func:`chunk_by_order`.
     """
-    low, high, rows = df.agg(F.min(key), F.max(key), F.count(key)).first()
-    if not rows:
-        return rows_per_chunk
-    return max(1, (high - low + 1) * rows_per_chunk // rows)
+    fine = div(F.col(key).cast("bigint"), keys_per_chunk)
+    return df.withColumns({CHUNK_HI: div(fine, fanout), CHUNK: fine})
 
 
 def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,6 +46,40 @@ def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in {k}"))) for k in keys})
 
 
+# monotonically_increasing_id: the partition above these bits, the row inside it below.
+_ROW_BITS = 33
+
+
+def chunk_by_order(
+    df: DataFrame,
+    order: list[str],
+    group: list[str] = ["dataset"],
+    rows_per_chunk: int = CHUNK_KEYS,
+    fanout: int = COARSE_FANOUT,
+) -> DataFrame:
+    """Add the chunk columns for any orderable key: sparse, hashed, clustered or text.
+
+    The keys alone are range-partitioned and sorted, which numbers them inside their range;
+    the ranges' counts, summed in order, make that the key's exact rank. A chunk is
+    ``rows_per_chunk`` consecutive ranks and a coarse chunk ``fanout`` chunks, so whatever
+    the keys look like, windows over chunks hold at most that many rows, and the top one a
+    row per ``rows_per_chunk * fanout`` keys. Rows of equal keys share a chunk. A NULL in a
+    group or order column fails the job.
+    """
+    names = [*group, *order]
+    rows = require_keys(df, names)
+    keys = rows.select(*names).repartitionByRange(*names).distinct().sortWithinPartitions(*names)
+    # settled, because another run of the exchange may cut the ranges elsewhere
+    numbered = settle(keys.withColumn("row__", F.monotonically_increasing_id()), "order")
+    numbered = numbered.withColumn("range__", F.shiftright("row__", _ROW_BITS))
+    ranges = numbered.groupBy("range__").agg(F.count("*").alias("rows__"))
+    starts = running_totals(ranges, group=[], chunk=[], order=["range__"], totals={"before__": F.col("rows__")})
+    rank = F.col("before__") + F.col("row__").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    chunk = div(rank, rows_per_chunk)
+    placed = numbered.join(settle(starts, "ranges").drop("rows__"), "range__")
+    return rows.join(placed.select(*names, div(chunk, fanout).alias(CHUNK_HI), chunk.alias(CHUNK)), names)
+
+
 def _chunk_offsets(df: DataFrame, group: list[str], chunk: list[str], totals: dict[str, Column]) -> DataFrame:
     """Per chunk and name: ``<name>__before``, the total of all earlier chunks of the group,
     and ``<name>__past``, the same with the chunk's own total added."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenloom.functions.tokens import HashTokenizer, num_tokens, token_width
 from tokenloom.operators.index import index_sequences
-from tokenloom.operators.ordering import CHUNK_KEYS, CHUNKS, chunk_by_key
+from tokenloom.operators.ordering import CHUNK_KEYS, CHUNKS, chunk_by_key, chunk_by_order
 from tokenloom.plans.jobs import DOWNLOAD, TOKENIZE, fill_defaults, job_entries, plan, select_datasets
 from tokenloom.sources.corpus import (
     SHARD_BYTES,
@@ -45,20 +45,31 @@ def tokenize_external(df: DataFrame, encode, text: str = "text") -> DataFrame:
     return df.withColumn("tokens", encode(F.col(text))).withColumn("num_tokens", num_tokens(F.col("tokens")))
 
 
+def _chunked(corpus: DataFrame, key: str | None, dense_key: bool, keys_per_chunk: int = CHUNK_KEYS) -> DataFrame:
+    """With chunk columns for the key; a corpus without one has those of its files."""
+    if key is None:
+        return corpus
+    if dense_key:
+        return chunk_by_key(corpus, key, keys_per_chunk)
+    return chunk_by_order(corpus, [key], rows_per_chunk=keys_per_chunk)
+
+
 def index_corpus(
     corpus: DataFrame,
     tokenizer: HashTokenizer = HashTokenizer(),
     *,
     key: str | None = None,
+    dense_key: bool = False,
     keys_per_chunk: int = CHUNK_KEYS,
 ) -> DataFrame:
-    """Token table rows for a ``dataset``, ``text`` corpus in the order of an integer ``key``.
+    """Token table rows for a ``dataset``, ``text`` corpus in the order of a ``key``.
 
-    Without a key the corpus carries the columns of :func:`with_file_order` and keeps that
+    The key may be anything that sorts; ``dense_key`` says that it is an integer without wide
+    gaps, which saves ranking the keys first. Without a key the corpus carries the columns of :func:`with_file_order` and keeps that
     order. Text is what gets exchanged into order; it is tokenized afterwards, in the
     partitions it ends up in, however unevenly the input files are cut.
     """
-    rows = chunk_by_key(corpus, key, keys_per_chunk) if key else corpus
+    rows = _chunked(corpus, key, dense_key, keys_per_chunk)
     counted = rows.withColumn("num_tokens", tokenizer.count(F.col("text")))
     width = token_width(F.lit(tokenizer.id_count))
     indexed = index_sequences(counted, order=[key or "row"], width=width)
@@ -72,6 +83,7 @@ def prepare_corpus(
     target: str,
     ledger: str,
     key: str | None = None,
+    dense_key: bool = False,
     tokenizer: HashTokenizer = HashTokenizer(),
     text: str = "text",
     preprocess: str | None = None,
@@ -79,7 +91,7 @@ def prepare_corpus(
 ) -> DataFrame:
     """Write one dataset into the token table, mark it done and return its metadata row.
 
-    ``raw`` comes straight from a Parquet reader, or has an integer ``key`` for its order.
+    ``raw`` comes straight from a Parquet reader, or has a ``key`` for its order.
     """
     spark: SparkSession = raw.sparkSession
     if key:
@@ -89,10 +101,9 @@ def prepare_corpus(
         order = ["row"]
     corpus = with_text(rows, text, preprocess).withColumn("dataset", F.lit(name))
     if max_samples is not None:
-        chunked = chunk_by_key(corpus, key) if key else corpus
-        corpus = cap_samples(chunked, max_samples, order=order)
+        corpus = cap_samples(_chunked(corpus, key, dense_key), max_samples, order=order).drop(*(CHUNKS if key else []))
     # replaces what an earlier run that died before its mark may have left of this dataset
-    write_tokens(index_corpus(corpus, tokenizer, key=key), target, mode="replace", presorted=True)
+    write_tokens(index_corpus(corpus, tokenizer, key=key, dense_key=dense_key), target, mode="replace", presorted=True)
     mark_done(spark.createDataFrame([(name, target)], "name string, path string"), ledger, TOKENIZE)
     written = spark.read.parquet(target).where(F.col("dataset") == name)
     return dataset_stats(

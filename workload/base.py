@@ -38,7 +38,7 @@ def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token table rows of the corpus."""
-    return index_corpus(corpus(spark, sf_dir), TOKENIZER, key="doc_id")
+    return index_corpus(corpus(spark, sf_dir), TOKENIZER, key="doc_id", dense_key=True)
 
 
 _written: dict[tuple[str, str], str] = {}

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenloom.functions import text as texts, tokens as toks
 from tokenloom.operators import index as idx, messages
-from tokenloom.operators.ordering import chunk_by_key, div
+from tokenloom.operators.ordering import chunk_by_key, chunk_by_order, div
 from tokenloom.plans.prepare import tokenize as add_tokens
 from tokenloom.schemas import MESSAGES
 from tokenloom.session import scratch_path
 from tokenloom.streaming import ingest
 from workload.base import (
     INDEX_SQL,
+    SIZES_SQL,
     TOKENIZER,
     WORDS_SQL,
     corpus,
@@ -110,6 +111,13 @@ def sequence_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("dataset", "doc_id", "seq_id", "num_tokens", "token_start", "token_end", "byte_pointer")
 
 
+def sequence_index_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same index in the order of a key that is spread over its whole range."""
+    hashed = sizes(spark, sf_dir).withColumn("key", F.md5(F.col("doc_id").cast("string")))
+    placed = idx.index_sequences(chunk_by_order(hashed, ["key"]), order=["key"])
+    return placed.select("dataset", "doc_id", "seq_id", "num_tokens", "token_start")
+
+
 def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as sequences of conversations; a long conversation spans several chunks."""
     turns = table(spark, sf_dir, "conversations").select(
@@ -162,6 +170,7 @@ QUERIES = {
         token_width,
         tokenize_stream,
         sequence_index,
+        sequence_index_by_hash,
         document_index,
         get_sequences,
         locate_tokens,
@@ -222,6 +231,11 @@ ORACLES = {
         WITH {INDEX_SQL}
         SELECT dataset, doc_id, seq_id, num_tokens, token_start, token_start + num_tokens AS token_end,
                token_start * 2 AS byte_pointer FROM idx""",
+    "sequence_index_by_hash": f"""
+        WITH {SIZES_SQL}
+        SELECT dataset, doc_id, row_number() OVER by_key - 1 AS seq_id, num_tokens,
+               (sum(num_tokens) OVER by_key - num_tokens)::BIGINT AS token_start
+        FROM sized WINDOW by_key AS (PARTITION BY dataset ORDER BY md5(doc_id::VARCHAR) ROWS UNBOUNDED PRECEDING)""",
     "document_index": """
         SELECT conv_id, max(seq_id) AS last_seq_id
         FROM (SELECT conv_id, row_number() OVER (ORDER BY conv_id, turn) - 1 AS seq_id FROM conversations)
