@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm import licenses, line_dedup
+from tokenloom.llm.clustering import clustering_report
 from tokenloom.llm.decontaminate import contamination
 from tokenloom.llm.embedding_join import embedding_classes
 from tokenloom.llm.kneser_ney import lm_scores
@@ -62,6 +63,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_classes(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_best_fit_packing, op4_substring_dedup, op5_lm_scoring, op6_toxicity, op7_secret_scan, op8_license_scan, op9_line_dedup, op10_embedding_near_dedup)}
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering_report(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_best_fit_packing, op4_substring_dedup, op5_lm_scoring, op6_toxicity, op7_secret_scan, op8_license_scan, op9_line_dedup, op10_embedding_near_dedup, op11_centroid_clustering)}
 
 ORACLES: dict[str, str] = {"op8_license_scan": licenses.sql(), "op9_line_dedup": line_dedup.SQL}
