@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import licenses, line_dedup
+from tokenloom.llm import licenses, line_dedup, quality
 from tokenloom.llm.clustering import clustering_report
 from tokenloom.llm.decontaminate import contamination
 from tokenloom.llm.embedding_join import embedding_classes
+from tokenloom.llm.importance import resampling_report
 from tokenloom.llm.kneser_ney import lm_scores
 from tokenloom.llm.ngram_join import ngram_jaccard_classes
 from tokenloom.llm.packing import pack_best_fit
@@ -67,6 +68,14 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering_report(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_best_fit_packing, op4_substring_dedup, op5_lm_scoring, op6_toxicity, op7_secret_scan, op8_license_scan, op9_line_dedup, op10_embedding_near_dedup, op11_centroid_clustering)}
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
-ORACLES: dict[str, str] = {"op8_license_scan": licenses.sql(), "op9_line_dedup": line_dedup.SQL}
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_best_fit_packing, op4_substring_dedup, op5_lm_scoring, op6_toxicity, op7_secret_scan, op8_license_scan, op9_line_dedup, op10_embedding_near_dedup, op11_centroid_clustering, op12_importance_resampling, op13_quality_rules)}
+
+ORACLES: dict[str, str] = {"op8_license_scan": licenses.sql(), "op9_line_dedup": line_dedup.SQL, "op13_quality_rules": quality.SQL}
