@@ -53,44 +53,61 @@ def stream_blocks(spark, paths):
     return {(r.dataset, r.block_id): r.tokens for r in rows}
 
 
-def run_pack(spark, source, paths):
-    stream = ingest.tokenize_stream(ingest.read_stream(spark, source, schema(spark)), HashTokenizer())
-    pack.pack_stream(stream, LEN, key="doc_id", keys_per_chunk=8, **paths).awaitTermination()
+def run_pack(spark, source, paths, **options):
+    stream = ingest.tokenize_stream(ingest.read_stream(spark, source, schema(spark), max_files=1), HashTokenizer())
+    query = pack.pack_stream(stream, LEN, key="doc_id", **paths, **options)
+    query.awaitTermination()
+    return query
+
+
+def states(spark, paths):
+    rows = spark.read.format("statestore").load(paths["checkpoint"]).select("key.*", "value.*").collect()
+    return {r["dataset"]: r["groupState"] for r in rows}
 
 
 def test_packing_a_stream_equals_packing_the_table(spark, tmp_path):
+    """One file to a micro-batch, and a restart after some; the state holds a tail per dataset."""
     source = str(tmp_path / "in")
-    paths = {n: str(tmp_path / n) for n in ("target", "state", "checkpoint")}
-    for lo, hi in ((0, 40), (40, 41), (41, 90)):
-        arrivals(spark, lo, hi).write.mode("append").parquet(source)
-        run_pack(spark, source, paths)
+    paths = {n: str(tmp_path / n) for n in ("target", "checkpoint")}
+    for step, (lo, hi) in enumerate([(0, 40), (40, 41), (41, 80), (80, 83), (83, 90)]):
+        arrivals(spark, lo, hi).coalesce(1).write.mode("append").parquet(source)
+        if step in (1, 3, 4):
+            run_pack(spark, source, paths)
     assert stream_blocks(spark, paths) == batch_blocks(spark, 90)
-    last = spark.read.parquet(f"{paths['state']}/batch=2").collect()
-    totals = {r.dataset: r.total_tokens for r in last}
-    assert all(len(r.tail) == r.total_tokens % LEN for r in last)
     want = arrivals(spark, 0, 90).groupBy("dataset").agg(F.sum(HashTokenizer().count(F.col("text"))).alias("n"))
-    assert totals == {r.dataset: r.n for r in want.collect()}
+    want = {r.dataset: r.n for r in want.collect()}
+    held = states(spark, paths)
+    assert {d: s.total_tokens for d, s in held.items()} == want
+    assert {d: len(s.tail) for d, s in held.items()} == {d: n % LEN for d, n in want.items()}
 
 
-def test_a_replayed_batch_overwrites_itself(spark, tmp_path):
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     source = str(tmp_path / "in")
-    paths = {n: str(tmp_path / n) for n in ("target", "state", "checkpoint")}
-    arrivals(spark, 0, 40).write.parquet(source)
+    paths = {n: str(tmp_path / n) for n in ("target", "checkpoint")}
+    arrivals(spark, 0, 40).coalesce(1).write.parquet(source)
     run_pack(spark, source, paths)
-    arrivals(spark, 40, 70).write.mode("append").parquet(source)
+    arrivals(spark, 40, 70).coalesce(1).write.mode("append").parquet(source)
     run_pack(spark, source, paths)
-    # As after a crash between the output and the commit of batch 1: the commit is lost.
-    for name in ("1", ".1.crc"):
+    # As after a crash between the output and the commit of the last batch: the commit is lost.
+    last = max(int(p.name) for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
         (tmp_path / "checkpoint" / "commits" / name).unlink()
     run_pack(spark, source, paths)
     assert stream_blocks(spark, paths) == batch_blocks(spark, 70)
+    arrivals(spark, 70, 90).coalesce(1).write.mode("append").parquet(source)
+    run_pack(spark, source, paths)
+    assert stream_blocks(spark, paths) == batch_blocks(spark, 90)
 
 
-def test_a_dataset_missing_from_a_batch_keeps_its_tail(spark, tmp_path):
-    carried = spark.createDataFrame([("a", 20, [1, 2, 3, 4]), ("b", 16, []), ("c", 32, [])], pack.STATE)
-    batch = spark.createDataFrame([("b", 0, 5, [9] * 5)], "dataset string, doc_id bigint, num_tokens bigint, tokens array<int>")
-    blocks = pack.continue_blocks(batch, carried, LEN, key="doc_id")
-    after = {r.dataset: r for r in pack.next_state(carried, blocks, LEN).collect()}
-    assert (after["a"].total_tokens, after["a"].tail) == (20, [1, 2, 3, 4])
-    assert (after["b"].total_tokens, after["b"].tail) == (21, [9] * 5)
-    assert (after["c"].total_tokens, after["c"].tail) == (32, [])
+def test_lanes_are_streams_of_their_own(spark, tmp_path):
+    source = str(tmp_path / "in")
+    paths = {n: str(tmp_path / n) for n in ("target", "checkpoint")}
+    arrivals(spark, 0, 90).coalesce(1).write.parquet(source)
+    run_pack(spark, source, paths, lanes=3)
+    rows = arrivals(spark, 0, 90).select("dataset", F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("lane"), "doc_id", HashTokenizer().ids(F.col("text")).alias("tokens"))
+    lanes = {}
+    for r in rows.orderBy("doc_id").collect():
+        lanes.setdefault((r.dataset, r.lane), []).extend(r.tokens)
+    want = {(*k, i): t[i * LEN : (i + 1) * LEN] for k, t in lanes.items() for i in range(len(t) // LEN)}
+    got = {(r.dataset, r.lane, r.block_id): r.tokens for r in pack.read_packed(spark, paths["target"]).collect()}
+    assert got == want

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tokenloom.operators.ordering import CHUNKS, div, running_totals
+from tokenloom.operators.lookup import in_ranges, wanted_ranges
+from tokenloom.operators.ordering import CHUNKS, COARSE_FANOUT, div, running_totals
 from tokenloom.session import settle
 
 
@@ -62,7 +63,8 @@ def document_index(index: DataFrame, document: list[str]) -> DataFrame:
 def get_sequences(tokens: DataFrame, wanted: DataFrame, group: list[str] = ["dataset"]) -> DataFrame:
     """The sequences named by ``wanted`` (group columns and ``seq_id``).
 
-    Ids are dense, so an id outside ``[0, sequences)`` does not exist and fails the job.
+    Ids are dense, so an id outside ``[0, sequences)`` does not exist and fails the job. The
+    ids reach the scan of a stored table as ranges: what holds none of them is not read.
     """
     counts = tokens.groupBy(*group).agg(F.count("*").alias("num_sequences"))
     name = F.concat_ws("/", *[F.col(k).cast("string") for k in (*group, "seq_id")])
@@ -71,30 +73,46 @@ def get_sequences(tokens: DataFrame, wanted: DataFrame, group: list[str] = ["dat
     checked = wanted.join(settle(counts, "counts"), group, "left").withColumn(
         "seq_id", F.when(outside, error).otherwise(F.col("seq_id"))
     )
-    return settle(checked.drop("num_sequences"), "wanted").join(tokens, [*group, "seq_id"])
+    settled = settle(checked.drop("num_sequences"), "wanted")
+    near = in_ranges(wanted_ranges(settled, group, "seq_id", "seq_id"), group, "seq_id")
+    return settled.join(tokens.where(near), [*group, "seq_id"])
 
 
 def locate_tokens(index: DataFrame, offsets: DataFrame, group: list[str] = ["dataset"], span: int = 4096) -> DataFrame:
     """Which sequence holds each token offset, and where inside it. An offset outside the stream fails the job.
 
-    The range join is an equi join on stretches of ``span`` tokens: a sequence appears once
-    per stretch it touches, an offset falls in exactly one, and a stretch cannot hold more
-    than ``span`` sequences.
+    Sequence starts and offsets are laid in one order, and each offset takes the last start
+    before it. The order is cut into chunks of ``span`` tokens; a chunk hands its last start
+    on to the next ones, level by level, so that nothing is joined but a row per chunk.
     """
-    first = div(F.col("token_start"), span)
-    last = div(F.col("token_end") - 1, span)
-    touched = index.select(
-        *group, "seq_id", "token_start", "token_end", F.explode(F.sequence(first, last)).alias("stretch")
+    starts = settle(
+        index.select(*group, F.struct("token_start", "seq_id", (F.col("token_start") + F.col("num_tokens")).alias("token_end")).alias("start__")),
+        "starts",
     )
-    asked = offsets.select(*group, "offset", div(F.col("offset"), span).alias("stretch"))
-    ends = settle(index.groupBy(*group).agg(F.max("token_end").alias("stream_end")), "ends")
-    name = F.concat_ws("/", *[F.col(k).cast("string") for k in (*group, "offset")])
-    outside = F.col("offset").isNull() | (F.col("offset") < 0) | (F.col("offset") >= F.coalesce("stream_end", F.lit(0)))
+    name = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in (*group, "offset")])
     error = F.raise_error(F.concat(F.lit("token offset out of range: "), name)).cast("bigint")
-    checked = asked.join(ends, group, "left").withColumn("offset", F.when(outside, error).otherwise(F.col("offset")))
-    # settled, so that the check runs before a join could drop the row
-    return (
-        settle(checked.drop("stream_end"), "offsets").join(touched, [*group, "stretch"])
-        .where((F.col("token_start") <= F.col("offset")) & (F.col("offset") < F.col("token_end")))
-        .select(*group, "offset", "seq_id", (F.col("offset") - F.col("token_start")).alias("offset_in_seq"))
+    asked = F.when((F.col("offset") >= 0) & F.col("offset").isNotNull(), F.col("offset")).otherwise(error)
+    none = F.lit(None).cast(starts.schema["start__"].dataType)
+    events = starts.select(*group, F.col("start__.token_start").alias("offset"), "start__", F.lit(False).alias("asked__"))
+    events = events.union(offsets.select(*group, asked.alias("offset"), none.alias("start__"), F.lit(True).alias("asked__")))
+    fine = div(F.col("offset"), span)
+    events = events.withColumns({"coarse__": div(fine, COARSE_FANOUT), "chunk__": fine})
+
+    before = (Window.unboundedPreceding, -1)
+    chunks = events.groupBy(*group, "coarse__", "chunk__").agg(F.max("start__").alias("last__"))
+    coarse = chunks.groupBy(*group, "coarse__").agg(F.max("last__").alias("last__"))
+    far = F.max("last__").over(Window.partitionBy(*group).orderBy("coarse__").rowsBetween(*before))
+    near = F.max("last__").over(Window.partitionBy(*group, "coarse__").orderBy("chunk__").rowsBetween(*before))
+    carried = chunks.withColumn("near__", near).join(coarse.select(*group, "coarse__", far.alias("far__")), [*group, "coarse__"])
+    carried = carried.select(*group, "coarse__", "chunk__", F.coalesce("near__", "far__").alias("carried__"))
+
+    inside = Window.partitionBy(*group, "coarse__", "chunk__").orderBy("offset", "asked__")
+    met = events.withColumn("met__", F.last("start__", True).over(inside)).where("asked__")
+    found = met.join(carried, [*group, "coarse__", "chunk__"], "left").withColumn("found__", F.coalesce("met__", "carried__"))
+    past = F.col("found__").isNull() | (F.col("offset") >= F.col("found__.token_end"))
+    return found.select(
+        *group,
+        F.when(past, error).otherwise(F.col("offset")).alias("offset"),
+        F.col("found__.seq_id").alias("seq_id"),
+        (F.col("offset") - F.col("found__.token_start")).alias("offset_in_seq"),
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tokenloom.functions.hashing import seeded_digest
+from tokenloom.operators.lookup import in_ranges, wanted_ranges
 from tokenloom.operators.ordering import div, running_totals
 from tokenloom.session import settle
 
@@ -75,24 +76,26 @@ def cut_pieces(
     )
 
 
-def assemble(pieces: DataFrame, keys: list[str]) -> DataFrame:
+def assemble(pieces: DataFrame, keys: list[str], same: list[str] = []) -> DataFrame:
     """Pieces of equal ``keys`` laid together in stream order: ``tokens`` and their ``length``.
 
-    A group is never more than one block.
+    A group is never more than one block. Columns of ``same`` are equal within it and kept,
+    without becoming keys that later joins would have to repeat.
     """
     return (
         pieces.groupBy(*keys)
         .agg(
             F.sort_array(F.collect_list(F.struct("lo", "piece"))).alias("parts"),
             F.sum(F.size("piece")).alias("length"),
+            *[F.first(c).alias(c) for c in same],
         )
-        .select(*keys, "length", F.flatten(F.col("parts.piece")).alias("tokens"))
+        .select(*keys, *same, "length", F.flatten(F.col("parts.piece")).alias("tokens"))
     )
 
 
-def join_pieces(pieces: DataFrame, keys: list[str], block_len: int) -> DataFrame:
+def join_pieces(pieces: DataFrame, keys: list[str], block_len: int, same: list[str] = []) -> DataFrame:
     """The whole blocks among the assembled pieces."""
-    return assemble(pieces, keys).where(F.col("length") == block_len).drop("length")
+    return assemble(pieces, keys, same).where(F.col("length") == block_len).drop("length")
 
 
 def pack_blocks(
@@ -132,12 +135,15 @@ def pack_blocks(
 def get_blocks(df: DataFrame, wanted: DataFrame, block_len: int, group: list[str] = ["dataset"]) -> DataFrame:
     """The blocks named by ``wanted`` (group columns and ``block_id``), each once.
 
-    A block outside its dataset fails the job. Which sequences the blocks need is found from
-    ids and offsets alone; only those sequences are cut, and only at those blocks.
+    A block outside its dataset fails the job. The tokens wanted reach the scan of a stored
+    table as ranges of ``token_start``; which of the rows near them the blocks need is found
+    from ids and offsets alone, and only those sequences are cut, at those blocks.
     """
     _check_len(block_len)
     keys = [*group, "block_id"]
-    counts = block_counts(df.select(*group, "num_tokens"), block_len, group).select(*group, "num_blocks")
+    counts = df.groupBy(*group).agg(
+        div(F.sum("num_tokens").cast("bigint"), block_len).alias("num_blocks"), F.max("num_tokens").alias("longest")
+    )
     name = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
     outside = (F.col("block_id") < 0) | (F.col("block_id") >= F.coalesce("num_blocks", F.lit(0)))
     error = F.raise_error(F.concat(F.lit("block out of range: "), name)).cast("bigint")
@@ -145,16 +151,24 @@ def get_blocks(df: DataFrame, wanted: DataFrame, block_len: int, group: list[str
         wanted.select(*keys)
         .distinct()
         .join(settle(counts, "counts"), group, "left")
-        .select(*group, F.when(outside, error).otherwise(F.col("block_id")).alias("block_id"))
+        .select(*group, F.when(outside, error).otherwise(F.col("block_id")).alias("block_id"), "longest")
+    )
+    # a sequence that reaches into a block starts no earlier than the longest one would
+    checked = settle(
+        checked.withColumns(
+            {"low": F.col("block_id") * block_len - F.col("longest") + 1, "high": (F.col("block_id") + 1) * block_len - 1}
+        ).drop("longest"),
+        "wanted",
     )
+    near = df.where(in_ranges(wanted_ranges(checked, group, "low", "high"), group, "token_start"))
     first, past = _span(block_len)
-    touched = df.select(*group, "seq_id", F.explode(F.sequence(first, past - 1)).alias("block_id"))
+    touched = near.select(*group, "seq_id", F.explode(F.sequence(first, past - 1)).alias("block_id"))
     hits = (
-        touched.join(settle(checked, "wanted"), keys, "left_semi")
+        touched.join(checked, keys, "left_semi")
         .groupBy(*group, "seq_id")
         .agg(F.collect_list("block_id").alias("blocks__"))
     )
-    needed = df.join(settle(hits, "hits"), [*group, "seq_id"])
+    needed = near.join(settle(hits, "hits"), [*group, "seq_id"])
     pieces = needed.select(*group, F.inline(F.transform("blocks__", _piece(block_len))))
     return join_pieces(pieces, keys, block_len)
 
@@ -339,11 +353,11 @@ def pack_positions(
     _check_len(block_len)
     positions = positions.drop("num_tokens")
     placed = tokens.select(*group, "seq_id", "num_tokens", "tokens").join(positions, [*group, "seq_id"])
-    keys = [*group, "shard", "stride"]
+    keys = [*group, "shard"]
     pieces = cut_pieces(
-        placed, block_len, keep=keys, start="stream_start", blocks_from=blocks_from, blocks_before=blocks_before
+        placed, block_len, keep=[*keys, "stride"], start="stream_start", blocks_from=blocks_from, blocks_before=blocks_before
     )
-    return join_pieces(pieces, [*keys, "block_id"], block_len)
+    return join_pieces(pieces, [*keys, "block_id"], block_len, same=["stride"])
 
 
 def pack_worker_streams(

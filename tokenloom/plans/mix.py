@@ -95,11 +95,14 @@ def training_feed(
     skip: int = 0,
     batch_size: int | None = None,
     samples_done: int | None = None,
+    num_workers: int | None = None,
 ) -> DataFrame:
     """The samples of every worker in step order, from ``skip`` on, in batches if asked.
 
-    A run that resumes gives ``samples_done``, the samples that all workers of the rank have
-    supplied together in whole batches of ``batch_size``; each worker then skips its share.
+    ``workers`` counts the workers of all ranks; a rank has ``num_workers`` of them (default:
+    all, one rank), numbered one after the other. A run that resumes gives ``samples_done``,
+    the samples that each rank's workers have supplied together in whole batches of
+    ``batch_size``; each worker then skips its share of its rank's.
 
     Skipped draws and partial batches are gone before any block is cut.
     """
@@ -107,7 +110,10 @@ def training_feed(
     if samples_done is not None:
         if not batch_size:
             raise ValueError("samples_done needs the batch_size that workers took turns with")
-        skip = worker_share(samples_done, batch_size, F.col("worker"), workers)
+        num_workers = workers if num_workers is None else num_workers
+        if num_workers < 1 or workers % num_workers:
+            raise ValueError(f"{workers} workers are no whole number of ranks of {num_workers}")
+        skip = worker_share(samples_done, batch_size, F.col("worker") % num_workers, num_workers)
     wanted = skip_samples(numbered, skip)
     if batch_size:
         wanted = make_batches(wanted, batch_size)

@@ -7,10 +7,18 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom.functions.tokens import token_width
-from tokenloom.operators.ordering import CHUNK_KEYS, chunk_by_key
+from tokenloom.operators.ordering import CHUNK_KEYS, chunk_by_key, div, running_totals
 from tokenloom.schemas import TOKEN_TABLE
+from tokenloom.session import settle
 from tokenloom.sources.corpus import list_files
 
+# Bytes of one stored token before compression, and of the tokens of one compacted file.
+TOKEN_BYTES = 4
+FILE_BYTES = 256 * 1024 * 1024
+
+# What names a sequence.
+SEQUENCE = ["dataset", "seq_id"]
+
 
 def write_tokens(df: DataFrame, path: str, mode: str = "errorifexists", presorted: bool = False) -> None:
     """Write an indexed token frame.
@@ -51,6 +59,44 @@ def read_tokens(spark: SparkSession, path: str, datasets: list[str] | None = Non
     return table.where(F.col("dataset").isin(*datasets))
 
 
+def compact_tokens(tokens: DataFrame, path: str, target_bytes: int = FILE_BYTES) -> None:
+    """Write a stored token table again, in files of about ``target_bytes`` that follow the sequence order.
+
+    A file is planned from the running token count: it holds the sequences that start in its
+    ``target_bytes`` of a dataset's stream, so files hold disjoint ranges of ``seq_id``, their
+    number follows from the bytes, and a lookup by id or offset skips the others.
+    """
+    start = F.col("token_start") * TOKEN_BYTES
+    last = F.max(F.col("token_start") + F.col("num_tokens") - 1) * TOKEN_BYTES
+    ends = tokens.groupBy("dataset").agg((div(last, target_bytes) + 1).alias("files__"))
+    placed = settle(running_totals(ends, group=[], chunk=[], order=["dataset"], totals={"before__": F.col("files__")}), "files")
+    files = placed.agg(F.sum("files__")).first()[0] or 1
+    numbered = tokens.join(placed, "dataset").withColumn("file__", (F.col("before__") + div(start, target_bytes)).cast("int"))
+    rows = numbered.repartitionById(int(files), "file__").sortWithinPartitions("dataset", "seq_id")
+    rows.select(*[f.name for f in TOKEN_TABLE]).write.partitionBy("dataset").parquet(path)
+
+
+def bucket_tokens(tokens: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
+    """Store a token table bucketed by (dataset, seq_id), as the catalog's table ``name``.
+
+    Joins by sequence, as feeds make them, then move only their other, narrow side. Each
+    bucket is one sorted file. A new session finds the table by :func:`open_buckets`.
+    """
+    rows = tokens.select(*[f.name for f in TOKEN_TABLE]).repartition(buckets, *SEQUENCE)
+    rows.write.format("parquet").bucketBy(buckets, *SEQUENCE).sortBy(*SEQUENCE).option("path", path).saveAsTable(name)
+    return tokens.sparkSession.table(name)
+
+
+def open_buckets(spark: SparkSession, name: str, path: str, buckets: int) -> DataFrame:
+    """The table that :func:`bucket_tokens` stored under ``path``, entered in this session's catalog if it is not there."""
+    columns, keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TOKEN_TABLE), ", ".join(SEQUENCE)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
 def chunk_tokens(tokens: DataFrame, sequences_per_chunk: int = CHUNK_KEYS) -> DataFrame:
     """Chunk columns for a stored token table, by sequence id."""
     return chunk_by_key(tokens, "seq_id", sequences_per_chunk)

@@ -1,30 +1,23 @@
 """Packing a live stream: every micro-batch continues each dataset's token stream.
 
-What one micro-batch hands to the next is small: per dataset its token count and the tokens
-of its unfinished block. It is written per batch id, as the blocks are, so a
-replayed batch reads the same state and overwrites its own output.
+A dataset's place in its stream is Spark's keyed state: its token count and the tokens of
+its unfinished block, less than one block, however many micro-batches went by. State and
+output share the query's checkpoint, so a restart goes on from the last committed batch and
+a replayed batch starts from the state that it started from before.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
-
-from tokenloom.operators.index import index_sequences
-from tokenloom.operators.ordering import CHUNK, chunk_by_key
-from tokenloom.operators.packing import assemble, cut_pieces
-from tokenloom.session import empty_table
-from tokenloom.sources.corpus import list_files
-
-# Micro-batches are small: small chunks still spread them over the cores, and one level of
-# them is enough.
-MICRO_BATCH_CHUNK_KEYS = 128
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 STATE = T.StructType(
     [
-        T.StructField("dataset", T.StringType()),
         T.StructField("total_tokens", T.LongType()),
         T.StructField("tail", T.ArrayType(T.IntegerType())),
     ]
@@ -33,100 +26,75 @@ STATE = T.StructType(
 PACKED = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
+        T.StructField("lane", T.IntegerType()),
         T.StructField("block_id", T.LongType()),
-        T.StructField("length", T.LongType()),
         T.StructField("tokens", T.ArrayType(T.IntegerType())),
-        T.StructField("whole", T.BooleanType()),
     ]
 )
 
+# Blocks handed back to Spark at a time.
+_BLOCKS = 256
+
 
 def pack_stream(
     stream: DataFrame,
     block_len: int,
     *,
     target: str,
-    state: str,
     checkpoint: str,
     key: str,
     tokens: Column | None = None,
-    keys_per_chunk: int = MICRO_BATCH_CHUNK_KEYS,
+    lanes: int = 1,
 ) -> StreamingQuery:
-    """Pack ``dataset``, ``key``, ``num_tokens``, ``tokens`` rows into blocks under ``target``.
+    """Pack ``dataset``, ``key``, ``tokens`` rows into whole blocks under ``target``.
 
-    The order of a dataset's stream is micro-batch by micro-batch, by ``key`` within one.
-    Rows may carry text instead of tokens, with ``tokens`` the expression that makes the
-    one from the other: tokenizing then happens after the rows are spread by chunk.
+    The order of a dataset's stream is micro-batch by micro-batch, by ``key`` within one; rows
+    may carry text instead, with ``tokens`` the expression that makes the one from the other.
+    A dataset's part of a micro-batch is laid out by one task, so bound the micro-batches at
+    the source (``read_stream``'s ``max_files`` and ``max_bytes``), and deal a dataset that is
+    too much for one task into ``lanes`` by its keys' hash: every lane is a stream of its own.
     """
-
-    def pack_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        here = f"{target}/batch={batch_id}"
-        carried = _latest_state(spark, state, batch_id)
-        blocks = continue_blocks(batch, carried, block_len, key=key, tokens=tokens, keys_per_chunk=keys_per_chunk)
-        blocks.write.mode("overwrite").partitionBy("whole").parquet(here)
-        after = next_state(carried, spark.read.schema(PACKED).parquet(here), block_len)
-        after.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
-
+    if block_len <= 0 or lanes <= 0:
+        raise ValueError(f"block length and lanes must be positive, got {block_len} and {lanes}")
+    rows = stream.select(
+        "dataset",
+        F.pmod(F.xxhash64(key), F.lit(lanes)).cast("int").alias("lane"),
+        F.col(key).alias("key"),
+        (F.col("tokens") if tokens is None else tokens).cast("array<int>").alias("tokens"),
+    )
+    blocks = rows.groupBy("dataset", "lane").applyInPandasWithState(
+        _continue_stream(block_len), PACKED, STATE, "append", GroupStateTimeout.NoTimeout
+    )
     return (
-        stream.writeStream.foreachBatch(pack_batch)
+        blocks.writeStream.format("parquet")
+        .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
+        .start(target)
     )
 
 
-def continue_blocks(
-    batch: DataFrame,
-    carried: DataFrame,
-    block_len: int,
-    *,
-    key: str,
-    tokens: Column | None = None,
-    keys_per_chunk: int = MICRO_BATCH_CHUNK_KEYS,
-) -> DataFrame:
-    """Blocks of the batch behind what was carried over, ``whole`` or still unfinished."""
-    chunked = chunk_by_key(batch, key, keys_per_chunk)
-    placed = index_sequences(chunked, order=[key], chunk=[CHUNK]).join(
-        carried.select("dataset", "total_tokens"), "dataset", "left"
-    )
-    rows = placed.select(
-        "dataset",
-        (F.col("token_start") + F.coalesce("total_tokens", F.lit(0))).alias("token_start"),
-        "num_tokens",
-        (F.col("tokens") if tokens is None else tokens).alias("tokens"),
-    )
-    tails = carried.where(F.size("tail") > 0).select(
-        "dataset",
-        (F.col("total_tokens") - F.size("tail")).alias("token_start"),
-        F.size("tail").cast("bigint").alias("num_tokens"),
-        F.col("tail").alias("tokens"),
-    )
-    pieces = cut_pieces(rows.unionByName(tails), block_len, keep=["dataset"])
-    blocks = assemble(pieces, ["dataset", "block_id"])
-    return blocks.withColumn("whole", F.col("length") == block_len)
+def _continue_stream(block_len: int):
+    def run(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        total, tail = state.get if state.exists else (0, [])
+        arrived = pd.concat([b[["key", "tokens"]] for b in batches]).sort_values("key", kind="stable")
+        ids = np.concatenate([np.asarray(t, np.int32) for t in (tail, *arrived["tokens"])])
+        first, whole = (total - len(tail)) // block_len, len(ids) // block_len
+        state.update((total + len(ids) - len(tail), ids[whole * block_len :].tolist()))
+        for at in range(0, whole, _BLOCKS):
+            numbers = range(at, min(at + _BLOCKS, whole))
+            yield pd.DataFrame(
+                {
+                    "dataset": group[0],
+                    "lane": np.int32(group[1]),
+                    "block_id": [first + n for n in numbers],
+                    "tokens": [ids[n * block_len : (n + 1) * block_len] for n in numbers],
+                }
+            )
 
-
-def next_state(carried: DataFrame, written: DataFrame, block_len: int) -> DataFrame:
-    """What the next micro-batch needs, read off the blocks this one wrote."""
-    ends = written.groupBy("dataset").agg(
-        F.max(F.col("block_id") * block_len + F.col("length")).alias("total_tokens")
-    )
-    tails = written.where("not whole").select("dataset", F.col("tokens").alias("tail"))
-    moved = ends.join(tails, "dataset", "left").withColumn(
-        "tail", F.coalesce("tail", F.array().cast("array<int>"))
-    )
-    return moved.unionByName(carried.join(ends, "dataset", "left_anti"))
+    return run
 
 
 def read_packed(spark: SparkSession, target: str) -> DataFrame:
-    """All whole blocks written so far."""
-    return spark.read.schema(PACKED).parquet(target).where("whole").drop("whole", "length")
-
-
-def _latest_state(spark: SparkSession, state: str, batch_id: int) -> DataFrame:
-    done = [int(re.search(r"batch=(\d+)$", p).group(1)) for p in list_files(spark, state, "batch=*")]
-    earlier = [b for b in done if b < batch_id]
-    if not earlier:
-        return empty_table(spark, STATE)
-    return spark.read.schema(STATE).parquet(f"{state}/batch={max(earlier)}")
+    """All blocks of committed micro-batches."""
+    return spark.read.schema(PACKED).parquet(target)

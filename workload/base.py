@@ -8,7 +8,7 @@ from tokenloom.functions.tokens import HashTokenizer
 from tokenloom.plans.prepare import index_corpus
 from tokenloom.session import scratch_path
 from tokenloom.sources.corpus import spread
-from tokenloom.sources.token_table import read_tokens, write_tokens
+from tokenloom.sources.token_table import bucket_tokens, compact_tokens, read_tokens, write_tokens
 
 TOKENIZER = HashTokenizer()
 # One token more than a sample, for the labels.
@@ -41,7 +41,11 @@ def indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_corpus(corpus(spark, sf_dir), TOKENIZER, key="doc_id", dense_key=True)
 
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
+
+# Small tables, so small files and few buckets; at scale both follow from the tokens.
+FILE_BYTES = 1 << 20
+BUCKETS = 8
 
 
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +54,7 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each session tokenizes a corpus once and its feeds read the result; what needs ids and
     sizes reads just those columns.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, "tokens")
     if key not in _written:
         path = scratch_path(spark, "token-table")
         write_tokens(indexed(spark, sf_dir), path, presorted=True)
@@ -58,6 +62,27 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, _written[key])
 
 
+def stored_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table compacted, as lookups find it."""
+    key = (spark.sparkContext.applicationId, sf_dir, "ranges")
+    if key not in _written:
+        path = scratch_path(spark, "token-ranges")
+        compact_tokens(stored(spark, sf_dir), path, FILE_BYTES)
+        _written[key] = path
+    return read_tokens(spark, _written[key])
+
+
+def stored_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table in buckets, as feeds find it."""
+    key = (spark.sparkContext.applicationId, sf_dir, "buckets")
+    if key not in _written:
+        path = scratch_path(spark, "token-buckets")
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        bucket_tokens(stored(spark, sf_dir), name, path, BUCKETS)
+        _written[key] = name
+    return spark.table(_written[key])
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles at a precision that does not depend on the order of addition."""
     doubles = [name for name, kind in df.dtypes if kind == "double"]

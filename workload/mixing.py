@@ -16,7 +16,7 @@ from workload.base import (
     described,
     rounded,
     sizes,
-    stored,
+    stored_in_buckets,
     table,
 )
 from workload.packing import COUNTS_SQL, STREAMS_SQL, PLACED_SQL, ranked_sql
@@ -41,7 +41,7 @@ def _mix(spark, sf_dir):
 
 def draws_per_worker(spark: SparkSession, sf_dir: str) -> int:
     """Half as many draws per worker as the corpus has blocks: one aggregate row."""
-    tokens = stored(spark, sf_dir).agg(F.sum("num_tokens")).first()[0]
+    tokens = stored_in_buckets(spark, sf_dir).agg(F.sum("num_tokens")).first()[0]
     return tokens // (2 * BLOCK_LEN)
 
 
@@ -76,7 +76,7 @@ def number_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
 def draws_to_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every draw with its block; small datasets go round several epochs."""
     numbered = mixing.number_draws(_schedule(spark, sf_dir))
-    feed = mixing.draws_to_blocks(numbered, stored(spark, sf_dir), BLOCK_LEN, workers=WORKERS, seed=SEED)
+    feed = mixing.draws_to_blocks(numbered, stored_in_buckets(spark, sf_dir), BLOCK_LEN, workers=WORKERS, seed=SEED)
     return described(feed, "worker", "step", "ds_idx", "dataset", "block_no")
 
 
@@ -84,7 +84,7 @@ def resumed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The samples of a run that resumes after its first draws."""
     feed = training_feed(
         _mix(spark, sf_dir),
-        stored(spark, sf_dir),
+        stored_in_buckets(spark, sf_dir),
         BLOCK_LEN,
         draws=draws_per_worker(spark, sf_dir),
         workers=WORKERS,

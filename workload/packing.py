@@ -24,6 +24,8 @@ from workload.base import (
     indexed,
     sizes,
     stored,
+    stored_in_buckets,
+    stored_in_ranges,
     table,
 )
 
@@ -42,7 +44,7 @@ def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def get_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks asked for by the labelled documents: their id, wrapped into their language's range."""
-    tokens = stored(spark, sf_dir)
+    tokens = stored_in_ranges(spark, sf_dir)
     counts = packing.block_counts(tokens, BLOCK_LEN).where("num_blocks > 0").select("dataset", "num_blocks")
     languages = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("dataset"))
     labelled = table(spark, sf_dir, "labels").join(languages, "doc_id").join(settle(counts, "counts"), "dataset")
@@ -108,14 +110,14 @@ def stride_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def worker_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = packing.pack_worker_streams(
-        stored(spark, sf_dir), BLOCK_LEN, seed=SEED, workers=WORKERS, epochs=EPOCHS
+        stored_in_buckets(spark, sf_dir), BLOCK_LEN, seed=SEED, workers=WORKERS, epochs=EPOCHS
     )
     return described(blocks, "dataset", "worker", "block_id")
 
 
 def resumed_worker_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = packing.pack_worker_streams(
-        stored(spark, sf_dir), BLOCK_LEN, seed=SEED, workers=WORKERS, epochs=EPOCHS, start_epoch=1, start_block=2
+        stored_in_buckets(spark, sf_dir), BLOCK_LEN, seed=SEED, workers=WORKERS, epochs=EPOCHS, start_epoch=1, start_block=2
     )
     return described(blocks, "dataset", "worker", "block_id")
 
@@ -124,15 +126,14 @@ def pack_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents arriving in three deliveries; the stream stops and resumes between them."""
     docs = corpus(spark, sf_dir)
     last = docs.agg(F.max("doc_id") + 1).scalar()
-    paths = {name: scratch_path(spark, name) for name in ("arrivals", "packed", "pack-state", "pack-checkpoint")}
+    paths = {name: scratch_path(spark, name) for name in ("arrivals", "packed", "pack-checkpoint")}
     for delivery in range(3):
         docs.where(div(F.col("doc_id") * 3, last) == delivery).write.mode("append").parquet(paths["arrivals"])
         arrivals = ingest.read_stream(spark, paths["arrivals"], docs.schema)
         pack.pack_stream(
-            ingest.count_stream(arrivals, TOKENIZER),
+            arrivals,
             BLOCK_LEN,
             target=paths["packed"],
-            state=paths["pack-state"],
             checkpoint=paths["pack-checkpoint"],
             key="doc_id",
             tokens=TOKENIZER.ids(F.col("text")),
