@@ -214,3 +214,18 @@ def test_resume_by_a_ranks_total(spark):
     seen = {(0, 0), (0, 1), (0, 2), (0, 3), (1, 0), (1, 1)}
     assert len(full) == 16 and set(resumed) == set(full) - seen
     assert all(full[k] == resumed[k] for k in resumed)
+
+
+def test_resume_with_two_ranks(spark):
+    """Ranks of two workers each: a rank's share is dealt over its own workers, in their turns."""
+    tokens = frame(spark, make(CORPUS))
+    mix = mixing.normalize_weights(spark.createDataFrame([(0, "a", 1.0, None), (1, "b", 2.0, None)], plans.MIX))
+    feed = lambda **more: {
+        (r.worker, r.step): tuple(r.labels) for r in plans.training_feed(mix, tokens, 5, draws=8, workers=4, seed=3, batch_size=2, **more).collect()
+    }
+    full, resumed = feed(), feed(samples_done=6, num_workers=2)
+    seen = {(w, s) for w, batches in ((0, 2), (1, 1), (2, 2), (3, 1)) for s in range(2 * batches)}
+    assert len(full) == 32 and set(resumed) == set(full) - seen
+    assert all(full[k] == resumed[k] for k in resumed)
+    with pytest.raises(ValueError, match="no whole number of ranks"):
+        feed(samples_done=6, num_workers=3)

@@ -72,6 +72,18 @@ def stored_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, _written[key])
 
 
+def stored_as_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as one dataset, stored and compacted."""
+    key = (spark.sparkContext.applicationId, sf_dir, "one")
+    if key not in _written:
+        path = scratch_path(spark, "one-dataset")
+        docs = corpus(spark, sf_dir).withColumn("dataset", F.lit("documents"))
+        write_tokens(index_corpus(docs, TOKENIZER, key="doc_id", dense_key=True), path, presorted=True)
+        compact_tokens(read_tokens(spark, path), f"{path}-ranges", FILE_BYTES)
+        _written[key] = f"{path}-ranges"
+    return read_tokens(spark, _written[key])
+
+
 def stored_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table in buckets, as feeds find it."""
     key = (spark.sparkContext.applicationId, sf_dir, "buckets")

@@ -22,6 +22,7 @@ from workload.base import (
     documents,
     ids_sql,
     sizes,
+    stored_as_one,
     table,
 )
 
@@ -134,22 +135,16 @@ def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idx.document_index(placed, ["conv_id"])
 
 
-def _one_dataset(spark, sf_dir):
-    rows = sizes(spark, sf_dir).withColumn("dataset", F.lit("documents"))
-    return idx.index_sequences(chunk_by_key(rows, "doc_id"), order=["doc_id"])
-
-
 def get_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled ids looked up as sequence ids in the stored table, with their tokens."""
     wanted = table(spark, sf_dir, "labels").select(F.lit("documents").alias("dataset"), F.col("doc_id").alias("seq_id"))
-    found = idx.get_sequences(_one_dataset(spark, sf_dir), wanted)
-    return found.select("dataset", "seq_id", "doc_id", "num_tokens", "token_start")
+    return described(idx.get_sequences(stored_as_one(spark, sf_dir), wanted), "dataset", "seq_id", "num_tokens", "token_start")
 
 
 def locate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token offsets scattered by the events over the whole stream."""
-    index = _one_dataset(spark, sf_dir)
-    total = sizes(spark, sf_dir).agg(F.sum("num_tokens")).scalar()
+    index = stored_as_one(spark, sf_dir).drop("tokens")
+    total = index.agg(F.sum("num_tokens")).scalar()
     offsets = table(spark, sf_dir, "events").select(
         F.lit("documents").alias("dataset"), ((F.col("event_id") * 7919 + F.col("user_id")) % total).alias("offset")
     )
@@ -187,9 +182,9 @@ lines AS (
 
 ONE_SQL = f"""
 one AS (
-  SELECT doc_id, num_tokens, row_number() OVER (ORDER BY doc_id) - 1 AS seq_id,
+  SELECT doc_id, num_tokens, tokens, row_number() OVER (ORDER BY doc_id) - 1 AS seq_id,
          (sum(num_tokens) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - num_tokens)::BIGINT AS token_start
-  FROM (SELECT doc_id, len({WORDS_SQL.format(text='text')})::BIGINT + 1 AS num_tokens FROM documents))"""
+  FROM sized)"""
 
 ORACLES = {
     "to_text": """
@@ -241,11 +236,11 @@ ORACLES = {
         FROM (SELECT conv_id, row_number() OVER (ORDER BY conv_id, turn) - 1 AS seq_id FROM conversations)
         GROUP BY conv_id""",
     "get_sequences": f"""
-        WITH {ONE_SQL}
-        SELECT 'documents' AS dataset, seq_id, one.doc_id, num_tokens, token_start
+        WITH {SIZES_SQL}, {ONE_SQL}
+        SELECT 'documents' AS dataset, seq_id, num_tokens, token_start, {describe_sql()}
         FROM one JOIN labels ON labels.doc_id = one.seq_id""",
     "locate_tokens": f"""
-        WITH {ONE_SQL},
+        WITH {SIZES_SQL}, {ONE_SQL},
         asked AS (SELECT (event_id * 7919 + user_id) % (SELECT sum(num_tokens)::BIGINT FROM one) AS "offset" FROM events)
         SELECT 'documents' AS dataset, "offset", seq_id, "offset" - token_start AS offset_in_seq
         FROM asked ASOF JOIN one ON asked."offset" >= one.token_start""",
