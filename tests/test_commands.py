@@ -69,7 +69,7 @@ def test_capped_rows_keep_file_order(spark, home):
         max_samples=31, target_bytes=90,
     )
     raw = spark.read.parquet(f"{home}/raw/x")
-    assert raw.columns == ["text", "messages", "shard"] and raw.select("shard").distinct().count() > 3
+    assert raw.columns == ["text", "messages", "batch", "shard"] and raw.select("shard").distinct().count() > 3
     prepare.prepare_corpus(raw, name="x", target=f"{home}/tokens", ledger=f"{home}/ledger")
     got = [r.num_tokens for r in read_tokens(spark, f"{home}/tokens").orderBy("seq_id").collect()]
     assert got == [i % 5 + 3 for i in range(31)]

@@ -146,3 +146,50 @@ def test_a_job_that_died_before_its_mark_can_run_again(spark, tmp_path):
         prepare_corpus(raw, name=name, target=target, ledger=ledger_path, key="id")
     counts = spark.read.parquet(target).groupBy("dataset").count().collect()
     assert {r["dataset"]: r["count"] for r in counts} == {"a": 5, "b": 5}
+
+
+def test_lines_of_split_files_keep_their_order(spark, tmp_path):
+    """Files cut into many splits: the order is file by file, line by line."""
+    want = []
+    for name in ("a", "b", "c"):
+        lines = [f'{{"doc_id": {len(want) + i}, "text": "{name}{i} {"x" * (i % 37)}"}}' for i in range(400)]
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(lines) + "\n")
+        want += [f"{name}{i}" for i in range(400)]
+    (tmp_path / "other.json").write_text('{"doc_id": -1, "text": "no lines"}\n')
+    for setting, value in (("spark.sql.files.maxPartitionBytes", "3000"), ("spark.sql.files.openCostInBytes", "0")):
+        spark.conf.set(setting, value)
+    try:
+        rows = corpus.read_corpus(spark, str(tmp_path), schema=DOCS)
+        assert rows.rdd.getNumPartitions() > 15
+        placed = corpus.with_line_order(rows)
+    finally:
+        for setting in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+            spark.conf.unset(setting)
+    got = sorted((r.row, r.doc_id, r.text.split()[0]) for r in placed.collect())
+    assert got == [(i, i, w) for i, w in enumerate(want)]
+    capped = corpus.cap_samples(placed, 450, order=["row"], group=[])
+    assert sorted(r.doc_id for r in capped.collect()) == list(range(450))
+
+
+def test_a_jsonl_dataset_goes_through_both_jobs(spark, tmp_path):
+    source = tmp_path / "source"
+    source.mkdir()
+    for name in ("b", "a"):
+        (source / f"{name}.jsonl").write_text("".join(f'{{"text": "{name} {"w " * i}", "n": {i}}}\n' for i in range(20)))
+    log = str(tmp_path / "ledger")
+    prepare.ingest_corpus(spark, str(source), str(tmp_path / "raw"), name="x", ledger=log, max_samples=30, target_bytes=100)
+    for raw, wanted in ((tmp_path / "raw", 30), (source, 40)):
+        target = str(tmp_path / f"tokens{wanted}")
+        prepare.prepare_corpus(prepare.read_ordered(spark, str(raw)), name="x", target=target, ledger=log)
+        sizes = [r.num_tokens for r in token_table.read_tokens(spark, target).orderBy("seq_id").collect()]
+        assert sizes == [i + 2 for _ in "ab" for i in range(20)][:wanted]
+
+
+def test_shards_can_be_written_again_after_a_crash(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    df = docs(spark, 12).withColumn("shard", F.col("doc_id") % 3)
+    corpus.write_shards(df, path, order=["doc_id"], columns=["doc_id"], group=[])
+    with pytest.raises(Exception, match="exists"):
+        corpus.write_shards(df, path, order=["doc_id"], columns=["doc_id"], group=[])
+    corpus.write_shards(df.where("shard < 2"), path, order=["doc_id"], columns=["doc_id"], group=[], mode="overwrite")
+    assert sorted(r.doc_id for r in spark.read.parquet(path).collect()) == [i for i in range(12) if i % 3 < 2]

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions.tokens import HashTokenizer
 from tokenloom.plans.prepare import index_corpus
 from tokenloom.operators.packing import pack_blocks
+from tokenloom.sources.corpus import with_file_order
 from tokenloom.streaming import ingest, pack
 
 SCHEMA = "doc_id bigint, dataset string, text string"
@@ -33,6 +34,32 @@ def test_ingest_resumes_after_a_stop(spark, tmp_path):
     assert run() == list(range(50))
 
 
+def test_ordered_ingest_goes_on_where_it_stopped(spark, tmp_path):
+    """Deliveries of several files: one order, shards of their size across micro-batches, a cap over all of them."""
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "check")
+
+    def run(source, cap):
+        stream = ingest.read_stream(spark, source, schema(spark))
+        ingest.ingest_in_order(stream, target, checkpoint, columns=["doc_id", "text"], max_samples=cap, target_bytes=200).awaitTermination()
+        rows = with_file_order(spark.read.parquet(target)).orderBy("file", "row").collect()
+        return [(r.doc_id, r.shard) for r in rows]
+
+    source, want, size = str(tmp_path / "in"), [], 0
+    texts = {r.doc_id: len(r.text) for r in arrivals(spark, 0, 60).collect()}
+    for i in range(50):
+        want.append((i, size // 200))
+        size += texts[i]
+    for lo, hi in ((0, 25), (25, 30), (30, 60)):
+        arrivals(spark, lo, hi).repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").write.mode("append").parquet(source)
+        got = run(source, 50)
+        assert got == want[:hi]
+    # as after a crash between the shards and the commit: the last delivery is taken in once more
+    last = max(int(p.name) for p in (tmp_path / "check" / "commits").iterdir() if p.name.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        (tmp_path / "check" / "commits" / name).unlink()
+    assert run(source, 50) == want
+
+
 def test_jsonl_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x.jsonl").write_text('{"doc_id": 1, "dataset": "a", "text": "one two"}\n')

@@ -9,18 +9,21 @@ from tokenloom.operators.index import index_sequences
 from tokenloom.operators.ordering import CHUNK_KEYS, CHUNKS, chunk_by_key, chunk_by_order
 from tokenloom.plans.jobs import DOWNLOAD, TOKENIZE, fill_defaults, job_entries, plan, select_datasets
 from tokenloom.sources.corpus import (
+    PATTERNS,
     SHARD_BYTES,
     assign_shards,
     cap_samples,
+    list_files,
     read_corpus,
     string_bytes,
     text_column,
     with_file_order,
+    with_line_order,
     write_shards,
 )
 from tokenloom.sources.ledger import mark_done, read_ledger
 from tokenloom.sources.token_table import dataset_stats, write_tokens
-from tokenloom.streaming.ingest import ingest_stream, read_stream
+from tokenloom.streaming.ingest import ingest_in_order, read_stream
 
 
 def with_text(df: DataFrame, column: str = "text", preprocess: str | None = None) -> DataFrame:
@@ -76,6 +79,19 @@ def index_corpus(
     return indexed.withColumn("tokens", tokenizer.ids(F.col("text"))).drop("text")
 
 
+def _is_jsonl(spark: SparkSession, path: str) -> bool:
+    """A folder of JSONL files without Parquet among them."""
+    return bool(list_files(spark, path, PATTERNS["jsonl"])) and not list_files(spark, path, PATTERNS["parquet"])
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet or JSONL folder with its file order; the schema is what the files have."""
+    if not _is_jsonl(spark, path):
+        return with_file_order(spark.read.parquet(path))
+    found = spark.read.option("pathGlobFilter", PATTERNS["jsonl"]).json(path).schema
+    return with_line_order(read_corpus(spark, path, schema=found))
+
+
 def prepare_corpus(
     raw: DataFrame,
     *,
@@ -91,13 +107,15 @@ def prepare_corpus(
 ) -> DataFrame:
     """Write one dataset into the token table, mark it done and return its metadata row.
 
-    ``raw`` comes straight from a Parquet reader, or has a ``key`` for its order.
+    ``raw`` comes from :func:`read_ordered` or straight from a Parquet reader, or has a ``key``
+    for its order.
     """
     spark: SparkSession = raw.sparkSession
     if key:
         rows, order = raw.select(key, text), [key]
     else:
-        rows = with_file_order(raw).select(text, "row", *CHUNKS)
+        placed = raw if {"file", "row", *CHUNKS} <= set(raw.columns) else with_file_order(raw)
+        rows = placed.select(text, "row", *CHUNKS)
         order = ["row"]
     corpus = with_text(rows, text, preprocess).withColumn("dataset", F.lit(name))
     if max_samples is not None:
@@ -122,21 +140,25 @@ def ingest_corpus(
     max_samples: int | None = None,
     target_bytes: int = SHARD_BYTES,
 ) -> None:
-    """Bring a reachable Parquet dataset into its raw folder and mark it done.
+    """Bring a reachable dataset into its raw folder and mark it done.
 
-    Streaming takes files in as they are and resumes after a stop; otherwise, and whenever
-    rows are capped, rows are laid out in size-targeted shards in file order.
+    Rows are laid out in size-targeted shards in source order, capped if asked. Streaming
+    takes files in as they come and resumes after a stop; otherwise all is laid out at once.
+    JSONL datasets are never streamed.
     """
-    if streaming and max_samples is None:
-        stream = read_stream(spark, source, spark.read.parquet(source).schema)
-        ingest_stream(stream, target, f"{target}/_stream_checkpoint").awaitTermination()
+    if streaming and not _is_jsonl(spark, source):
+        schema = spark.read.parquet(source).schema
+        ingest_in_order(
+            read_stream(spark, source, schema), target, f"{target}/_stream_checkpoint",
+            columns=schema.names, max_samples=max_samples, target_bytes=target_bytes,
+        ).awaitTermination()
     else:
-        rows = with_file_order(read_corpus(spark, source))
-        capped = cap_samples(rows, max_samples, order=["row"], group=[])
+        rows, order = read_ordered(spark, source), ["row"]
+        capped = cap_samples(rows, max_samples, order=order, group=[])
         columns = [c for c in rows.columns if c not in ("file", "row", *CHUNKS)]
         size = string_bytes(capped.select(*columns))
-        placed = assign_shards(capped, order=["row"], size=size, target_bytes=target_bytes, group=[])
-        write_shards(placed, target, group=[], order=["file", "row"], columns=columns)
+        placed = assign_shards(capped, order=order, size=size, target_bytes=target_bytes, group=[])
+        write_shards(placed, target, group=[], order=["file", "row"], columns=columns, mode="overwrite")
     mark_done(spark.createDataFrame([(name, target)], "name string, path string"), ledger, DOWNLOAD)
 
 
@@ -166,7 +188,7 @@ def run_jobs(spark: SparkSession, settings: dict, stage: str, *, only=None, over
         else:
             tokenizer = HashTokenizer(add_bos=entry.add_bos, add_eos=entry.add_eos)
             prepare_corpus(
-                spark.read.parquet(raw_dir), name=entry["name"], target=settings["output_dir"],
+                read_ordered(spark, raw_dir), name=entry["name"], target=settings["output_dir"],
                 ledger=settings["ledger"], tokenizer=tokenizer, text=entry.text_column, preprocess=entry.preprocess,
             )
     return spark.createDataFrame(listed, todo.schema) if listed else todo.limit(0)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tokenloom.functions.text import prepare_text
-from tokenloom.operators.ordering import CHUNKS, div, first_rows, running_totals
+from tokenloom.operators.ordering import CHUNKS, chunk_by_order, div, first_rows, running_totals
 from tokenloom.session import settle
 
 # Fixed value: target size of one output shard.
@@ -17,33 +17,33 @@ SHARD_DIGITS = 18
 ROWS_PER_FILE_CHUNK = 1 << 10
 
 # File names of each kind, in order of preference.
-PATTERNS = {"parquet": "*.parquet", "jsonl": "*.{jsonl,json}"}
+PATTERNS = {"parquet": "*.parquet", "jsonl": "*.jsonl"}
 
 
 def read_corpus(
-    spark: SparkSession, path: str, *columns: str, schema: T.StructType | None = None
+    spark: SparkSession, path: str, *columns: str, schema: T.StructType | None = None, jsonl: str = PATTERNS["jsonl"]
 ) -> DataFrame:
     """A Parquet file or folder, or a folder of JSONL files when it holds no Parquet.
 
-    Only the named columns reach the scan. JSONL needs a ``schema``. A folder with neither
-    kind of file is an error.
+    Only the named columns reach the scan. JSONL needs a ``schema``; ``jsonl`` are its file
+    names, if others than usual. A folder with neither kind of file is an error.
     """
-    kind = corpus_format(spark, path)
+    kind = corpus_format(spark, path, jsonl)
     if kind == "parquet":
         reader = spark.read if schema is None else spark.read.schema(schema)
         df = reader.option("pathGlobFilter", PATTERNS[kind]).parquet(path)
     else:
         if schema is None:
             raise ValueError("JSONL needs an explicit schema")
-        df = spark.read.schema(schema).option("pathGlobFilter", PATTERNS[kind]).json(path)
+        df = spark.read.schema(schema).option("pathGlobFilter", jsonl).json(path)
     return df.select(*columns) if columns else df
 
 
-def corpus_format(spark: SparkSession, path: str) -> str:
+def corpus_format(spark: SparkSession, path: str, jsonl: str = PATTERNS["jsonl"]) -> str:
     """``parquet`` or ``jsonl``; Parquet wins when both are present."""
     if path.endswith(".parquet"):
         return "parquet"
-    for kind, pattern in PATTERNS.items():
+    for kind, pattern in (PATTERNS | {"jsonl": jsonl}).items():
         if list_files(spark, path, pattern):
             return kind
     raise FileNotFoundError(f"no .parquet or .jsonl files in {path}")
@@ -87,6 +87,27 @@ def with_file_order(df: DataFrame, rows_per_chunk: int = ROWS_PER_FILE_CHUNK) ->
     )
 
 
+def with_line_order(df: DataFrame) -> DataFrame:
+    """Add the (file name, line) order of a JSONL scan, with chunk columns to match.
+
+    Take it straight from the reader. A text file has no row numbers: lines are told apart by
+    where their split of the file starts and by the order in which the split is read, and
+    numbered from that over all files. The parsed rows are written once on the way, so that
+    another read of the files cannot cut them elsewhere.
+    """
+    placed = df.withColumns(
+        {
+            "file": F.col("_metadata.file_path"),
+            "split__": F.col("_metadata.file_block_start"),
+            "line__": F.monotonically_increasing_id(),
+        }
+    )
+    order = ["file", "split__", "line__"]
+    chunked = chunk_by_order(settle(placed, "lines"), order, group=[])
+    numbered = running_totals(chunked, group=[], chunk=CHUNKS, order=order, totals={"row": F.lit(1)})
+    return numbered.drop("split__", "line__")
+
+
 def text_column(df: DataFrame, column: str = "text", preprocess: str | None = None) -> Column:
     """The corpus text of ``column`` after the named preparation."""
     return prepare_text(F.col(column), df.schema[column].dataType, preprocess)
@@ -166,13 +187,14 @@ def assign_even_shards(
 
 
 def write_shards(
-    df: DataFrame, path: str, *, order: list[str], columns: list[str], group: list[str] = ["dataset"]
+    df: DataFrame, path: str, *, order: list[str], columns: list[str], group: list[str] = ["dataset"], mode: str = "errorifexists"
 ) -> None:
     """One folder per dataset and shard, rows in order; folder names sort as the shards do.
 
-    Each shard is one write task's file and holds ``columns``.
+    Each shard is one write task's file and holds ``columns``. Mode ``overwrite`` replaces
+    what is under ``path``, as a run does that starts again after one that died.
     """
     named = df.withColumn("shard", F.lpad(F.col("shard").cast("string"), SHARD_DIGITS, "0"))
     placed = named.repartition(*group, "shard")
     rows = placed.sortWithinPartitions(*group, "shard", *order).select(*group, *columns, "shard")
-    rows.write.partitionBy(*group, "shard").parquet(path)
+    rows.write.mode(mode).partitionBy(*group, "shard").parquet(path)

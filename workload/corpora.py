@@ -14,6 +14,9 @@ from workload.base import INDEX_SQL, TOKENIZER, corpus, describe_sql, described,
 
 SHARD_BYTES = 64 * 1024
 CAP = 50
+# Files of a delivery, and the size of an ordered shard.
+FILES = 5
+ORDERED_BYTES = 1 << 18
 
 
 def read_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +28,33 @@ def jsonl_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     path = scratch_path(spark, "jsonl")
     docs.write.json(path)
-    return raw.read_corpus(spark, path, "doc_id", "lang", "text", schema=docs.schema)
+    return raw.read_corpus(spark, path, "doc_id", "lang", "text", schema=docs.schema, jsonl="*.json")
+
+
+def jsonl_line_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line of every document over several files of JSON lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "jsonl-order")
+    docs.repartitionByRange(FILES, "doc_id").sortWithinPartitions("doc_id").write.json(path)
+    lines = raw.with_line_order(raw.read_corpus(spark, path, schema=docs.schema, jsonl="*.json"))
+    return lines.select("doc_id", "row", F.md5("text").alias("text_md5"))
+
+
+def ingest_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of several files each, streamed into shards that follow the source order."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    half = F.col("doc_id") < docs.agg(F.expr("max(doc_id) div 2")).scalar()
+    paths = {name: scratch_path(spark, name) for name in ("deliveries", "ordered", "ordered-checkpoint")}
+    for part in (half, ~half):
+        delivery = docs.where(part).repartitionByRange(FILES, "doc_id").sortWithinPartitions("doc_id")
+        delivery.write.mode("append").parquet(paths["deliveries"])
+        stream = ingest.read_stream(spark, paths["deliveries"], docs.schema)
+        ingest.ingest_in_order(
+            stream, paths["ordered"], paths["ordered-checkpoint"], columns=docs.columns, target_bytes=ORDERED_BYTES
+        ).awaitTermination()
+    rows = raw.with_file_order(spark.read.parquet(paths["ordered"])).select("doc_id", "shard", "row", "chunk_hi", "chunk")
+    placed = running_totals(rows, group=[], chunk=["chunk_hi", "chunk"], order=["row"], totals={"position": F.lit(1)})
+    return placed.select("doc_id", F.col("shard").cast("bigint").alias("shard"), "position")
 
 
 def file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +215,8 @@ QUERIES = {
     for f in (
         read_corpus,
         jsonl_corpus,
+        jsonl_line_order,
+        ingest_in_order,
         file_order,
         cap_samples,
         max_samples_per_task,
@@ -222,6 +253,11 @@ entries AS (
 ORACLES = {
     "read_corpus": "SELECT doc_id, text FROM documents",
     "jsonl_corpus": "SELECT doc_id, lang, text FROM documents",
+    "jsonl_line_order": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row, md5(text) AS text_md5 FROM documents",
+    "ingest_in_order": f"""
+        SELECT doc_id, (sum(strlen(source) + strlen(text)) OVER o - strlen(source) - strlen(text))::BIGINT // {ORDERED_BYTES} AS shard,
+               row_number() OVER o - 1 AS position
+        FROM documents WINDOW o AS (ORDER BY doc_id ROWS UNBOUNDED PRECEDING)""",
     "file_order": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents",
     "cap_samples": f"""
         SELECT lang AS dataset, doc_id, md5(text) AS text_md5 FROM documents

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenloom.functions import scoring as score
 from tokenloom.operators import scoring
-from tokenloom.operators.ordering import div
+from tokenloom.operators.ordering import CHUNKS, chunk_by_key, div, running_totals
 from workload.base import table
 
 TEMPERATURE = 2.0
@@ -19,12 +19,12 @@ ROWS_PER_MICRO_STEP = 8
 
 
 def _logits(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings")
-    ends = rows.agg(F.min("vec_id").alias("low"), F.max("vec_id").alias("high"))
-    low, high = ends.select("low").scalar(), ends.select("high").scalar()
-    before = F.when(F.col("vec_id") == low, high).otherwise(F.col("vec_id") - 1)
-    teacher = rows.select(before.alias("vec_id"), F.col("embedding").alias("teacher"))
-    return rows.join(teacher, "vec_id").select(
+    rows = chunk_by_key(table(spark, sf_dir, "embeddings"), "vec_id")
+    rows = running_totals(rows, group=[], chunk=CHUNKS, order=["vec_id"], totals={"place": F.lit(1)}).drop(*CHUNKS)
+    last = table(spark, sf_dir, "embeddings").agg(F.count("*") - 1).scalar()
+    before = F.when(F.col("place") == 0, last).otherwise(F.col("place") - 1)
+    teacher = rows.select(before.alias("place"), F.col("embedding").alias("teacher"))
+    return rows.join(teacher, "place").select(
         "vec_id",
         F.col("embedding").alias("student"),
         "teacher",
@@ -95,9 +95,9 @@ scored AS (
          s.vec_id // {ROWS_PER_STEP} AS step, s.vec_id // {ROWS_PER_MICRO_STEP} AS micro_step,
          {log_probs_sql('s.embedding', 1.0)} AS lp1,
          {log_probs_sql('s.embedding', TEMPERATURE)} AS ls,
-         {log_probs_sql('t.embedding', TEMPERATURE)} AS lt
-  FROM embeddings s JOIN embeddings t
-    ON t.vec_id = CASE WHEN s.vec_id = (SELECT max(vec_id) FROM embeddings) THEN (SELECT min(vec_id) FROM embeddings) ELSE s.vec_id + 1 END),
+         {log_probs_sql('s.teacher', TEMPERATURE)} AS lt
+  FROM (SELECT *, coalesce(lead(embedding) OVER (ORDER BY vec_id), first_value(embedding) OVER (ORDER BY vec_id)) AS teacher
+        FROM embeddings) s),
 losses AS (
   SELECT *, CASE WHEN label <> -100 THEN -lp1[label + 1] END AS ce,
          list_sum(list_transform(range(1, len(ls) + 1), lambda i: exp(ls[i]) * (ls[i] - lt[i]))) * {TEMPERATURE ** 2} AS kl

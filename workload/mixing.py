@@ -155,10 +155,14 @@ numbered AS (
   SELECT *, row_number() OVER (PARTITION BY worker, ds_idx ORDER BY step) - 1 AS block_no FROM schedule)"""
 
 
-# Epochs laid out by the SQL mirror; more than the draws reach at any scale.
-SQL_EPOCHS = 16
-
-FEED_SQL = f"""{INDEX_SQL}, {schedule_sql(BLOCK_DRAWS_SQL)}, {ranked_sql(SQL_EPOCHS)}, {STREAMS_SQL},
+# Twice the epochs that shards of average size need for the last block drawn, and two: a shard
+# that is still too short would lose draws, and the rows would differ.
+FEED_SQL = f"""{INDEX_SQL}, {schedule_sql(BLOCK_DRAWS_SQL)},
+reach AS (
+  SELECT max(2 + 2 * blocks * {BLOCK_LEN * WORKERS} // tokens)::BIGINT AS epochs
+  FROM (SELECT dataset, max(block_no) + 1 AS blocks FROM numbered GROUP BY dataset)
+  JOIN (SELECT dataset, sum(num_tokens) AS tokens FROM idx GROUP BY dataset) USING (dataset)),
+{ranked_sql('(SELECT epochs FROM reach)')}, {STREAMS_SQL},
 feed AS (
   SELECT worker, step, ds_idx, numbered.dataset, block_no, tokens
   FROM numbered JOIN stream_blocks

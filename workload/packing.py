@@ -172,8 +172,8 @@ numbering AS (
   FROM counts)"""
 
 
-def ranked_sql(epochs: int, start: int = 0, workers: int = WORKERS) -> str:
-    """Sequences in every epoch's order with their shard."""
+def ranked_sql(epochs: int | str, start: int = 0, workers: int = WORKERS) -> str:
+    """Sequences in every epoch's order with their shard. ``epochs`` may be an expression."""
     return f"""
 ranked AS (
   SELECT *, rank % stride AS shard FROM (
@@ -181,7 +181,7 @@ ranked AS (
            row_number() OVER (PARTITION BY dataset, epoch
                               ORDER BY md5(({SEED} + epoch)::VARCHAR || ':' || seq_id::VARCHAR), seq_id) - 1 AS rank,
            least({workers}, count(*) OVER (PARTITION BY dataset, epoch)) AS stride
-    FROM idx, (SELECT unnest(range({start}, {start + epochs})) AS epoch)))"""
+    FROM idx, (SELECT unnest(range({start}, {start} + {epochs})) AS epoch)))"""
 
 
 PLACED_SQL = """
