@@ -2,8 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tokenloom import __main__ as commands
-from tokenloom.plans import prepare
+from tokenloom.plans import prepare, sweep
 from tokenloom.plans.jobs import DOWNLOAD, TOKENIZE
+from tokenloom.sources.ledger import read_ledger
 from tokenloom.sources.token_table import read_tokens
 
 
@@ -75,6 +76,60 @@ def test_capped_rows_keep_file_order(spark, home):
     assert got == [i % 5 + 3 for i in range(31)]
 
 
+def test_download_goes_on_to_tokenize_unless_told_not_to(spark, home):
+    import yaml
+
+    jobs = home / "jobs.yaml"
+    jobs.write_text(yaml.safe_dump(settings(home)))
+    folders = ["--output-dir", f"{home}/elsewhere", "--tokenized-dir", f"{home}/ids"]
+    commands.main(["download", "--config", str(jobs), "--only", "all", "--no-tokenize", "--streaming", *folders])
+    assert spark.read.parquet(f"{home}/elsewhere/all_texts").count() == 60
+    assert (home / "elsewhere" / "all_texts" / "_progress").exists() and not (home / "ids").exists()
+    commands.main(["tokenize", "--config", str(jobs), "--input-dir", f"{home}/elsewhere", "--output-dir", f"{home}/ids", "--max-seq-length", "4"])
+    assert {r.num_tokens for r in read_tokens(spark, f"{home}/ids", ["all"]).collect()} == {3, 4, 5}
+    commands.main(["download", "--config", str(jobs), "--only", "texts", "--max-samples", "7", "--no-streaming", *folders])
+    assert read_tokens(spark, f"{home}/ids", ["texts"]).count() == 7
+    assert not (home / "raw").exists()
+
+
+def test_a_failing_dataset_does_not_stop_the_others(spark, home):
+    broken = settings(home)
+    broken["datasets"].insert(0, {"dataset": "org/none", "name": "none"})
+    with pytest.raises(Exception, match="(?i)path.*does not exist|path_not_found"):
+        prepare.run_jobs(spark, broken, DOWNLOAD)
+    done = {(r.stage, r["name"]) for r in read_ledger(spark, f"{home}/ledger").collect()}
+    assert done == {(DOWNLOAD, n) for n in ("texts", "chats", "all")}
+    prepare.run_jobs(spark, settings(home), TOKENIZE, parallel=1)
+    assert read_tokens(spark, f"{home}/tokens", ["texts", "chats", "all"]).count() == 25 + 60 + 60
+
+
+def test_which_checkpoints_to_evaluate(spark, home):
+    for name in ("step_1", "step_2", "checkpoint-10", "notes"):
+        (home / "runs" / name).mkdir(parents=True)
+    (home / "runs" / "step_99").write_text("a plain file")
+    (home / "evals" / "step_2").mkdir(parents=True)
+    (home / "evals" / "step_2" / "results_1.json").write_text("{}")
+    output = f"{home}/evals"
+
+    def pending(settings, **more):
+        return [(r.name, r.results.removeprefix(f"{home}/")) for r in sweep.pending_checkpoints(spark, {"output_dir": output} | settings, **more).collect()]
+
+    folder = {"checkpoint_dir": f"{home}/runs"}
+    assert pending(folder) == [("step_1", "evals/step_1"), ("checkpoint-10", "evals/checkpoint-10")]
+    assert pending(folder | {"last": 2}) == [("checkpoint-10", "evals/checkpoint-10")]
+    assert [n for n, _ in pending(folder, force=True)] == ["step_1", "step_2", "checkpoint-10"]
+    assert pending(folder | {"checkpoints": ["x/b", "x/step_2", "x/a/"]}) == [("b", "evals/b"), ("a", "evals/a")]
+    assert pending({"model": "org/m"}) == [("m", "evals")]
+    assert pending({"model": "org/m"}, model="org/other") == [("other", "evals")]
+    assert pending(folder, model="org/other") == [("other", "evals/other")]
+    (home / "evals" / "results_2.json").write_text("{}")
+    assert pending({"model": "org/m"}) == []
+    with pytest.raises(ValueError, match="name no model"):
+        pending({})
+    with pytest.raises(ValueError, match="no step_N"):
+        pending({"checkpoint_dir": f"{home}/evals/step_2"})
+
+
 def test_pending_evals_command(home, capsys):
     for name in ("step_1", "step_2", "step_10"):
         (home / "runs" / name).mkdir(parents=True)

@@ -18,7 +18,16 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--config", required=True)
         command.add_argument("--only", nargs="+")
         command.add_argument("--max-samples", type=int)
+        command.add_argument("--tokenizer")
+        command.add_argument("--output-dir", help="raw folders" if name == DOWNLOAD else "token table")
         command.add_argument("--dry-run", action="store_true")
+        if name == DOWNLOAD:
+            command.add_argument("--tokenized-dir", help="token table")
+            command.add_argument("--no-tokenize", action="store_true", help="only download")
+            command.add_argument("--streaming", action=argparse.BooleanOptionalAction)
+        else:
+            command.add_argument("--input-dir", help="raw folders")
+            command.add_argument("--max-seq-length", type=int)
     command = commands.add_parser("validate-mix", help="report on a data mix over a token table")
     command.add_argument("config")
     command.add_argument("--tokens", required=True)
@@ -31,14 +40,32 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--skip", type=int, default=0)
     command.add_argument("--samples-done", type=int, help="resume: samples that all workers have supplied together")
     command.add_argument("--batch-size", type=int)
+    command.add_argument("--num-workers", type=int, help="workers of a rank, if there are several ranks")
     command = commands.add_parser("pending-evals", help="list checkpoints without results")
-    command.add_argument("folder")
+    command.add_argument("folder", nargs="?", help="folder of checkpoints")
+    command.add_argument("--config", help="evaluation settings that name a model, checkpoints or their folder")
+    command.add_argument("--model", help="this model alone")
     command.add_argument("--results", help="folder with one result folder per evaluated checkpoint")
     command.add_argument("--last", type=int)
     command.add_argument("--force", action="store_true")
     return top
 
 
+def job_settings(args: argparse.Namespace) -> dict:
+    """The job file, with the folders that the command line names instead."""
+    if args.command == DOWNLOAD:
+        folders = {"input_dir": args.output_dir, "output_dir": args.tokenized_dir, "tokenize": False if args.no_tokenize else None}
+    else:
+        folders = {"input_dir": args.input_dir, "output_dir": args.output_dir}
+    return load_settings(args.config) | {k: v for k, v in folders.items() if v is not None}
+
+
+def job_overrides(args: argparse.Namespace) -> dict:
+    """What the command line says for every entry."""
+    names = ("max_samples", "tokenizer", "streaming", "max_seq_length")
+    return {n: v for n in names if (v := getattr(args, n, None)) is not None}
+
+
 def show_all(df) -> None:
     """Every row, one line each."""
     print("\t".join(df.columns))
@@ -50,13 +77,15 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session()
     if args.command in (DOWNLOAD, TOKENIZE):
-        overrides = {"max_samples": args.max_samples} if args.max_samples is not None else None
         listed = prepare.run_jobs(
-            spark, load_settings(args.config), args.command, only=args.only, overrides=overrides, dry_run=args.dry_run
+            spark, job_settings(args), args.command, only=args.only, overrides=job_overrides(args), dry_run=args.dry_run
         )
         show_all(listed.select("name", "raw_dir", "limit", "mode"))
     elif args.command == "pending-evals":
-        show_all(sweep.pending_folders(spark, args.folder, args.results, args.last, args.force))
+        settings = load_settings(args.config) if args.config else {"checkpoint_dir": args.folder} if args.folder else {}
+        given = {"output_dir": args.results, "last": args.last}
+        settings |= {k: v for k, v in given.items() if v is not None}
+        show_all(sweep.pending_checkpoints(spark, settings, args.model, args.force).select("name", "path", "results"))
     else:
         mix = mixes.Mix.from_yaml(args.config)
         entries = mix.frame(spark)
@@ -67,6 +96,7 @@ def main(argv: list[str] | None = None) -> None:
             mixes.training_feed(
                 entries, tokens, mix.block_len, draws=args.draws, workers=args.workers, seed=mix.seed,
                 skip=args.skip, batch_size=args.batch_size, samples_done=args.samples_done,
+                num_workers=args.num_workers,
             ).write.partitionBy("worker").parquet(args.output)
 
 

@@ -16,7 +16,14 @@ from tokenloom.operators.mixing import (
     skip_samples,
     worker_share,
 )
-from tokenloom.operators.packing import block_counts, block_numbering, pack_blocks, to_samples
+from tokenloom.operators.packing import (
+    block_counts,
+    block_numbering,
+    get_blocks,
+    pack_blocks,
+    resolve_global_blocks,
+    to_samples,
+)
 from tokenloom.plans.jobs import listed_rows, load_settings
 from tokenloom.schemas import MIX
 from tokenloom.session import settle
@@ -84,6 +91,18 @@ def map_samples(mix: DataFrame, tokens: DataFrame, block_len: int, local: list[s
     )
 
 
+def samples_at(mix: DataFrame, tokens: DataFrame, block_len: int, wanted: DataFrame, global_id: str = "global_id") -> DataFrame:
+    """The samples of the common numbers asked for, a row for each row of ``wanted``; out of range fails.
+
+    Only the blocks wanted are cut, from the stretches of the token table that hold them.
+    """
+    counts = settle(block_counts(tokens.select("dataset", "num_tokens"), block_len), "counts")
+    numbering = block_numbering(mix.join(counts, "dataset"))
+    found = settle(resolve_global_blocks(numbering, wanted, global_id), "found")
+    blocks = get_blocks(tokens, found.select("dataset", "block_id"), block_len)
+    return to_samples(found.join(blocks, ["dataset", "block_id"]), block_len)
+
+
 def training_feed(
     mix: DataFrame,
     tokens: DataFrame,

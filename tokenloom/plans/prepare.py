@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenloom.functions.tokens import HashTokenizer, num_tokens, token_width
@@ -25,6 +28,9 @@ from tokenloom.sources.ledger import mark_done, read_ledger
 from tokenloom.sources.token_table import dataset_stats, write_tokens
 from tokenloom.streaming.ingest import ingest_in_order, read_stream
 
+# Datasets that are worked on at a time.
+PARALLEL = 4
+
 
 def with_text(df: DataFrame, column: str = "text", preprocess: str | None = None) -> DataFrame:
     """The prepared text of ``column`` as ``text``."""
@@ -162,33 +168,52 @@ def ingest_corpus(
     mark_done(spark.createDataFrame([(name, target)], "name string, path string"), ledger, DOWNLOAD)
 
 
-def run_jobs(spark: SparkSession, settings: dict, stage: str, *, only=None, overrides=None, dry_run=False) -> DataFrame:
+def run_jobs(
+    spark: SparkSession, settings: dict, stage: str, *, only=None, overrides=None, dry_run=False, parallel: int = PARALLEL
+) -> DataFrame:
     """Run a stage for every entry of a job list that still needs it; returns the plan.
 
-    Entries run one after the other, each as jobs over the whole cluster. ``source_dir``
-    holds the datasets, ``input_dir`` the raw folders, ``output_dir`` the token table and
-    ``ledger`` the completion marks.
+    ``source_dir`` holds the datasets, ``input_dir`` the raw folders, ``output_dir`` the token
+    table and ``ledger`` the completion marks. A download is followed by the tokenizing of
+    what is downloaded, unless the setting ``tokenize`` says no. Each entry is jobs over the
+    whole cluster; ``parallel`` of them run side by side, so that small datasets and the ends
+    of large ones leave no core idle. An entry that fails does not stop the others; the first
+    failure is raised when all have ended.
     """
     entries = select_datasets(fill_defaults(job_entries(spark, settings), settings, overrides), only)
     todo = plan(entries, read_ledger(spark, settings["ledger"]), stage)
     if dry_run:
         return todo
     listed = todo.collect()
-    if stage == TOKENIZE and (unknown := sorted({e.tokenizer for e in listed} - {None, "hash"})):
+    follows = stage == DOWNLOAD and settings.get("tokenize", True)
+    asked = listed if stage == TOKENIZE else entries.collect() if follows else []
+    if unknown := sorted({e.tokenizer for e in asked} - {None, "hash"}):
         raise ValueError(f"unknown tokenizers: {', '.join(unknown)}; available: hash")
-    for entry in listed:
-        raw_dir = f"{settings['input_dir']}/{entry.raw_dir}"
-        if stage == DOWNLOAD:
-            parts = [settings["source_dir"], entry.dataset, entry.subset, entry.split]
-            source = "/".join(p for p in parts if p)
-            ingest_corpus(
-                spark, source, raw_dir, name=entry["name"], ledger=settings["ledger"],
-                streaming=entry.streaming, max_samples=entry.max_samples,
-            )
-        else:
-            tokenizer = HashTokenizer(add_bos=entry.add_bos, add_eos=entry.add_eos)
-            prepare_corpus(
-                read_ordered(spark, raw_dir), name=entry["name"], target=settings["output_dir"],
-                ledger=settings["ledger"], tokenizer=tokenizer, text=entry.text_column, preprocess=entry.preprocess,
-            )
+    _side_by_side(spark, {DOWNLOAD: _download, TOKENIZE: _tokenize}[stage], settings, listed, parallel)
+    if follows:
+        run_jobs(spark, settings, TOKENIZE, only=only, overrides=overrides, parallel=parallel)
     return spark.createDataFrame(listed, todo.schema) if listed else todo.limit(0)
+
+
+def _side_by_side(spark: SparkSession, run, settings: dict, listed: list, parallel: int) -> None:
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(run), spark, settings, entry) for entry in listed]
+    failures = [e for e in (job.exception() for job in started) if e]
+    if failures:
+        raise failures[0]
+
+
+def _download(spark: SparkSession, settings: dict, entry) -> None:
+    parts = [settings["source_dir"], entry.dataset, entry.subset, entry.split]
+    ingest_corpus(
+        spark, "/".join(p for p in parts if p), f"{settings['input_dir']}/{entry.raw_dir}", name=entry["name"],
+        ledger=settings["ledger"], streaming=entry.streaming, max_samples=entry.max_samples,
+    )
+
+
+def _tokenize(spark: SparkSession, settings: dict, entry) -> None:
+    prepare_corpus(
+        read_ordered(spark, f"{settings['input_dir']}/{entry.raw_dir}"), name=entry["name"], target=settings["output_dir"],
+        ledger=settings["ledger"], text=entry.text_column, preprocess=entry.preprocess,
+        tokenizer=HashTokenizer(add_bos=entry.add_bos, add_eos=entry.add_eos, max_len=entry.max_seq_length),
+    )

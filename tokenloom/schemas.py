@@ -40,6 +40,7 @@ JOB_ENTRY = T.StructType(
         T.StructField("add_bos", T.BooleanType()),
         T.StructField("add_eos", T.BooleanType()),
         T.StructField("raw_dir", T.StringType()),
+        T.StructField("max_seq_length", T.IntegerType()),
     ]
 )
 

@@ -49,12 +49,12 @@ def corpus_format(spark: SparkSession, path: str, jsonl: str = PATTERNS["jsonl"]
     raise FileNotFoundError(f"no .parquet or .jsonl files in {path}")
 
 
-def list_files(spark: SparkSession, path: str, pattern: str) -> list[str]:
-    """Paths matching ``pattern`` directly under ``path``, on any file system Spark knows."""
+def list_files(spark: SparkSession, path: str, pattern: str, folders: bool = False) -> list[str]:
+    """Paths matching ``pattern`` directly under ``path``, on any file system Spark knows; only ``folders`` if asked."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
     found = fs.globStatus(hadoop(f"{path}/{pattern}"))
-    return [f.getPath().toString() for f in found] if found else []
+    return [f.getPath().toString() for f in found or () if not folders or f.isDirectory()]
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenloom.schemas import LEDGER
 from tokenloom.session import empty_table
 
+_appending = threading.Lock()
+
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """All completion marks; an absent ledger is an empty one."""
@@ -17,14 +21,12 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def mark_done(done: DataFrame, path: str, stage: str) -> None:
-    """Append completion marks for ``done`` (``name`` and ``path``)."""
-    (
-        done.select(
-            F.lit(stage).alias("stage"), F.col("name"), F.col("path"), F.current_timestamp().alias("finished_at")
-        )
-        .write.mode("append")
-        .parquet(path)
+    """Append completion marks for ``done`` (``name`` and ``path``); jobs of one driver take turns."""
+    marks = done.select(
+        F.lit(stage).alias("stage"), F.col("name"), F.col("path"), F.current_timestamp().alias("finished_at")
     )
+    with _appending:
+        marks.write.mode("append").parquet(path)
 
 
 def unfinished(work: DataFrame, ledger: DataFrame, stage: str, key: str = "name") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenloom.operators import packing
 from tokenloom.operators.index import index_sequences
 from tokenloom.operators.ordering import CHUNKS, chunk_by_key, div
+from tokenloom.plans import mix as mixes
 from tokenloom.plans.mix import map_samples
 from tokenloom.session import scratch_path, settle
 from tokenloom.streaming import ingest, pack
@@ -38,8 +39,8 @@ def block_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = packing.pack_blocks(indexed(spark, sf_dir), BLOCK_LEN, local=CHUNKS)
-    return described(blocks, "dataset", "block_id")
+    """The stored token table cut into blocks, as a training run does it."""
+    return described(packing.pack_blocks(stored_in_ranges(spark, sf_dir), BLOCK_LEN), "dataset", "block_id")
 
 
 def get_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +74,16 @@ def resolve_global_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.resolve_global_blocks(numbering, ids)
 
 
+def samples_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples by common number, asked for by the labelled documents' ids; some numbers come twice."""
+    tokens = stored_in_ranges(spark, sf_dir)
+    counts = packing.block_counts(tokens, BLOCK_LEN)
+    total = counts.agg(F.sum("num_blocks")).scalar()
+    wanted = table(spark, sf_dir, "labels").select("doc_id", (F.col("doc_id") * 13 % total).alias("global_id"))
+    samples = mixes.samples_at(_mix(counts), tokens, BLOCK_LEN, wanted)
+    return described(samples, "doc_id", "global_id", "ds_idx", "dataset", "block_id", tokens="labels")
+
+
 def to_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = packing.pack_blocks(indexed(spark, sf_dir), BLOCK_LEN, local=CHUNKS)
     samples = packing.to_samples(blocks, BLOCK_LEN)
@@ -149,6 +160,7 @@ QUERIES = {
         get_blocks,
         global_blocks,
         resolve_global_blocks,
+        samples_at,
         to_samples,
         pack_cyclic,
         epoch_permutation,
@@ -222,6 +234,13 @@ ORACLES = {
         ids AS (SELECT event_id, event_id % (SELECT sum(num_blocks)::BIGINT FROM counts) AS global_id FROM events)
         SELECT event_id, global_id, ds_idx, dataset, global_id - first_block AS block_id
         FROM ids JOIN numbering ON global_id >= first_block AND global_id < first_block + num_blocks""",
+    "samples_at": f"""
+        WITH {BLOCKS_SQL}, {NUMBERING_SQL},
+        asked AS (SELECT doc_id, doc_id * 13 % (SELECT sum(num_blocks)::BIGINT FROM counts) AS global_id FROM labels),
+        s AS (SELECT doc_id, global_id, ds_idx, dataset, block_id, tokens[2:{BLOCK_LEN}] AS tokens
+              FROM asked JOIN numbering ON global_id >= first_block AND global_id < first_block + num_blocks
+              JOIN blocks USING (dataset) WHERE block_id = global_id - first_block)
+        SELECT doc_id, global_id, ds_idx, dataset, block_id, {describe_sql()} FROM s""",
     "to_samples": f"""
         WITH {BLOCKS_SQL},
         s AS (SELECT dataset, block_id, tokens[1:{BLOCK_LEN - 1}] AS inputs, tokens[2:{BLOCK_LEN}] AS labels FROM blocks)
