@@ -91,8 +91,12 @@ def test_token_table_prunes_to_its_dataset(spark, tmp_path):
     path, log = str(tmp_path / "tokens"), str(tmp_path / "ledger")
     for name in ("a", "b"):
         prepare.prepare_corpus(docs(spark), name=name, key="doc_id", target=path, ledger=log)
-    plan = token_table.read_tokens(spark, path, ["a"]).where("seq_id = 3")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dataset" in plan and "EqualTo(seq_id,3)" in plan
+    one = token_table.read_tokens(spark, path, ["a"]).where("seq_id = 3")
+    assert one.inputFiles() and all("/dataset=a/" in f for f in one.inputFiles())
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(seq_id,3)" in plan
+    plan = token_table.read_tokens(spark, path).where("dataset = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dataset" in plan
 
 
 SETTINGS = {
@@ -144,7 +148,7 @@ def test_a_job_that_died_before_its_mark_can_run_again(spark, tmp_path):
     for name, text in (("a", "x y"), ("b", "z"), ("a", "x y")):  # the second "a" is the re-run
         raw = spark.createDataFrame([(i, text) for i in range(5)], "id long, text string")
         prepare_corpus(raw, name=name, target=target, ledger=ledger_path, key="id")
-    counts = spark.read.parquet(target).groupBy("dataset").count().collect()
+    counts = token_table.read_tokens(spark, target).groupBy("dataset").count().collect()
     assert {r["dataset"]: r["count"] for r in counts} == {"a": 5, "b": 5}
 
 
@@ -193,3 +197,47 @@ def test_shards_can_be_written_again_after_a_crash(spark, tmp_path):
         corpus.write_shards(df, path, order=["doc_id"], columns=["doc_id"], group=[])
     corpus.write_shards(df.where("shard < 2"), path, order=["doc_id"], columns=["doc_id"], group=[], mode="overwrite")
     assert sorted(r.doc_id for r in spark.read.parquet(path).collect()) == [i for i in range(12) if i % 3 < 2]
+
+
+class Killed(Exception):
+    pass
+
+
+def killed(*args, **kwargs):
+    raise Killed
+
+
+@pytest.mark.parametrize("at", ["write", "publish", "mark"])
+def test_a_killed_tokenize_leaves_the_old_table_or_the_new(spark, tmp_path, monkeypatch, at):
+    target, log = str(tmp_path / "tokens"), str(tmp_path / "ledger")
+    job = dict(key="doc_id", target=target, ledger=log)
+    for name in ("x", "y"):
+        prepare.prepare_corpus(docs(spark, 5), name=name, **job)
+
+    def rows():
+        return {r.dataset: r.n for r in token_table.read_tokens(spark, target).groupBy("dataset").agg(F.count("*").alias("n")).collect()}
+
+    where = {"write": (token_table, "write_tokens"), "publish": (token_table, "publish"), "mark": (prepare, "mark_done")}[at]
+    with monkeypatch.context() as patch:
+        patch.setattr(*where, killed)
+        with pytest.raises(Killed):
+            prepare.prepare_corpus(docs(spark, 9), name="x", **job)
+    assert rows() == {"x": 9 if at == "mark" else 5, "y": 5}
+    prepare.prepare_corpus(docs(spark, 9), name="x", **job)
+    assert rows() == {"x": 9, "y": 5}
+
+
+@pytest.mark.parametrize("at", ["write_shards", "publish", "mark_done"])
+def test_a_killed_ingest_leaves_the_old_shards_or_the_new(spark, tmp_path, monkeypatch, at):
+    source, target, log = (str(tmp_path / n) for n in ("in", "raw", "ledger"))
+    docs(spark, 6).coalesce(1).write.parquet(source)
+    job = dict(name="x", ledger=log, streaming=False, target_bytes=30)
+    prepare.ingest_corpus(spark, source, target, **job)
+    docs(spark, 10).where("doc_id >= 6").coalesce(1).write.mode("append").parquet(source)
+    with monkeypatch.context() as patch:
+        patch.setattr(prepare, at, killed)
+        with pytest.raises(Killed):
+            prepare.ingest_corpus(spark, source, target, **job)
+    assert prepare.read_ordered(spark, target).count() == (10 if at == "mark_done" else 6)
+    prepare.ingest_corpus(spark, source, target, **job)
+    assert sorted(r.doc_id for r in prepare.read_ordered(spark, target).collect()) == list(range(10))

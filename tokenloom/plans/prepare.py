@@ -25,7 +25,8 @@ from tokenloom.sources.corpus import (
     write_shards,
 )
 from tokenloom.sources.ledger import mark_done, read_ledger
-from tokenloom.sources.token_table import dataset_stats, write_tokens
+from tokenloom.sources.publish import new_version, publish, published_versions, version_folder
+from tokenloom.sources.token_table import dataset_stats, publish_tokens, read_tokens
 from tokenloom.streaming.ingest import ingest_in_order, read_stream
 
 # Datasets that are worked on at a time.
@@ -91,7 +92,13 @@ def _is_jsonl(spark: SparkSession, path: str) -> bool:
 
 
 def read_ordered(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet or JSONL folder with its file order; the schema is what the files have."""
+    """A Parquet or JSONL folder with its file order; the schema is what the files have.
+
+    Of a folder with a published version, that is what is read.
+    """
+    versions = published_versions(spark, path)
+    if versions:
+        (path,) = [version_folder(path, v) for v in versions.values()]
     if not _is_jsonl(spark, path):
         return with_file_order(spark.read.parquet(path))
     found = spark.read.option("pathGlobFilter", PATTERNS["jsonl"]).json(path).schema
@@ -126,12 +133,10 @@ def prepare_corpus(
     corpus = with_text(rows, text, preprocess).withColumn("dataset", F.lit(name))
     if max_samples is not None:
         corpus = cap_samples(_chunked(corpus, key, dense_key), max_samples, order=order).drop(*(CHUNKS if key else []))
-    # replaces what an earlier run that died before its mark may have left of this dataset
-    write_tokens(index_corpus(corpus, tokenizer, key=key, dense_key=dense_key), target, mode="replace", presorted=True)
+    publish_tokens(index_corpus(corpus, tokenizer, key=key, dense_key=dense_key), target, name)
     mark_done(spark.createDataFrame([(name, target)], "name string, path string"), ledger, TOKENIZE)
-    written = spark.read.parquet(target).where(F.col("dataset") == name)
     return dataset_stats(
-        written, vocab_size=tokenizer.id_count, add_bos=tokenizer.add_bos, add_eos=tokenizer.add_eos
+        read_tokens(spark, target, [name]), vocab_size=tokenizer.id_count, add_bos=tokenizer.add_bos, add_eos=tokenizer.add_eos
     )
 
 
@@ -149,8 +154,8 @@ def ingest_corpus(
     """Bring a reachable dataset into its raw folder and mark it done.
 
     Rows are laid out in size-targeted shards in source order, capped if asked. Streaming
-    takes files in as they come and resumes after a stop; otherwise all is laid out at once.
-    JSONL datasets are never streamed.
+    takes files in as they come and resumes after a stop; otherwise all is laid out at once,
+    as a version that readers of the raw folder find when it is whole. JSONL datasets are never streamed.
     """
     if streaming and not _is_jsonl(spark, source):
         schema = spark.read.parquet(source).schema
@@ -164,7 +169,9 @@ def ingest_corpus(
         columns = [c for c in rows.columns if c not in ("file", "row", *CHUNKS)]
         size = string_bytes(capped.select(*columns))
         placed = assign_shards(capped, order=order, size=size, target_bytes=target_bytes, group=[])
-        write_shards(placed, target, group=[], order=["file", "row"], columns=columns, mode="overwrite")
+        version, folder = new_version(target)
+        write_shards(placed, folder, group=[], order=["file", "row"], columns=columns)
+        publish(spark, target, name, version)
     mark_done(spark.createDataFrame([(name, target)], "name string, path string"), ledger, DOWNLOAD)
 
 

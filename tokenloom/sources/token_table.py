@@ -11,6 +11,7 @@ from tokenloom.operators.ordering import CHUNK_KEYS, chunk_by_key, div, running_
 from tokenloom.schemas import TOKEN_TABLE
 from tokenloom.session import settle
 from tokenloom.sources.corpus import list_files
+from tokenloom.sources.publish import new_version, publish, published_versions, version_folder
 
 # Bytes of one stored token before compression, and of the tokens of one compacted file.
 TOKEN_BYTES = 4
@@ -37,11 +38,25 @@ def write_tokens(df: DataFrame, path: str, mode: str = "errorifexists", presorte
     writer.parquet(path)
 
 
+def publish_tokens(df: DataFrame, path: str, name: str) -> None:
+    """Write the indexed token frame of one dataset as its new version in the table under ``path``.
+
+    Until the version is whole and published, readers find the one before it.
+    """
+    version, folder = new_version(path)
+    write_tokens(df, folder, presorted=True)
+    publish(df.sparkSession, path, name, version)
+
+
 def read_tokens(spark: SparkSession, path: str, datasets: list[str] | None = None) -> DataFrame:
     """Read a token table; a wrong layout or a missing dataset is an error.
 
-    ``datasets`` prunes to those partitions.
+    ``datasets`` prunes to those partitions. Of a table of published versions, the latest of
+    each dataset is read.
     """
+    versions = published_versions(spark, path)
+    if versions is not None:
+        return _read_published(spark, path, versions, datasets)
     found = spark.read.parquet(path)
     for field in TOKEN_TABLE:
         if field.name not in found.columns:
@@ -59,6 +74,14 @@ def read_tokens(spark: SparkSession, path: str, datasets: list[str] | None = Non
     return table.where(F.col("dataset").isin(*datasets))
 
 
+def _read_published(spark: SparkSession, path: str, versions: dict[str, str], datasets: list[str] | None) -> DataFrame:
+    missing = sorted(set(datasets or ()) - set(versions))
+    if missing:
+        raise FileNotFoundError(f"{path} has no dataset {', '.join(missing)}")
+    folders = [version_folder(path, v) for n, v in sorted(versions.items()) if datasets is None or n in datasets]
+    return spark.read.schema(TOKEN_TABLE).option("basePath", path).parquet(*folders).select(*TOKEN_TABLE.fieldNames())
+
+
 def compact_tokens(tokens: DataFrame, path: str, target_bytes: int = FILE_BYTES) -> None:
     """Write a stored token table again, in files of about ``target_bytes`` that follow the sequence order.
 
