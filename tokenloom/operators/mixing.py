@@ -115,16 +115,19 @@ def cover_demand(
             F.max(F.col("stream_start") + F.col("num_tokens")).alias("reached")
         )
         open_datasets = demand.join(epochs, "dataset", "left_semi").join(reached, ["dataset", "shard"], "left")
-        short = settle(
-            open_datasets.where(F.coalesce("reached", F.lit(0)) < F.col("blocks") * block_len)
+        # at most the names of the mix's datasets
+        short = [
+            r["dataset"]
+            for r in open_datasets.where(F.coalesce("reached", F.lit(0)) < F.col("blocks") * block_len)
             .select("dataset")
-            .distinct(),
-            "short",
-        )
-        covered.append(needed.join(short, "dataset", "left_anti"))
-        if short.isEmpty():
-            return reduce(lambda a, b: a.unionByName(b), covered)
-        epochs = settle(epochs.join(short, "dataset", "left_semi").withColumn("epochs", F.col("epochs") * 2), "epochs")
+            .distinct()
+            .collect()
+        ]
+        if not short:
+            return reduce(lambda a, b: a.unionByName(b), [*covered, needed])
+        again = F.col("dataset").isin(short)
+        covered.append(needed.where(~again))
+        epochs = settle(epochs.where(again).withColumn("epochs", F.col("epochs") * 2), "epochs")
 
 
 def draws_to_blocks(
