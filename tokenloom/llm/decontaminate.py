@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tokenloom.llm import words
+from tokenloom.llm.names import free_name
 from tokenloom.session import settle
 
 #: Words of test items that a task holds at a time.
@@ -158,7 +159,7 @@ def _shards(column: pa.Array):
         yield rows, np.concatenate(parts), np.array(first)
 
 
-def _find(shared, window: int, text_at: int):
+def _find(shared, window: int, text_at: int, found: str):
     """Appends the struct FOUND to every row; a struct that is there already is added to."""
 
     def run(batches):
@@ -190,13 +191,13 @@ def _find(shared, window: int, text_at: int):
                         items = items[items != NO_ITEM].tolist()
                     out[row] = {"n_words": hi - lo, "spans": spans, "items": items, "longest": longest.get(i, 0)}
             names = batch.schema.names
-            if names[-1] == "__found":
+            if names[-1] == found:
                 for new, old in zip(out, batch.column(batch.num_columns - 1).to_pylist()):
                     new["spans"] = _merged(new["spans"] + old["spans"])
                     new["items"] = sorted({*new["items"], *old["items"]})
                     new["longest"] = max(new["longest"], old["longest"])
                 batch = batch.select(names[:-1])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, _FOUND_ARROW)], [*batch.schema.names, "__found"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, _FOUND_ARROW)], [*batch.schema.names, found])
 
     return run
 
@@ -207,9 +208,9 @@ NO_ITEM = np.iinfo(np.int64).min
 
 def find_matches(
     docs: DataFrame, tests: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    window: int = WINDOW, block_words: int = BLOCK_WORDS,
+    window: int = WINDOW, block_words: int = BLOCK_WORDS, found: str = "__found",
 ) -> DataFrame:
-    """``docs`` with a struct ``__found``: n_words, spans, items, longest.
+    """``docs`` with a struct ``found``, a name that they do not have: n_words, spans, items, longest.
 
     ``spans`` are the hit passages as [first word, word after], in order and merged; ``items``
     the distinct ids of the test items with a window in the text; ``longest`` the words of the
@@ -230,12 +231,12 @@ def find_matches(
     total = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // block_words))
     out = docs
-    schema = T.StructType([*docs.schema.fields, T.StructField("__found", FOUND)])
+    schema = T.StructType([*docs.schema.fields, T.StructField(found, FOUND)])
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == block)
         held = [(NO_ITEM if r["item"] is None else r["item"], np.frombuffer(r["words"], np.uint64)) for r in part.collect()]
         shared = docs.sparkSession.sparkContext.broadcast(_prepare(held, window))
-        out = out.mapInArrow(_find(shared, window, docs.columns.index(text_col)), schema)
+        out = out.mapInArrow(_find(shared, window, docs.columns.index(text_col), found), schema)
         if block + 1 < blocks:
             out = settle(out, "matches")
     return out
@@ -269,4 +270,5 @@ def contamination(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", tex
 
 def decontaminate(docs: DataFrame, tests: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their own columns only."""
-    return find_matches(docs, tests, text_col).where(~is_contaminated()).select(*docs.columns)
+    found = free_name(docs, "__found")
+    return find_matches(docs, tests, text_col, found=found).where(~is_contaminated(found)).select(*docs.columns)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenloom.llm import words
 from tokenloom.llm.components import components
 from tokenloom.llm.counting import bucket_counts
+from tokenloom.llm.names import free_name
 from tokenloom.session import settle
 
 def needed_overlap(a, b, percent: int):
@@ -253,8 +254,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     stays. Rows with a NULL id stay when their group has no id; equal ones among them are one.
     """
     classes = ngram_jaccard_classes(docs, id_col, text_col, size, percent)
-    kept = classes.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__kept")).distinct()
-    rows = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    name = free_name(docs, "__kept")
+    kept = classes.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(name)).distinct()
+    rows = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_semi")
     return rows.dropDuplicates([id_col, text_col])
 
 

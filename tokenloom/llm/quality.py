@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tokenloom.llm.names import free_name
+
 #: Base rules: a text has so many words, at most this percentage of them in repeated windows.
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -159,21 +161,13 @@ def is_kept(found: str = "__judged", keep_percent: int = KEEP_PERCENT):
     return ~base_failed(found) & (100 * F.col(f"{found}.kept_words") >= keep_percent * F.col(f"{found}.n_words"))
 
 
-def _free_name(docs: DataFrame) -> str:
-    """A column name that ``docs`` does not have, whatever its case."""
-    taken, name = {c.lower() for c in docs.columns}, "__judged"
-    while name in taken:
-        name += "_"
-    return name
-
-
 def clean_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that are kept, with their own columns, their text without the lines that broke a rule.
 
     NULL and empty texts break a base rule. Repeated rows are documents of their own; all
     other columns stay as they are, whatever their names.
     """
-    found = _free_name(docs)
+    found = free_name(docs, "__judged")
     rows = judged(docs.withColumn(text_col, F.col(text_col).cast("string")), text_col, found, with_text=True).where(is_kept(found))
     return rows.withColumn(text_col, F.col(f"{found}.clean")).select(*docs.columns)
 

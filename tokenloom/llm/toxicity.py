@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tokenloom.llm import words
 from tokenloom.llm.lexicon import Lexicon, Term
+from tokenloom.llm.names import free_name
 from tokenloom.session import settle
 
 #: Labelled rows the model learns from at most; more are thinned by a hash of the id.
@@ -255,4 +256,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model does not call toxic, with their own columns."""
     model = train(docs, labels.where(~in_fold(id_col, 0)), id_col, text_col)
-    return score(docs, model, text_col, "__toxicity").where("__toxicity < 0.5").select(*docs.columns)
+    name = free_name(docs, "__toxicity")
+    return score(docs, model, text_col, name).where(F.col(name) < 0.5).select(*docs.columns)
