@@ -37,6 +37,7 @@ CASES = [
     (5, "All rights\nreserved"), (6, "ALL Rights é reserved"), (7, "CC BY-NC-SA, cc by nc cc_by_nc"), (None, "All rights reserved"),
     (8, "this work is licensed under the general public license"), (8, "apache license, VERSION 2"), (8, "apache license, VERSION 2"),
     (9, "x " * 100_000 + "under the mit license " + "y" * 100_000), (10, "gnu general public license version 3 is this work's"), (11, "under"),
+    (12, " ".join(TEMPLATES.values()).replace("k", "\u212a")), (13, "under the mit l\u0130cense"),
 ]
 
 

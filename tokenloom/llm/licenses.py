@@ -9,6 +9,7 @@ the words themselves are compared. Everything is DataFrame operations.
 from __future__ import annotations
 
 from functools import reduce
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -40,8 +41,8 @@ _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def plain_words(text: Column) -> Column:
-    """Lower-cased runs of letters, digits and characters beyond ASCII."""
-    return F.array_remove(F.split(F.lower(text), _SEPARATORS), "")
+    """Runs of letters, digits and characters beyond ASCII; A-Z alone is lower-cased."""
+    return F.array_remove(F.split(F.translate(text, ascii_uppercase, ascii_lowercase), _SEPARATORS), "")
 
 
 def phrase_places(words: Column, phrase: str) -> Column:
