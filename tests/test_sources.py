@@ -241,3 +241,15 @@ def test_a_killed_ingest_leaves_the_old_shards_or_the_new(spark, tmp_path, monke
     assert prepare.read_ordered(spark, target).count() == (10 if at == "mark_done" else 6)
     prepare.ingest_corpus(spark, source, target, **job)
     assert sorted(r.doc_id for r in prepare.read_ordered(spark, target).collect()) == list(range(10))
+
+
+def test_tasks_of_a_spread_table_follow_its_size(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    docs(spark, 400).coalesce(1).write.parquet(path)
+    table = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    assert corpus.spread(table, "doc_id").rdd.getNumPartitions() == cores
+    monkeypatch.setattr(corpus, "SPREAD_BYTES", max(1, corpus.scan_bytes(table) // (3 * cores)))
+    spread = corpus.spread(table, "doc_id")
+    assert spread.rdd.getNumPartitions() >= 3 * cores
+    assert sorted(spread.collect()) == sorted(table.collect())
