@@ -5,6 +5,7 @@ from tokenloom.functions.tokens import HashTokenizer
 from tokenloom.operators.ordering import chunk_by_key, running_totals
 from tokenloom.plans import jobs, prepare
 from tokenloom.sources import corpus, ledger, token_table
+from workload import corpora
 
 DOCS = "doc_id bigint, text string"
 
@@ -253,3 +254,14 @@ def test_tasks_of_a_spread_table_follow_its_size(spark, tmp_path, monkeypatch):
     spread = corpus.spread(table, "doc_id")
     assert spread.rdd.getNumPartitions() >= 3 * cores
     assert sorted(spread.collect()) == sorted(table.collect())
+
+
+def test_files_of_a_delivery_follow_its_size(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    size = corpus.scan_bytes(table)
+    assert corpora._delivered(table, size).rdd.getNumPartitions() == corpora.FILES
+    usual = sorted(corpora.jsonl_line_order(spark, folder).collect())
+    monkeypatch.setattr(corpora, "FILE_BYTES", size // 12)
+    assert corpora._delivered(table, size).rdd.getNumPartitions() >= 12
+    assert sorted(corpora.jsonl_line_order(spark, folder).collect()) == usual

@@ -14,8 +14,9 @@ from workload.base import INDEX_SQL, TOKENIZER, corpus, describe_sql, described,
 
 SHARD_BYTES = 64 * 1024
 CAP = 50
-# Files of a delivery, and the size of an ordered shard.
+# Files of a delivery that fits them, the scanned bytes of each in a larger one, and the size of an ordered shard.
 FILES = 5
+FILE_BYTES = 16 << 20
 ORDERED_BYTES = 1 << 18
 
 
@@ -31,23 +32,30 @@ def jsonl_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.read_corpus(spark, path, "doc_id", "lang", "text", schema=docs.schema, jsonl="*.json")
 
 
+def _delivered(docs: DataFrame, size: int) -> DataFrame:
+    """Rows in order over files; a larger table (``size`` bytes) comes in more files, as one task writes each."""
+    files = max(FILES, -(-size // FILE_BYTES))
+    return docs.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
+
+
 def jsonl_line_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line of every document over several files of JSON lines."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    source = table(spark, sf_dir, "documents")
+    docs = source.select("doc_id", "text")
     path = scratch_path(spark, "jsonl-order")
-    docs.repartitionByRange(FILES, "doc_id").sortWithinPartitions("doc_id").write.json(path)
+    _delivered(docs, raw.scan_bytes(source)).write.json(path)
     lines = raw.with_line_order(raw.read_corpus(spark, path, schema=docs.schema, jsonl="*.json"))
     return lines.select("doc_id", "row", F.md5("text").alias("text_md5"))
 
 
 def ingest_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries of several files each, streamed into shards that follow the source order."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    source = table(spark, sf_dir, "documents")
+    docs = source.select("doc_id", "source", "text")
     half = F.col("doc_id") < docs.agg(F.expr("max(doc_id) div 2")).scalar()
     paths = {name: scratch_path(spark, name) for name in ("deliveries", "ordered", "ordered-checkpoint")}
     for part in (half, ~half):
-        delivery = docs.where(part).repartitionByRange(FILES, "doc_id").sortWithinPartitions("doc_id")
-        delivery.write.mode("append").parquet(paths["deliveries"])
+        _delivered(docs.where(part), raw.scan_bytes(source) // 2).write.mode("append").parquet(paths["deliveries"])
         stream = ingest.read_stream(spark, paths["deliveries"], docs.schema)
         ingest.ingest_in_order(
             stream, paths["ordered"], paths["ordered-checkpoint"], columns=docs.columns, target_bytes=ORDERED_BYTES
