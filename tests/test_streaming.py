@@ -1,3 +1,7 @@
+import tracemalloc
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tokenloom.functions.tokens import HashTokenizer
@@ -138,3 +142,61 @@ def test_lanes_are_streams_of_their_own(spark, tmp_path):
     want = {(*k, i): t[i * LEN : (i + 1) * LEN] for k, t in lanes.items() for i in range(len(t) // LEN)}
     got = {(r.dataset, r.lane, r.block_id): r.tokens for r in pack.read_packed(spark, paths["target"]).collect()}
     assert got == want
+
+
+class Held:
+    """A group's state, as Spark hands it to the function."""
+
+    def __init__(self, *value):
+        self.exists, self.get = bool(value), value
+
+    def update(self, value):
+        self.get = value
+
+
+def test_a_task_does_not_hold_its_micro_batch():
+    """Tokens of many Arrow batches, keys in no order: whole blocks in key order, in a fraction of their memory."""
+    batches, rows, size, block_len = 40, 500, 500, 64
+    keys = np.random.default_rng(5).permutation(batches * rows)
+
+    def arriving():
+        for part in keys.reshape(batches, rows):
+            yield pd.DataFrame({"key": part, "tokens": [np.full(size, k, np.int32) for k in part]})
+
+    state, at, wrong = Held(13, [7] * 13), 0, 0
+    tracemalloc.start()
+    for out in pack._continue_stream(block_len)(("a", 0), arriving(), state):
+        ids = np.concatenate(out["tokens"].to_list())
+        assert out["block_id"].tolist() == list(range(at // block_len, (at + len(ids)) // block_len))
+        place = np.arange(at, at + len(ids)) - 13
+        wrong += int((ids != np.where(place < 0, 7, place // size)).sum())
+        at += len(ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    total = 13 + batches * rows * size
+    assert not wrong and at == total // block_len * block_len
+    assert state.get == (total, [len(keys) - 1] * (total % block_len))
+    assert peak < total * 4 / 4
+
+
+def test_a_packing_stream_bounds_its_arrow_batches(spark, tmp_path, monkeypatch):
+    """The setting holds for the stream alone."""
+    name, usual = pack._BATCH_ROWS[0], spark.conf.get(pack._BATCH_ROWS[0])
+    source, sizes = str(tmp_path / "in"), str(tmp_path / "sizes")
+
+    def sizes_only(block_len):
+        def run(group, batches, state):
+            for batch in batches:
+                with open(sizes, "a") as out:
+                    out.write(f"{len(batch)}\n")
+                yield batch.head(0)[[]]
+
+        return run
+
+    monkeypatch.setattr(pack, "_continue_stream", sizes_only)
+    arrivals(spark, 0, 2000).coalesce(1).write.parquet(source)
+    run_pack(spark, source, {n: str(tmp_path / n) for n in ("target", "checkpoint")})
+    with open(sizes) as lines:
+        sizes = [int(n) for n in lines]
+    assert max(sizes) <= 512 and sum(sizes) == 2000
+    assert spark.conf.get(name) == usual
