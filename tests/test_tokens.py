@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import tokens as toks
 from tokenloom.plans.prepare import tokenize, tokenize_external
+from tokenloom.sources import token_table
+from workload import base, packing
 
 TEXTS = ["one two\nthree", "", "  \n ", " a  b \n\n c ", "tab\tinside stays", "a" * 50, None]
 
@@ -68,3 +70,19 @@ def test_tokenizer_json(spark):
     encode = toks.external_tokenizer(toks.tokenizer_json(tokenizer.to_str()))
     df = spark.createDataFrame([("a b zzz",), ("",)], "text string")
     assert [r.tokens for r in tokenize_external(df, encode).collect()] == [[1, 2, 0], []]
+
+
+def test_buckets_follow_the_stored_tokens(spark, monkeypatch):
+    """Eight buckets for a small table, more for a larger one, and the same streams from either."""
+    folder = "/root/testdata/sf0.001"
+    tokens = base.stored(spark, folder)
+    size = tokens.agg(F.sum("num_tokens")).first()[0] * 4
+    assert token_table.bucket_count(tokens, size) == 1 and token_table.bucket_count(tokens, size - 1) == 2
+    usual = sorted(packing.resumed_worker_streams(spark, folder).collect())
+    monkeypatch.setattr(base, "_written", {})
+    monkeypatch.setattr(base, "BUCKET_BYTES", size // 20)
+    base.stored_in_buckets(spark, folder)
+    name = next(v for k, v in base._written.items() if k[2] == "buckets")
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert int(described["Num Buckets"]) >= 20
+    assert sorted(packing.resumed_worker_streams(spark, folder).collect()) == usual
