@@ -1,7 +1,7 @@
 import random
 
 from pyspark.sql import functions as F
-from tokenloom.llm import line_dedup
+from tokenloom.llm import line_dedup, ngram_join
 
 
 def test_unlike_lines_of_a_list_are_not_paired(spark, monkeypatch):
@@ -29,3 +29,17 @@ def test_unlike_lines_of_a_list_are_not_paired(spark, monkeypatch):
     # what may reach 0.8 by its sketch is little beside what meets in lists
     assert kept["line-classes"].where(F.col("sketch").isNull()).count() == 0
     assert kept["line-pairs"].count() < 0.1 * len(lines) ** 2 / 2
+
+
+def test_prefixes_are_written_once(spark, monkeypatch):
+    written, plain_settle = {}, ngram_join.settle
+
+    def settle(df, name):
+        written.setdefault(name, df.columns)
+        return plain_settle(df, name)
+
+    monkeypatch.setattr(ngram_join, "settle", settle)
+    texts = [" ".join(f"w{k}" for k in range(50)) + f" n{i}" for i in range(4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.component_id for r in ngram_join.ngram_jaccard_classes(docs).collect()} == {0}
+    assert "prefix" in written["ngram-sets"] and "prefix" not in written["ngram-classes"]

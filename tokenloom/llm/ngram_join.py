@@ -145,12 +145,15 @@ def _foreign_pairs(told: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose indexed items leave room for the threshold.
 
     Beyond the items that both index, two sets can only share what one of them does not index.
     """
-    side = lambda s: classes.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("prefix").alias(f"prefix_{s}"))
+    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    ends = sets.join(ends, "cls", "left_semi").groupBy("cls").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    ends = settle(ends, "ngram-prefixes")
+    side = lambda s: ends.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("prefix").alias(f"prefix_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     rest = F.greatest(F.col("n_a") - F.size("prefix_a"), F.col("n_b") - F.size("prefix_b"))
     most = F.size(F.array_intersect("prefix_a", "prefix_b")) + rest
@@ -213,12 +216,13 @@ def ngram_jaccard_classes(
     repeated id counts as texts of their own. Other columns are ignored. Sets are compared by 64-bit hashes.
     """
     sets = settle(describe_sets(docs, id_col, text_col, size, percent), "ngram-sets")
-    classes = settle(sets.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "ngram-classes")
+    # prefixes are written once, with the sets
+    classes = sets.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     block = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int").alias("block")
     entries = classes.select("cls", "n", block, F.posexplode("prefix").alias("place", "token"))
     entries = entries.repartition("token").sortWithinPartitions("token")
     entries = settle(entries.mapInArrow(_shared_entries, "token long, block int, n int, cls long, place int"), "ngram-lists")
-    members = classes.select("cls", "id")
+    members = settle(sets.where("n > 0").groupBy("cls").agg(F.min("id").alias("id")), "ngram-classes")
 
     # 1: each set with the pivot it shares most items with
     pairs = settle(_pivot_pairs(entries, percent), "ngram-pivots")
@@ -227,7 +231,7 @@ def ngram_jaccard_classes(
     # 2: entries of lists that still hold several components
     labels = settle(components(first), "ngram-labels").withColumnRenamed("id", "cls")
     told = entries.join(labels, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
-    found = settle(_promising(_foreign_pairs(told, percent), classes, percent), "ngram-pairs")
+    found = settle(_promising(settle(_foreign_pairs(told, percent), "ngram-foreign"), sets, percent), "ngram-pairs")
     second = _links(docs, found, text_col, size, percent)
     links = settle(first.union(second), "ngram-links")
     labels = components(links)
