@@ -3,8 +3,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenloom.llm import kneser_ney
 from tokenloom.llm.kneser_ney import lm_scores, score_texts
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -97,3 +99,20 @@ def test_nothing_to_learn_or_to_score(spark):
     docs = spark.createDataFrame(CASES, SCHEMA)
     assert {r.score for r in score_texts(docs, F.lit(False)).collect()} == {0.0}
     assert lm_scores(docs.where("false")).collect() == []
+
+
+def test_contexts_are_looked_up_among_the_ngrams_before(monkeypatch):
+    made, joined = [], kneser_ney._Block._joined
+    monkeypatch.setattr(kneser_ney._Block, "_joined", staticmethod(lambda parts: made.append(len(parts[0])) or joined(parts)))
+    table = pa.table({"id": [1, 2, 3], "teaches": [True, True, False], "text": ["a b a b", "", "b a"]})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    data = sink.getvalue()
+    block = kneser_ney._Block(len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True), 3)
+    # tokens: a b a b end, end, b a end
+    for n in (1, 2):
+        of, before = block.gram[n].tolist(), block.context[n].tolist()
+        assert before[1:5] == of[:4] and before[7:] == of[6:8]
+        assert before[0] == before[5] == before[6] and block.keys[n][before[0]] == joined([kneser_ney._START[None]] * n)[0]
+    assert sum(size == 9 for size in made) == 3

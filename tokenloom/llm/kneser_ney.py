@@ -58,16 +58,19 @@ class _Block:
         self.row = np.repeat(np.arange(len(self.sizes)), self.sizes)
         place = np.arange(len(tokens)) - first[self.row]
         before = [tokens]
-        for back in range(1, order + 1):
+        for back in range(1, order):
             before.append(np.where(place >= back, np.roll(tokens, back), _START))
         self.keys, self.gram, self.context = {}, {}, {}
         for n in range(1, order + 1):
-            gram, context = self._joined(before[:n]), self._joined(before[1 : n + 1])
-            wanted = np.concatenate((gram, context[first])) if n < order else gram
-            self.keys[n] = words.distinct(wanted)
-            self.gram[n] = np.searchsorted(self.keys[n], gram).astype(np.int32)
+            gram = self._joined(before[:n])
+            # the context of a word is the n-gram that ends before it; that of a first word is all start marks
+            start = self._joined([np.array([_START])] * n)
+            wanted = np.concatenate((gram, start)) if n < order and len(first) else gram
+            self.keys[n], index = np.unique(wanted, return_inverse=True)
+            index = index.astype(np.int32)
+            self.gram[n] = index[: len(gram)]
             if n < order:
-                self.context[n] = np.searchsorted(self.keys[n], context).astype(np.int32)
+                self.context[n] = np.where(place > 0, np.roll(self.gram[n], 1), index[-1:])
 
     @staticmethod
     def _joined(parts) -> np.ndarray:
